@@ -1,0 +1,212 @@
+"""Hand-built rows for the null, presence, tie and duplicate rules."""
+
+from __future__ import annotations
+
+from petitionlens.operators import duplicate_ids
+from petitionlens.plans import catalogue as C
+
+from helpers import rows, table
+
+CERT, DEN, WD, CW = "CERTIFIED", "DENIED", "WITHDRAWN", "CERTIFIED-WITHDRAWN"
+
+
+def test_rate_drops_null_key_and_keys_without_hits(spark):
+    # A key with no certified row has no rate row; NULL key vanishes.
+    df = table(spark, [
+        dict(id=1, case_status=CERT, full_time_position="Y"),
+        dict(id=2, case_status=DEN, full_time_position="Y"),
+        dict(id=3, case_status=DEN, full_time_position="N"),
+        dict(id=4, case_status=CERT, full_time_position=None),
+        dict(id=5, case_status=None, full_time_position="Y"),
+    ])
+    assert rows(C.cert_rate_by_full_time(df)) == [("Y", 0.5)]
+
+
+def test_top_k_rate_ignores_keys_without_hits(spark):
+    # B3 can never report rate 0: the zero-hit occupation is not a candidate.
+    df = table(spark, [
+        dict(id=1, soc_name="A", case_status=DEN),
+        dict(id=2, soc_name="A", case_status=DEN),
+        dict(id=3, soc_name="B", case_status=CERT),
+        dict(id=4, soc_name="B", case_status=DEN),
+        dict(id=5, soc_name="C", case_status=CERT),
+        dict(id=6, soc_name=None, case_status=CERT),
+    ])
+    assert rows(C.top10_soc_min_rate(df)) == [("B", 0.5)]
+    assert rows(C.top10_soc_max_rate(df)) == [("C", 1.0)]
+
+
+def test_top_k_tie_at_boundary_goes_to_smaller_key(spark):
+    # Ranks 2 and 3 tie on frequency; with k=2 the smaller key is kept.
+    df = table(spark, [
+        dict(id=1, soc_name="Z", case_status=CERT), dict(id=2, soc_name="Z", case_status=CERT),
+        dict(id=3, soc_name="Z", case_status=DEN),
+        dict(id=4, soc_name="M", case_status=DEN), dict(id=5, soc_name="M", case_status=CERT),
+        dict(id=6, soc_name="B", case_status=DEN), dict(id=7, soc_name="B", case_status=DEN),
+    ])
+    # B has no certified row, M does: with k=2 the candidates are Z and B.
+    assert rows(C.top10_soc_max_rate(df, k=2)) == [("Z", 2 / 3)]
+    assert rows(C.top10_soc_min_rate(df, k=2)) == [("Z", 2 / 3)]
+    assert rows(C.top10_soc_min_rate(df, k=3)) == [("M", 0.5)]
+
+
+def test_presence_counts_rows_not_wages(spark):
+    # The 2013 wages are all NULL, yet the key stays with a NULL mean.
+    years = range(2011, 2017)
+    data = [dict(id=y, soc_name="S", case_status=CERT, year=y, prevailing_wage=None if y == 2013 else y * 10)
+            for y in years]
+    df = table(spark, data)
+    (r,) = C.soc_six_year_wages(df).collect()
+    assert r.wages_2013 is None and r.wages_2011 == 20110.0 and r.net_change == 50.0
+    (c,) = C.soc_six_year_certs(df).collect()
+    assert c.net_change == 0 and c.certifications_2013 == 1
+
+
+def test_six_years_require_every_year(spark):
+    data = [dict(id=i, soc_name="ALL", case_status=CERT, year=y) for i, y in enumerate(range(2011, 2017))]
+    data += [dict(id=100 + i, soc_name="GAP", case_status=CERT, year=y) for i, y in enumerate([2011, 2016])]
+    data += [dict(id=200, soc_name="ALL", case_status=DEN, year=2011)]
+    df = table(spark, data)
+    assert [r.soc_name for r in C.soc_six_year_certs(df).collect()] == ["ALL"]
+
+
+def test_plain_group_by_keeps_null_key(spark):
+    # COUNT(key) is 0 for the NULL group; COUNT(case_status) is not.
+    df = table(spark, [
+        dict(id=1, job_title=None, case_status=DEN, state=None),
+        dict(id=2, job_title="J", case_status=DEN),
+        dict(id=3, job_title=None, case_status=CERT, state=None),
+        dict(id=4, case_status=CERT, worksite="X, S"),
+    ])
+    assert rows(C.denials_by_job(df)) == rows(spark.createDataFrame([(None, 0), ("J", 1)], "j string, n long"))
+    assert dict(rows(C.certs_by_state(df))) == {None: 1, "S": 1}
+
+
+def test_employer_pay_covers_all_petitions(spark):
+    # The mean covers denied petitions too; N5: no-cert employer vanishes.
+    df = table(spark, [
+        dict(id=1, employer_name="E", case_status=CERT, prevailing_wage=100),
+        dict(id=2, employer_name="E", case_status=DEN, prevailing_wage=200),
+        dict(id=3, employer_name="E", case_status=DEN, prevailing_wage=None),
+        dict(id=4, employer_name="F", case_status=DEN, prevailing_wage=5),
+        dict(id=5, employer_name=None, case_status=CERT, prevailing_wage=5),
+    ])
+    assert rows(C.employer_certs_and_pay(df)) == [("E", 1, 150.0)]
+
+
+def test_exact_mean_beyond_double_precision(spark):
+    # SUM/COUNT over longs, not avg over doubles.
+    big = 2**53 + 1
+    df = table(spark, [
+        dict(id=1, case_status=CERT, prevailing_wage=big),
+        dict(id=2, case_status=CERT, prevailing_wage=1),
+    ])
+    got = {r.num_visas: r.avg_wage for r in C.denied_vs_cert_wage(df).collect()}
+    assert got == {0: None, 2: (big + 1) / 2}
+
+
+def test_union_of_two_totals_is_distinct(spark):
+    # An empty side yields (0, NULL); identical sides merge into one row.
+    df = table(spark, [dict(id=1, case_status=CERT, prevailing_wage=10)])
+    assert rows(C.denied_vs_cert_wage(df)) == [(0, None), (1, 10.0)]
+    twins = table(spark, [
+        dict(id=1, case_status=CERT, prevailing_wage=10),
+        dict(id=2, case_status=DEN, prevailing_wage=10),
+    ])
+    assert rows(C.denied_vs_cert_wage(twins)) == [(1, 10.0)]
+    empty = table(spark, [dict(id=1, case_status=WD, prevailing_wage=10)])
+    assert rows(C.denied_vs_cert_wage(empty)) == [(0, None)]
+
+
+def test_row_pipeline_pivot_differs_from_sql_form(spark):
+    # Substring match, no all-years rule, NULL for a missing year, change 0.
+    df = table(spark, [
+        dict(id=1, soc_name="A", case_status=CERT, year=2011),
+        dict(id=2, soc_name="A", case_status="DECERTIFIED", year=2016),
+        dict(id=3, soc_name="B", case_status=CERT, year=None),
+        dict(id=4, soc_name="C", case_status=CERT, year=2017),
+        dict(id=5, soc_name="D", case_status=CW, year=2016),
+        dict(id=6, soc_name=None, case_status=CERT, year=2016),
+    ])
+    got = {r.soc_name: r for r in C.soc_years_pivot(df).collect()}
+    assert set(got) == {"A", "B", "C", "D"}
+    assert (got["A"].certifications_2011, got["A"].certifications_2016, got["A"].net_change) == (1, 1, 0)
+    assert got["A"].certifications_2012 is None
+    assert got["B"].net_change == 0 and got["B"].certifications_2011 is None
+    assert (got["D"].certifications_2016, got["D"].net_change) == (1, 0)
+    assert C.soc_six_year_certs(df).count() == 0
+
+
+def test_row_pipeline_counts_null_occupation(spark):
+    # The row form counts rows of the NULL group; the SQL form reports 0.
+    df = table(spark, [
+        dict(id=1, soc_name=None, case_status=CERT),
+        dict(id=2, soc_name=None, case_status="DECERTIFIED"),
+        dict(id=3, soc_name="A", case_status=CERT),
+    ])
+    assert dict(rows(C.certs_by_soc_rows(df))) == {None: 2, "A": 1}
+    assert dict(rows(C.certs_by_soc(df))) == {None: 0, "A": 1}
+
+
+def test_modal_keeps_ties_and_drops_null_state(spark):
+    # Ties kept; NULL state dropped; an all-NULL-occupation state reports (state, NULL, 0).
+    df = table(spark, [
+        dict(id=1, state="T", soc_name="A"), dict(id=2, state="T", soc_name="B"),
+        dict(id=3, state="T", soc_name=None),
+        dict(id=4, state="U", soc_name=None), dict(id=5, state="U", soc_name=None),
+        dict(id=6, state=None, soc_name="A"), dict(id=7, state=None, soc_name="A"),
+        dict(id=8, state="V", soc_name="C"), dict(id=9, state="V", soc_name="C"),
+        dict(id=10, state="V", soc_name="D"),
+    ])
+    got = rows(C.modal_soc_by_state(df), order=False)
+    assert got == [("V", "C", 2), ("T", "A", 1), ("T", "B", 1), ("U", None, 0)]
+
+
+def test_withdrawn_is_a_suffix_match(spark):
+    df = table(spark, [
+        dict(id=1, case_status=CW, soc_name="A"),
+        dict(id=2, case_status=WD, soc_name="A"),
+        dict(id=3, case_status="WITHDRAWN-LATE", soc_name="A"),
+        dict(id=4, case_status=None, soc_name="A"),
+    ])
+    assert rows(C.withdrawn_count(df)) == [(2,)]
+    assert rows(C.withdrawn_by_soc(df)) == [("A", 2)]
+
+
+def test_duplicate_ids_are_reported(spark):
+    # The single-pass forms assume unique ids; the report finds violations.
+    df = table(spark, [
+        dict(id=1, case_status=CERT), dict(id=1, case_status=DEN),
+        dict(id=2, case_status=CERT), dict(id=3, case_status=CERT),
+        dict(id=None, case_status=CERT),
+    ])
+    assert rows(duplicate_ids(df)) == [(1, 2), (None, 1)]
+    assert duplicate_ids(table(spark, [dict(id=1), dict(id=2)])).count() == 0
+
+
+def test_sorted_output_with_key_tie_break(spark):
+    df = table(spark, [
+        dict(id=1, case_status=CERT, worksite="B, X"), dict(id=2, case_status=CERT, worksite="A, X"),
+        dict(id=3, case_status=CERT, worksite="C, X"), dict(id=4, case_status=CERT, worksite="C, X"),
+    ])
+    got = [tuple(r) for r in C.certs_by_worksite(df).collect()]
+    assert got == [("C, X", 2), ("A, X", 1), ("B, X", 1)]
+
+
+def test_cert_rate_by_year_counts_status_rows(spark):
+    df = table(spark, [
+        dict(id=1, case_status=CERT, year=2016), dict(id=2, case_status=None, year=2016),
+        dict(id=3, case_status=DEN, year=2016), dict(id=4, case_status=DEN, year=2015),
+        dict(id=5, case_status=CERT, year=None),
+    ])
+    assert rows(C.cert_rate_by_year(df)) == [(2016, 1, 2, 0.5)]
+
+
+def test_single_state_year_count(spark):
+    df = table(spark, [
+        dict(id=1, case_status=CERT, worksite="MIAMI, FLORIDA", year=2016),
+        dict(id=2, case_status=CW, worksite="TAMPA, FLORIDA", year=2016),
+        dict(id=3, case_status=CERT, worksite="TAMPA, FLORIDA", year=2015),
+        dict(id=4, case_status=DEN, worksite="TAMPA, FLORIDA", year=2016),
+    ])
+    assert rows(C.cert_state_year_count(df)) == [(2,)]
