@@ -163,3 +163,24 @@ def test_schema_require_rejects_mismatch(spark):
     with pytest.raises(SchemaMismatch):
         require(df, CLEAN, subset=True)
     require(df.select("id"), CLEAN.__class__([CLEAN["id"]]))
+
+
+def test_ingest_job_and_catalogue_groups(spark, scratch):
+    from petitionlens.plans.ingest import ingest, read_raw, run_catalogue
+
+    src = os.path.join(scratch, "landing")
+    raw_petitions(spark, SF_SMALL).write.option("header", True).csv(src)
+    target = os.path.join(scratch, "table")
+    stored = ingest(spark, src, target)
+    assert stored.count() == 1500
+    again = ingest(spark, src + "/part-*", target)  # idempotent: the table is left alone
+    assert again.count() == 1500
+    basic = run_catalogue(stored, groups=("basic",))
+    assert sorted(basic) == ["cert_rate_by_year", "cert_state_year_count", "top10_soc_max_rate", "top10_soc_min_rate"]
+    assert basic["cert_rate_by_year"].count() == 7
+
+    # A table source binds by name, case-insensitively.
+    pq = os.path.join(scratch, "raw_table")
+    raw = raw_petitions(spark, SF_SMALL)
+    raw.toDF(*[c.upper() for c in raw.columns]).write.parquet(pq)
+    assert read_raw(spark, pq, fmt="parquet").columns == [f.name for f in RAW.fields]
