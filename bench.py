@@ -2,41 +2,43 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Stage 1 (``ingest``) projects the petition table from the driver tables and
-writes it as Parquet into the shared folder of ``spark.checkpoint.dir``
-(a fresh temporary folder is used only when the setting is unset, as on a
-single machine).  Stage 2 runs each catalogue query over that Parquet with a
-``noop`` sink, so every row is computed but nothing is collected.  One
-warm-up pass, then the median of ``BENCH_REPS`` timed passes.
-
-Also measured: the join form (per-year joins, join-back to totals) against
-the single-pass form for the multi-year and profile questions, both run by
-Spark over the same table.
+Stage 1 (``ingest``) cleans the RAW form of the petition records (projected
+from the driver tables) and writes it as Parquet partitioned by year into
+the shared folder of ``spark.checkpoint.dir`` (a fresh temporary folder is
+used only when that setting is unset, as on a single machine).  Stage 2 runs
+each catalogue query over the stored table with a ``noop`` sink, so every
+row is computed and nothing is collected: one warm-up pass, then the median
+of ``BENCH_REPS`` timed passes.
+
+The join form (per-year joins, join-back to totals) of the multi-year and
+profile questions is run by Spark over the same table for comparison.
+
+Spark's event log (in the scratch folder) gives, per query, the rows read
+from Parquet, the bytes written to shuffle, and the number of jobs and
+stages: the quantities that grow with the data, unlike the fixed per-query
+cost that dominates wall time at small scale.
 
 Prints ONE JSON line.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
 import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from petitionlens.operators import clean_petitions  # noqa: E402
 from petitionlens.plans import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
 from petitionlens.session import CHECKPOINT_CONF, local_session, shared_dir  # noqa: E402
-from petitionlens.sources import (  # noqa: E402
-    petitions,
-    raw_petitions,
-    read_petitions,
-    write_petitions,
-)
-from petitionlens.schema import CLEAN  # noqa: E402
+from petitionlens.sources import raw_petitions, read_petitions, write_petitions  # noqa: E402
 
 JOIN_FORM_KEYS = (
     "soc_six_year_certs",
@@ -44,6 +46,9 @@ JOIN_FORM_KEYS = (
     "soc_six_year_wages",
     "job_six_year_wages",
     "employer_certs_and_pay",
+    "soc_yoy_2015_2016",
+    "cert_rate_by_full_time",
+    "soc_denied_vs_cert_wage",
 )
 
 
@@ -57,35 +62,66 @@ def _timed(fn) -> float:
     return time.perf_counter() - t
 
 
+def _event_metrics(log_dir: str) -> dict[str, dict[str, int]]:
+    """Per job group: Parquet rows read, shuffle bytes written, jobs, stages."""
+    stage_group: dict[int, str] = {}
+    out: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if not os.path.isfile(path) or os.path.basename(path).startswith("."):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        out[group]["jobs"] += 1
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerStageCompleted":
+                    sid = ev["Stage Info"]["Stage ID"]
+                    if sid in stage_group:
+                        out[stage_group[sid]]["stages"] += 1
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    m = ev.get("Task Metrics") or {}
+                    if group:
+                        out[group]["rows_read"] += (m.get("Input Metrics") or {}).get("Records Read", 0)
+                        out[group]["shuffle_bytes"] += (m.get("Shuffle Write Metrics") or {}).get(
+                            "Shuffle Bytes Written", 0
+                        )
+    return {g: dict(v) for g, v in out.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra[CHECKPOINT_CONF] = tempfile.mkdtemp(prefix="petitionlens-bench-")
-    else:
-        extra[CHECKPOINT_CONF] = os.environ["SPARK_CHECKPOINT_DIR"]
-    spark = local_session(cpus, shuffle_partitions=int(cpus), **extra)
+    scratch = tempfile.mkdtemp(prefix="petitionlens-bench-")
+    events = os.path.join(scratch, "events")
+    os.makedirs(events)
+    conf = {
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": f"file://{events}",
+        "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false",
+        CHECKPOINT_CONF: os.environ.get("SPARK_CHECKPOINT_DIR") or os.path.join(scratch, "shared"),
+    }
+    spark = local_session(cpus, shuffle_partitions=int(cpus), **conf)
     spark.sparkContext.setLogLevel("ERROR")
-    table = f"{shared_dir(spark)}/petitions-{os.getpid()}"
-
-    # Stage 1: ingest (projection -> typed table -> Parquet).
-    def ingest() -> None:
-        from pyspark.sql import functions as F
-
-        p = petitions(spark, sf_dir)
-        clean = p.select(
-            *[F.col(c) for c in ("id", "case_status", "employer_name", "soc_name", "job_title",
-                                 "full_time_position", "prevailing_wage", "year", "worksite")],
-            F.lit(None).cast("double").alias("lon"),
-            F.lit(None).cast("double").alias("lat"),
-            "city",
-            "state",
-        )
-        write_petitions(clean.select([f.name for f in CLEAN.fields]), table, mode="overwrite")
-
-    ingest_sec = _timed(ingest)
+    sc = spark.sparkContext
+    table = f"{shared_dir(spark)}/petitions"
+
+    # Stage 1: ingest (RAW records -> clean -> Parquet partitioned by year).
+    def ingest(path: str) -> None:
+        write_petitions(clean_petitions(raw_petitions(spark, sf_dir)), path, "overwrite", partition_by=("year",))
+
+    sc.setJobGroup("warmup", "warmup")
+    ingest(f"{table}-warmup")
+    sc.setJobGroup("ingest", "ingest")
+    ingest_sec = _timed(lambda: ingest(table))
+    sc.setJobGroup("count", "count")
     stored = read_petitions(spark, table)
     rows = stored.count()
 
@@ -97,24 +133,37 @@ def main() -> None:
             return cert_state_year_count(stored, state="AMERICA")
         return w.run(stored)
 
-    for key in CATALOGUE:  # warm-up
+    stored.createOrReplaceTempView("bench_petitions")
+    stmts = oracle_sql.statements()
+
+    def join_form(key: str):
+        return spark.sql(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions"))
+
+    sc.setJobGroup("warmup", "warmup")
+    for key in CATALOGUE:
         _noop(run(key))
-    times: dict[str, list[float]] = {k: [] for k in CATALOGUE}
-    for _ in range(reps):
+    for key in JOIN_FORM_KEYS:
+        _noop(join_form(key))
+
+    times: dict[str, list[float]] = defaultdict(list)
+    jtimes: dict[str, list[float]] = defaultdict(list)
+    for rep in range(reps):
         for key in CATALOGUE:
+            sc.setJobGroup(f"sp|{key}|{rep}", key)
             times[key].append(_timed(lambda: _noop(run(key))))
+        for key in JOIN_FORM_KEYS:
+            sc.setJobGroup(f"jf|{key}|{rep}", key)
+            jtimes[key].append(_timed(lambda: _noop(join_form(key))))
+    sc.setJobGroup("done", "done")
+
     per_query = {k: round(statistics.median(v), 4) for k, v in times.items()}
+    join_sec = {k: round(statistics.median(v), 4) for k, v in jtimes.items()}
+    spark.stop()
 
-    # Join form vs single pass, both in Spark over the stored table.
-    stored.createOrReplaceTempView("bench_petitions")
-    stmts = oracle_sql.statements()
-    join_form = {}
-    for key in JOIN_FORM_KEYS:
-        sql = stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions")
-        _noop(spark.sql(sql))
-        join_form[key] = round(
-            statistics.median(_timed(lambda: _noop(spark.sql(sql))) for _ in range(reps)), 4
-        )
+    metrics = _event_metrics(events)
+
+    def pick(form: str, keys) -> dict[str, dict[str, int]]:
+        return {k: metrics.get(f"{form}|{k}|0", {}) for k in keys}
 
     total = round(sum(per_query.values()), 4)
     print(
@@ -127,14 +176,16 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "rows": rows,
                 "ingest_sec": round(ingest_sec, 4),
-                "join_form_sec": join_form,
+                "ingest_work": metrics.get("ingest", {}),
+                "join_form_sec": join_sec,
                 "single_pass_sec": {k: per_query[k] for k in JOIN_FORM_KEYS},
+                "join_form_work": pick("jf", JOIN_FORM_KEYS),
+                "single_pass_work": pick("sp", CATALOGUE),
                 "cpus": cpus,
                 "reps": reps,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
