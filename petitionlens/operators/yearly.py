@@ -6,9 +6,11 @@ group-by, and "present in every year" becomes a filter on per-year row
 counts.  Presence counts rows, not values, so a year whose wages are all
 NULL keeps the key and reports a NULL mean.
 
-Precondition shared with the written-out form: ``id`` is unique, so that
-its first-year self-join on ``id`` is a plain filter
-(see :func:`petitionlens.operators.quality.duplicate_ids`).
+The written-out form reaches the first year through a self-join on ``id``;
+with unique ids (the default assumption, checked by
+:func:`petitionlens.operators.quality.duplicate_ids`) that is a plain filter.
+``exact_ids=True`` reproduces the join's multiplicity for repeated ids
+instead (see :mod:`petitionlens.operators.identity`).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from petitionlens.functions.aggregates import exact_mean, hits
+from petitionlens.operators.identity import WEIGHT, match_weights
 
 YEAR = "year"
 
@@ -34,6 +37,20 @@ def _years_filter(key: str, years: Sequence[int], pred: Column) -> Column:
     return pred & F.col(key).isNotNull() & F.col(YEAR).isin(list(years))
 
 
+def _first_year_weighted(df: DataFrame, key: str, years: Sequence[int], pred: Column, id_col: str) -> DataFrame:
+    """Rows for the exact-ids forms: first-year rows of ANY status (a twin may match)
+    plus matching rows of the other years, each with its id's match count."""
+    rows = df.where(
+        F.col(key).isNotNull() & F.col(YEAR).isin(list(years)) & (pred | _in_year(years[0]))
+    )
+    joined = rows.join(match_weights(df, pred, id_col), on=id_col, how="left")
+    return joined.withColumn(WEIGHT, F.coalesce(F.col(WEIGHT), F.lit(0).cast("bigint")))
+
+
+def _first_year_count(first: int) -> Column:
+    return F.sum(F.when(_in_year(first), F.col(WEIGHT)).otherwise(F.lit(0).cast("bigint")))
+
+
 def yearly_counts(
     df: DataFrame,
     key: str,
@@ -42,15 +59,25 @@ def yearly_counts(
     *,
     prefix: str = "certifications",
     change_name: str = "net_change",
+    exact_ids: bool = False,
+    id_col: str = "id",
 ) -> DataFrame:
     """(key, n per year, n[last] - n[first]) for keys with a match in every year."""
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
-    g = (
-        df.where(_years_filter(key, years, pred))
-        .groupBy(key)
-        .agg(*[hits(_in_year(y)).alias(n) for y, n in zip(years, names)])
-    )
+    if exact_ids:
+        later = [hits(pred & _in_year(y)).alias(n) for y, n in zip(years[1:], names[1:])]
+        g = (
+            _first_year_weighted(df, key, years, pred, id_col)
+            .groupBy(key)
+            .agg(_first_year_count(years[0]).alias(names[0]), *later)
+        )
+    else:
+        g = (
+            df.where(_years_filter(key, years, pred))
+            .groupBy(key)
+            .agg(*[hits(_in_year(y)).alias(n) for y, n in zip(years, names)])
+        )
     present = [F.col(n) > 0 for n in names]
     return g.where(_all(present)).select(
         key, *names, (F.col(names[-1]) - F.col(names[0])).alias(change_name)
@@ -66,6 +93,8 @@ def yearly_means(
     *,
     prefix: str = "wages",
     change_name: str = "net_change",
+    exact_ids: bool = False,
+    id_col: str = "id",
 ) -> DataFrame:
     """(key, exact mean of value per year, mean[last] - mean[first]).
 
@@ -74,14 +103,30 @@ def yearly_means(
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
     seen = [f"_rows_{y}" for y in years]
-    g = (
-        df.where(_years_filter(key, years, pred))
-        .groupBy(key)
-        .agg(
-            *[hits(_in_year(y)).alias(s) for y, s in zip(years, seen)],
-            *[exact_mean(value, _in_year(y)).alias(n) for y, n in zip(years, names)],
+    if exact_ids:
+        first = years[0]
+        counted = _in_year(first) & (F.col(WEIGHT) > 0)
+        v = F.col(value)
+        first_mean = F.sum(F.when(counted, F.col(WEIGHT) * v)) / F.sum(F.when(counted & v.isNotNull(), F.col(WEIGHT)))
+        g = (
+            _first_year_weighted(df, key, years, pred, id_col)
+            .groupBy(key)
+            .agg(
+                _first_year_count(first).alias(seen[0]),
+                *[hits(pred & _in_year(y)).alias(s) for y, s in zip(years[1:], seen[1:])],
+                first_mean.alias(names[0]),
+                *[exact_mean(value, pred & _in_year(y)).alias(n) for y, n in zip(years[1:], names[1:])],
+            )
+        )
+    else:
+        g = (
+            df.where(_years_filter(key, years, pred))
+            .groupBy(key)
+            .agg(
+                *[hits(_in_year(y)).alias(s) for y, s in zip(years, seen)],
+                *[exact_mean(value, _in_year(y)).alias(n) for y, n in zip(years, names)],
+            )
         )
-    )
     return g.where(_all([F.col(s) > 0 for s in seen])).select(
         key, *names, (F.col(names[-1]) - F.col(names[0])).alias(change_name)
     )

@@ -37,6 +37,7 @@ from petitionlens.operators import (
     yearly_means,
     yearly_pivot,
 )
+from petitionlens.operators.identity import count_by_id_match
 
 SOC = "soc_name"
 JOB = "job_title"
@@ -103,33 +104,39 @@ def employer_certs_and_pay(p: DataFrame) -> DataFrame:
     return ordered(r, _desc("application_count"), ["employer_name"])
 
 
-def soc_yoy(p: DataFrame, first: int, second: int) -> DataFrame:
+def soc_yoy(p: DataFrame, first: int, second: int, exact_ids: bool = False) -> DataFrame:
     """Certifications per occupation in two years and the change."""
-    r = yearly_counts(p, SOC, [first, second], certified(), change_name="yoy_change")
+    r = yearly_counts(p, SOC, [first, second], certified(), change_name="yoy_change", exact_ids=exact_ids)
     return ordered(r, _desc("yoy_change"), [SOC])
 
 
-def soc_six_year_certs(p: DataFrame, years: Sequence[int] = SIX_YEARS) -> DataFrame:
+def soc_six_year_certs(p: DataFrame, years: Sequence[int] = SIX_YEARS, exact_ids: bool = False) -> DataFrame:
     """A10 (and the timed T1 query): occupations certified in every year."""
-    r = yearly_counts(p, SOC, years, certified())
+    r = yearly_counts(p, SOC, years, certified(), exact_ids=exact_ids)
     return ordered(r, _desc("net_change"), [SOC])
 
 
-def job_six_year_certs(p: DataFrame, years: Sequence[int] = SIX_YEARS) -> DataFrame:
+def job_six_year_certs(p: DataFrame, years: Sequence[int] = SIX_YEARS, exact_ids: bool = False) -> DataFrame:
     """Job titles certified in every year."""
-    r = yearly_counts(p, JOB, years, certified())
+    r = yearly_counts(p, JOB, years, certified(), exact_ids=exact_ids)
     return ordered(r, _desc("net_change"), [JOB])
 
 
-def certs_by_state(p: DataFrame) -> DataFrame:
+def certs_by_state(p: DataFrame, exact_ids: bool = False) -> DataFrame:
     """Certified petitions per state (NULL state kept)."""
-    r = count_by(p, "state", certified(), "visa_requests", counted="case_status")
+    if exact_ids:
+        r = count_by_id_match(p, "state", certified(), "visa_requests", counted="case_status")
+    else:
+        r = count_by(p, "state", certified(), "visa_requests", counted="case_status")
     return ordered(r, _desc("visa_requests"), ["state"])
 
 
-def certs_by_worksite(p: DataFrame) -> DataFrame:
+def certs_by_worksite(p: DataFrame, exact_ids: bool = False) -> DataFrame:
     """Certified petitions per worksite."""
-    r = count_by(p, "worksite", certified(), "visa_requests", counted="case_status")
+    if exact_ids:
+        r = count_by_id_match(p, "worksite", certified(), "visa_requests", counted="case_status")
+    else:
+        r = count_by(p, "worksite", certified(), "visa_requests", counted="case_status")
     return ordered(r, _desc("visa_requests"), ["worksite"])
 
 
@@ -197,15 +204,15 @@ def soc_denied_vs_cert_wage(p: DataFrame) -> DataFrame:
     return ordered(r, _desc("denied_visa_count"), [SOC])
 
 
-def soc_six_year_wages(p: DataFrame, years: Sequence[int] = SIX_YEARS) -> DataFrame:
+def soc_six_year_wages(p: DataFrame, years: Sequence[int] = SIX_YEARS, exact_ids: bool = False) -> DataFrame:
     """K2: mean certified wage per occupation per year, occupations certified every year."""
-    r = yearly_means(p, SOC, WAGE, years, certified())
+    r = yearly_means(p, SOC, WAGE, years, certified(), exact_ids=exact_ids)
     return ordered(r, _desc("net_change"), [SOC])
 
 
-def job_six_year_wages(p: DataFrame, years: Sequence[int] = SIX_YEARS) -> DataFrame:
+def job_six_year_wages(p: DataFrame, years: Sequence[int] = SIX_YEARS, exact_ids: bool = False) -> DataFrame:
     """K3: mean certified wage per job title per year, titles certified every year."""
-    r = yearly_means(p, JOB, WAGE, years, certified())
+    r = yearly_means(p, JOB, WAGE, years, certified(), exact_ids=exact_ids)
     return ordered(r, _desc("net_change"), [JOB])
 
 
@@ -248,10 +255,17 @@ class Workload:
     run: Callable[..., DataFrame]
     source: str = "clean"  # "clean": takes the clean table; "raw": takes RAW rows
 
+    @property
+    def id_sensitive(self) -> bool:
+        """True when the written-out form self-joins on id (``exact_ids`` applies)."""
+        import inspect
 
-def _yoy(first: int) -> Callable[[DataFrame], DataFrame]:
-    def run(p: DataFrame) -> DataFrame:
-        return soc_yoy(p, first, first + 1)
+        return "exact_ids" in inspect.signature(self.run).parameters
+
+
+def _yoy(first: int) -> Callable[..., DataFrame]:
+    def run(p: DataFrame, exact_ids: bool = False) -> DataFrame:
+        return soc_yoy(p, first, first + 1, exact_ids=exact_ids)
 
     run.__name__ = f"soc_yoy_{first}_{first + 1}"
     run.__doc__ = f"Certifications per occupation, {first} vs {first + 1}."

@@ -1,7 +1,8 @@
 """Properties on random tables: single-pass (Spark) == join form (DuckDB).
 
 Small vocabularies make ties, NULL keys, missing years, zero-hit keys and
-all-NULL wage groups common.  Ids are unique (the stated precondition).
+all-NULL wage groups common.  Ids are unique in the default tables; the
+repeated-id tables check the ``exact_ids`` mode.
 """
 
 from __future__ import annotations
@@ -26,15 +27,18 @@ EMPLOYERS = ["E1", "E2", "E3", "E4", None]
 SITES = ["AUSTIN, TEXAS", "DALLAS, TEXAS", "MIAMI, FLORIDA", "NA", "RENO", "X, Y, Z", "LONE,"]
 
 
-def _random_rows(seed: int, n: int):
+def _random_rows(seed: int, n: int, *, repeated_ids: bool = False):
     rnd = random.Random(seed)
     out = []
     for i in range(n):
+        ident = i * 3 + 1
+        if repeated_ids:
+            ident = None if rnd.random() < 0.05 else rnd.randint(1, max(2, n // 3))
         site = rnd.choice(SITES)
         parts = [p.strip() for p in site.split(",")]
         out.append(
             dict(
-                id=i * 3 + 1,
+                id=ident,
                 case_status=rnd.choice(STATUSES),
                 employer_name=rnd.choice(EMPLOYERS),
                 soc_name=rnd.choice(SOCS),
@@ -59,9 +63,7 @@ def _arrow(rows):
 KEYS = [k for k, w in CATALOGUE.items() if w.source == "clean"]
 
 
-@pytest.mark.parametrize("seed,n", [(1, 60), (2, 300), (3, 800)])
-def test_single_pass_equals_join_form(spark, seed, n):
-    data = _random_rows(seed, n)
+def _compare_all(spark, data, *, exact_ids: bool) -> list[str]:
     df = spark.createDataFrame([tuple(r[f.name] for f in ANALYSIS.fields) for r in data], ANALYSIS)
     con = duckdb.connect()
     con.register("p_input", _arrow(data))
@@ -71,6 +73,8 @@ def test_single_pass_equals_join_form(spark, seed, n):
     for key in KEYS:
         if key == "cert_state_year_count":
             got = cert_state_year_count(df, state="TEXAS", year=2016)
+        elif exact_ids and CATALOGUE[key].id_sensitive:
+            got = CATALOGUE[key].run(df, exact_ids=True)
         else:
             got = CATALOGUE[key].run(df)
         sql = stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM p_input")
@@ -80,7 +84,26 @@ def test_single_pass_equals_join_form(spark, seed, n):
         have = rows_of(got.columns, [tuple(r) for r in got.collect()])
         if sorted(got.columns) != sorted(want_cols) or have != want:
             bad.append(key)
-    assert bad == []
+    return bad
+
+
+@pytest.mark.parametrize("seed,n", [(1, 60), (2, 300), (3, 800)])
+def test_single_pass_equals_join_form(spark, seed, n):
+    assert _compare_all(spark, _random_rows(seed, n), exact_ids=False) == []
+
+
+@pytest.mark.parametrize("seed,n", [(6, 90), (7, 400)])
+def test_exact_ids_mode_equals_join_form_with_repeated_ids(spark, seed, n):
+    """With repeated and NULL ids, ``exact_ids=True`` still matches the join form."""
+    data = _random_rows(seed, n, repeated_ids=True)
+    assert len({r["id"] for r in data}) < n  # ids really repeat
+    assert _compare_all(spark, data, exact_ids=True) == []
+
+
+def test_default_mode_differs_only_on_id_sensitive_keys(spark):
+    data = _random_rows(8, 400, repeated_ids=True)
+    bad = _compare_all(spark, data, exact_ids=False)
+    assert bad and all(CATALOGUE[k].id_sensitive for k in bad)
 
 
 @pytest.mark.parametrize("seed", [4, 5])
