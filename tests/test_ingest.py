@@ -39,7 +39,7 @@ def test_wage_text_truncates_like_legacy_cast(spark):
     cases = [
         ("36067.6", 36067), ("-5.9", -5), (" 12 ", 12), ("+7", 7), ("5.", 5),
         ("1e5", None), ("1,000", None), ("", None), ("12345678901234567890", None), ("NA", None),
-        ("abc", None), (None, None),
+        ("abc", None), (None, None), (".5", 0), ("-.5", 0), ("-", None), ("\x0012\x01", 12),
     ]
     raws = [_raw(spark, id=i, prevailing_wage=w) for i, (w, _) in enumerate(cases)]
     got = {r.id: r.prevailing_wage for r in _clean_rows(spark, raws)}
