@@ -39,7 +39,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from petitionlens.operators import clean_petitions  # noqa: E402
 from petitionlens.plans import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
-from petitionlens.session import CHECKPOINT_CONF, local_session, shared_dir  # noqa: E402
+from petitionlens.plans.inspect import final_plan, summary  # noqa: E402
+from petitionlens.session import ensure_shared_dir, local_session  # noqa: E402
 from petitionlens.sources import raw_petitions, read_petitions, write_petitions  # noqa: E402
 
 JOIN_FORM_KEYS = (
@@ -117,12 +118,12 @@ def main() -> None:
         "spark.eventLog.dir": f"file://{events}",
         "spark.eventLog.compress": "false",
         "spark.eventLog.rolling.enabled": "false",
-        CHECKPOINT_CONF: os.environ.get("SPARK_CHECKPOINT_DIR") or os.path.join(scratch, "shared"),
     }
     spark = local_session(cpus, shuffle_partitions=int(cpus), **conf)
     spark.sparkContext.setLogLevel("ERROR")
     sc = spark.sparkContext
-    table = f"{shared_dir(spark)}/petitions"
+    # The session's spark.checkpoint.dir if it has one; a scratch folder only when unset.
+    table = f"{ensure_shared_dir(spark, os.path.join(scratch, 'shared'))}/run-{os.getpid()}/petitions"
 
     # Stage 1: ingest (RAW records -> clean -> Parquet partitioned by year).
     def ingest(path: str) -> None:
@@ -150,6 +151,10 @@ def main() -> None:
     def join_form(key: str):
         return spark.sql(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions"))
 
+    # Final adaptive plan shape per query (scans, joins, exchanges): what grows with the data.
+    shapes = {k: summary(final_plan(run(k))) for k in CATALOGUE}
+    join_shapes = {k: summary(final_plan(join_form(k))) for k in JOIN_FORM_KEYS}
+
     sc.setJobGroup("warmup", "warmup")
     for key in CATALOGUE:
         _noop(run(key))
@@ -203,6 +208,8 @@ def main() -> None:
                 "single_pass_exec_sec": {k: exec_sec[k] for k in JOIN_FORM_KEYS},
                 "join_form_work": pick("jf", JOIN_FORM_KEYS),
                 "single_pass_work": pick("sp", CATALOGUE),
+                "plan_shape": shapes,
+                "join_form_plan_shape": join_shapes,
                 "cpus": cpus,
                 "reps": reps,
             }

@@ -15,11 +15,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from petitionlens.session import CHECKPOINT_CONF, local_session
+    from petitionlens.session import ensure_shared_dir, local_session
 
-    # Tests run on one machine, so a local scratch folder is the shared folder.
-    s = local_session("*", 8, **{CHECKPOINT_CONF: tempfile.mkdtemp(prefix="petitionlens-test-")})
+    s = local_session("*", 8)
     s.sparkContext.setLogLevel("ERROR")
+    # Tests run on one machine: a local scratch folder serves as the shared
+    # folder, but only when the session does not already name one.
+    ensure_shared_dir(s, tempfile.mkdtemp(prefix="petitionlens-test-"))
     yield s
     s.stop()
 
