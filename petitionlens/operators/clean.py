@@ -16,7 +16,6 @@ from petitionlens.functions.cleaning import (
     to_double,
     truncating_integral,
 )
-from petitionlens.schema import CLEAN
 
 
 def clean_petitions(raw: DataFrame) -> DataFrame:
@@ -27,8 +26,10 @@ def clean_petitions(raw: DataFrame) -> DataFrame:
     * ``worksite`` is kept verbatim; ``city``/``state`` are its first and
       second comma fields, trimmed.
     * wage -> bigint and year -> int, truncating decimals; lon/lat -> double.
+
+    The result has exactly the CLEAN columns and types (asserted in the tests).
     """
-    out = raw.select(
+    return raw.select(
         F.col("id").cast("bigint").alias("id"),
         missing_to_null("case_status").alias("case_status"),
         missing_to_null("employer_name").alias("employer_name"),
@@ -43,4 +44,3 @@ def clean_petitions(raw: DataFrame) -> DataFrame:
         split_field("worksite", 0).alias("city"),
         split_field("worksite", 1).alias("state"),
     )
-    return out.select([F.col(f.name).cast(f.dataType) for f in CLEAN.fields])

@@ -119,12 +119,13 @@ def yearly_means(
             )
         )
     else:
+        in_year = [_in_year(y) for y in years]
         g = (
             df.where(_years_filter(key, years, pred))
             .groupBy(key)
             .agg(
-                *[hits(_in_year(y)).alias(s) for y, s in zip(years, seen)],
-                *[exact_mean(value, _in_year(y)).alias(n) for y, n in zip(years, names)],
+                *[hits(c).alias(s) for c, s in zip(in_year, seen)],
+                *[exact_mean(value, c).alias(n) for c, n in zip(in_year, names)],
             )
         )
     return g.where(_all([F.col(s) > 0 for s in seen])).select(

@@ -111,7 +111,8 @@ def test_csv_quotes_and_positional_header(spark, scratch):
 
 def test_raw_csv_round_trip_restores_projection(spark, scratch):
     """RAW text written as CSV, read back and cleaned, equals the projection."""
-    raw = raw_petitions(spark, SF_SMALL)
+    raw = require(raw_petitions(spark, SF_SMALL), RAW)
+    require(clean_petitions(raw), CLEAN)
     out = os.path.join(scratch, "csv")
     raw.write.option("header", True).option("escape", '"').csv(out)
     cleaned = clean_petitions(read_petitions_csv(spark, out))
