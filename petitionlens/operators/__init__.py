@@ -5,11 +5,12 @@ from petitionlens.operators.counting import count_by, count_where, extreme_by
 from petitionlens.operators.modal import modal_by
 from petitionlens.operators.quality import duplicate_ids, row_count
 from petitionlens.operators.rates import extreme_rate, rate_by, top_k_rates
-from petitionlens.operators.shape import ordered, top_n
+from petitionlens.operators.shape import PREVIEW_ROWS, ordered, preview, top_n
 from petitionlens.operators.wages import key_profile, wage_contrast_by, wage_contrast_total
 from petitionlens.operators.yearly import SIX_YEARS, yearly_counts, yearly_means, yearly_pivot
 
 __all__ = [
+    "PREVIEW_ROWS",
     "SIX_YEARS",
     "clean_petitions",
     "count_by",
@@ -20,6 +21,7 @@ __all__ = [
     "key_profile",
     "modal_by",
     "ordered",
+    "preview",
     "rate_by",
     "row_count",
     "top_k_rates",

@@ -20,3 +20,18 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, tie_break: Sequence[st
     """The first ``n`` rows in a total order (TakeOrderedAndProject: each
     partition keeps ``n`` rows, one task merges them)."""
     return ordered(df, order, tie_break).limit(n)
+
+
+# Preview sizes of the original console output (rows shown).
+PREVIEW_ROWS = {"default": 20, "all_petitions": 40, "modal_soc_by_state": 55}
+
+
+def preview(df: DataFrame, n: int = 20, *, truncate: bool | int = True) -> str:
+    """The first ``n`` rows as the console table ``show`` prints, returned as text.
+
+    Only ``n`` rows reach the driver (the plan ends in a limit), so this is
+    safe on any result size.  ``truncate=True`` cuts cells to 20 characters,
+    an int cuts them to that width, ``False`` keeps them whole.
+    """
+    width = 20 if truncate is True else int(truncate)
+    return df._jdf.showString(n, width, False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from petitionlens.operators import duplicate_ids
 from petitionlens.plans import catalogue as C
 
@@ -210,3 +212,14 @@ def test_single_state_year_count(spark):
         dict(id=4, case_status=DEN, worksite="TAMPA, FLORIDA", year=2016),
     ])
     assert rows(C.cert_state_year_count(df)) == [(2,)]
+
+
+def test_console_preview_and_top_n(spark):
+    from petitionlens.operators import PREVIEW_ROWS, preview, top_n
+
+    df = table(spark, [dict(id=i, case_status=CERT, job_title="J" * 30 if i == 0 else f"J{i}") for i in range(30)])
+    text = preview(C.all_petitions(df), PREVIEW_ROWS["default"])
+    assert "only showing top 20 rows" in text and ("J" * 17 + "...") in text
+    assert "J" * 30 in preview(df, 5, truncate=False)
+    firsts = top_n(df, [F.desc("id")], 3, tie_break=["job_title"]).collect()
+    assert [r.id for r in firsts] == [29, 28, 27]
