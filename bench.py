@@ -11,7 +11,9 @@ row is computed and nothing is collected: one warm-up pass, then the median
 of ``BENCH_REPS`` timed passes.
 
 The join form (per-year joins, join-back to totals) of the multi-year and
-profile questions is run by Spark over the same table for comparison.
+profile questions is run by Spark over the same table for comparison, and
+the 33 analyses over the clean table are also run together with shared
+scans (one summary per group-by key, ``plans.shared``).
 
 Times are split into driver-side build (DataFrame construction and analysis
 over Py4J, a fixed cost per query) and execution (``exec_sec``).  Spark's
@@ -39,6 +41,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from petitionlens.operators import clean_petitions  # noqa: E402
 from petitionlens.plans import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
+from petitionlens.plans.shared import run_catalogue_shared  # noqa: E402
 from petitionlens.plans.inspect import final_plan, summary  # noqa: E402
 from petitionlens.session import ensure_shared_dir, local_session  # noqa: E402
 from petitionlens.sources import raw_petitions, read_petitions, write_petitions  # noqa: E402
@@ -170,6 +173,18 @@ def main() -> None:
         for key in JOIN_FORM_KEYS:
             sc.setJobGroup(f"jf|{key}|{rep}", key)
             jtimes[key].append(_build_and_run(lambda: join_form(key)))
+    # The whole catalogue with shared scans: one summary per group-by key.
+    def shared_pass() -> None:
+        answers = run_catalogue_shared(stored, {"cert_state_year_count": {"state": "AMERICA"}})
+        for df in answers.values():
+            _noop(df)
+
+    sc.setJobGroup("warmup", "warmup")
+    shared_pass()
+    shared_times = []
+    for rep in range(reps):
+        sc.setJobGroup(f"shared|all|{rep}", "shared")
+        shared_times.append(_timed(shared_pass))
     sc.setJobGroup("done", "done")
 
     def med(v, part=None):
@@ -189,6 +204,10 @@ def main() -> None:
         return {k: metrics.get(f"{form}|{k}|0", {}) for k in keys}
 
     total = round(sum(per_query.values()), 4)
+    clean_keys = [k for k, w in CATALOGUE.items() if w.source == "clean"]
+    alone_work = {
+        m: sum(metrics.get(f"sp|{k}|0", {}).get(m, 0) for k in clean_keys) for m in ("rows_read", "jobs", "shuffle_bytes")
+    }
     print(
         json.dumps(
             {
@@ -208,6 +227,10 @@ def main() -> None:
                 "single_pass_exec_sec": {k: exec_sec[k] for k in JOIN_FORM_KEYS},
                 "join_form_work": pick("jf", JOIN_FORM_KEYS),
                 "single_pass_work": pick("sp", CATALOGUE),
+                "shared_catalogue_sec": round(statistics.median(shared_times), 4),
+                "one_at_a_time_catalogue_sec": round(sum(per_query[k] for k in clean_keys), 4),
+                "shared_catalogue_work": metrics.get("shared|all|0", {}),
+                "one_at_a_time_catalogue_work": alone_work,
                 "plan_shape": shapes,
                 "join_form_plan_shape": join_shapes,
                 "cpus": cpus,

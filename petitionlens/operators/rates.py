@@ -13,6 +13,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from petitionlens.functions.aggregates import count_of
+from petitionlens.operators.grouped import Grouped
+
+
+def rate_by_spec(
+    key: str,
+    pred: Column,
+    over: str,
+    rate_name: str,
+    *,
+    hits_name: str | None = None,
+    total_name: str | None = None,
+) -> Grouped:
+    h = hits_name or "_hits"
+    t = total_name or "_total"
+    present = F.col(key).isNotNull()
+
+    def finish(g: DataFrame) -> DataFrame:
+        cols = [F.col(key)]
+        if hits_name:
+            cols.append(F.col(h))
+        if total_name:
+            cols.append(F.col(t))
+        cols.append((F.col(h) / F.col(t)).alias(rate_name))
+        return g.where(F.col(h) > 0).select(*cols)
+
+    aggs = ((h, count_of(over, pred & present)), (t, count_of(over, present)))
+    return Grouped((key,), present, aggs, finish)
 
 
 def rate_by(
@@ -30,21 +57,17 @@ def rate_by(
     ``hits`` is ``COUNT(over)`` over rows where ``pred`` holds and ``total`` is
     ``COUNT(over)`` over all rows of the key.
     """
-    h = hits_name or "_hits"
-    t = total_name or "_total"
-    g = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(count_of(over, pred).alias(h), count_of(over).alias(t))
-        .where(F.col(h) > 0)
-    )
-    cols = [F.col(key)]
-    if hits_name:
-        cols.append(F.col(h))
-    if total_name:
-        cols.append(F.col(t))
-    cols.append((F.col(h) / F.col(t)).alias(rate_name))
-    return g.select(*cols)
+    return rate_by_spec(key, pred, over, rate_name, hits_name=hits_name, total_name=total_name).run(df)
+
+
+def top_k_rates_spec(key: str, pred: Column, rate_name: str, *, k: int = 10) -> Grouped:
+    present = F.col(key).isNotNull()
+
+    def finish(g: DataFrame) -> DataFrame:
+        top = g.orderBy(F.desc("_n"), F.asc(key)).limit(k)
+        return top.where(F.col("_hits") > 0).select(key, (F.col("_hits") / F.col("_n")).alias(rate_name))
+
+    return Grouped((key,), present, (("_n", count_of(key, present)), ("_hits", count_of(key, pred))), finish)
 
 
 def top_k_rates(
@@ -62,13 +85,7 @@ def top_k_rates(
     dropped, as an inner join would.  The top-k is a TakeOrderedAndProject:
     each partition keeps ``k`` rows and one task merges them.
     """
-    g = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.col(key)).alias("_n"), count_of(key, pred).alias("_hits"))
-    )
-    top = g.orderBy(F.desc("_n"), F.asc(key)).limit(k)
-    return top.where(F.col("_hits") > 0).select(key, (F.col("_hits") / F.col("_n")).alias(rate_name))
+    return top_k_rates_spec(key, pred, rate_name, k=k).run(df)
 
 
 def extreme_rate(rates: DataFrame, key: str, rate_name: str, *, highest: bool) -> DataFrame:

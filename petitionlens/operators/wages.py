@@ -11,6 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from petitionlens.functions.aggregates import count_of, exact_mean, hits
+from petitionlens.operators.grouped import Grouped
+
+
+def key_profile_spec(key: str, value: str, pred: Column, count_name: str, mean_name: str) -> Grouped:
+    present = F.col(key).isNotNull()
+    aggs = ((count_name, count_of(key, pred)), (mean_name, exact_mean(value, present)))
+    return Grouped((key,), present, aggs, lambda g: g.where(F.col(count_name) > 0))
 
 
 def key_profile(
@@ -26,12 +33,30 @@ def key_profile(
     Only non-NULL keys with at least one matching row appear; the mean is
     deliberately not restricted to the matching rows.
     """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(count_of(key, pred).alias(count_name), exact_mean(value).alias(mean_name))
-        .where(F.col(count_name) > 0)
+    return key_profile_spec(key, value, pred, count_name, mean_name).run(df)
+
+
+def wage_contrast_by_spec(
+    key: str,
+    value: str,
+    first: Column,
+    second: Column,
+    *,
+    first_count: str,
+    first_mean: str,
+    second_mean: str,
+) -> Grouped:
+    def finish(g: DataFrame) -> DataFrame:
+        both = (F.col(first_count) > 0) & (F.col("_second_rows") > 0)
+        return g.where(both).select(key, first_count, first_mean, second_mean)
+
+    aggs = (
+        (first_count, count_of(key, first)),
+        (first_mean, exact_mean(value, first)),
+        ("_second_rows", hits(second)),
+        (second_mean, exact_mean(value, second)),
     )
+    return Grouped((key,), (first | second) & F.col(key).isNotNull(), aggs, finish)
 
 
 def wage_contrast_by(
@@ -51,18 +76,27 @@ def wage_contrast_by(
     counted in rows, so a key whose wages are all NULL on one side stays,
     with a NULL mean.
     """
-    return (
-        df.where((first | second) & F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            count_of(key, first).alias(first_count),
-            exact_mean(value, first).alias(first_mean),
-            hits(second).alias("_second_rows"),
-            exact_mean(value, second).alias(second_mean),
+    spec = wage_contrast_by_spec(
+        key, value, first, second, first_count=first_count, first_mean=first_mean, second_mean=second_mean
+    )
+    return spec.run(df)
+
+
+def wage_contrast_total_spec(value: str, first: Column, second: Column, *, count_name: str, mean_name: str) -> Grouped:
+    def finish(g: DataFrame) -> DataFrame:
+        pairs = F.array(
+            F.struct(F.col("_n1").alias(count_name), F.col("_m1").alias(mean_name)),
+            F.struct(F.col("_n2").alias(count_name), F.col("_m2").alias(mean_name)),
         )
-        .where((F.col(first_count) > 0) & (F.col("_second_rows") > 0))
-        .select(key, first_count, first_mean, second_mean)
+        return g.select(F.inline(pairs)).distinct()
+
+    aggs = (
+        ("_n1", hits(first)),
+        ("_m1", exact_mean(value, first)),
+        ("_n2", hits(second)),
+        ("_m2", exact_mean(value, second)),
     )
+    return Grouped((), first | second, aggs, finish)
 
 
 def wage_contrast_total(
@@ -80,14 +114,4 @@ def wage_contrast_total(
     still yields (0, NULL), and two identical sides merge into one row, as a
     distinct union would.
     """
-    g = df.where(first | second).agg(
-        hits(first).alias("_n1"),
-        exact_mean(value, first).alias("_m1"),
-        hits(second).alias("_n2"),
-        exact_mean(value, second).alias("_m2"),
-    )
-    pairs = F.array(
-        F.struct(F.col("_n1").alias(count_name), F.col("_m1").alias(mean_name)),
-        F.struct(F.col("_n2").alias(count_name), F.col("_m2").alias(mean_name)),
-    )
-    return g.select(F.inline(pairs)).distinct()
+    return wage_contrast_total_spec(value, first, second, count_name=count_name, mean_name=mean_name).run(df)

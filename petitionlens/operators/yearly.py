@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from petitionlens.functions.aggregates import exact_mean, hits
+from petitionlens.operators.grouped import Grouped
 from petitionlens.operators.identity import WEIGHT, match_weights
 
 YEAR = "year"
@@ -63,24 +64,39 @@ def yearly_counts(
     id_col: str = "id",
 ) -> DataFrame:
     """(key, n per year, n[last] - n[first]) for keys with a match in every year."""
+    if not exact_ids:
+        return yearly_counts_spec(key, years, pred, prefix=prefix, change_name=change_name).run(df)
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
-    if exact_ids:
-        later = [hits(pred & _in_year(y)).alias(n) for y, n in zip(years[1:], names[1:])]
-        g = (
-            _first_year_weighted(df, key, years, pred, id_col)
-            .groupBy(key)
-            .agg(_first_year_count(years[0]).alias(names[0]), *later)
-        )
-    else:
-        g = (
-            df.where(_years_filter(key, years, pred))
-            .groupBy(key)
-            .agg(*[hits(_in_year(y)).alias(n) for y, n in zip(years, names)])
-        )
-    present = [F.col(n) > 0 for n in names]
-    return g.where(_all(present)).select(
-        key, *names, (F.col(names[-1]) - F.col(names[0])).alias(change_name)
+    later = [hits(pred & _in_year(y)).alias(n) for y, n in zip(years[1:], names[1:])]
+    g = (
+        _first_year_weighted(df, key, years, pred, id_col)
+        .groupBy(key)
+        .agg(_first_year_count(years[0]).alias(names[0]), *later)
+    )
+    return _every_year(g, key, names, names, change_name)
+
+
+def _every_year(g: DataFrame, key: str, values: list[str], seen: list[str], change_name: str) -> DataFrame:
+    """Keys seen in every year, with the change from the first to the last year."""
+    return g.where(_all([F.col(s) > 0 for s in seen])).select(
+        key, *values, (F.col(values[-1]) - F.col(values[0])).alias(change_name)
+    )
+
+
+def yearly_counts_spec(
+    key: str,
+    years: Sequence[int],
+    pred: Column,
+    *,
+    prefix: str = "certifications",
+    change_name: str = "net_change",
+) -> Grouped:
+    years = list(years)
+    names = [f"{prefix}_{y}" for y in years]
+    aggs = tuple((n, hits(pred & _in_year(y))) for y, n in zip(years, names))
+    return Grouped(
+        (key,), _years_filter(key, years, pred), aggs, lambda g: _every_year(g, key, names, names, change_name)
     )
 
 
@@ -100,36 +116,46 @@ def yearly_means(
 
     Keys must have a matching row in every year; the means skip NULL values.
     """
+    if not exact_ids:
+        return yearly_means_spec(key, value, years, pred, prefix=prefix, change_name=change_name).run(df)
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
     seen = [f"_rows_{y}" for y in years]
-    if exact_ids:
-        first = years[0]
-        counted = _in_year(first) & (F.col(WEIGHT) > 0)
-        v = F.col(value)
-        first_mean = F.sum(F.when(counted, F.col(WEIGHT) * v)) / F.sum(F.when(counted & v.isNotNull(), F.col(WEIGHT)))
-        g = (
-            _first_year_weighted(df, key, years, pred, id_col)
-            .groupBy(key)
-            .agg(
-                _first_year_count(first).alias(seen[0]),
-                *[hits(pred & _in_year(y)).alias(s) for y, s in zip(years[1:], seen[1:])],
-                first_mean.alias(names[0]),
-                *[exact_mean(value, pred & _in_year(y)).alias(n) for y, n in zip(years[1:], names[1:])],
-            )
-        )
-    else:
-        in_year = [_in_year(y) for y in years]
-        g = (
-            df.where(_years_filter(key, years, pred))
-            .groupBy(key)
-            .agg(
-                *[hits(c).alias(s) for c, s in zip(in_year, seen)],
-                *[exact_mean(value, c).alias(n) for c, n in zip(in_year, names)],
-            )
+    first = years[0]
+    counted = _in_year(first) & (F.col(WEIGHT) > 0)
+    v = F.col(value)
+    first_mean = F.sum(F.when(counted, F.col(WEIGHT) * v)) / F.sum(F.when(counted & v.isNotNull(), F.col(WEIGHT)))
+    g = (
+        _first_year_weighted(df, key, years, pred, id_col)
+        .groupBy(key)
+        .agg(
+            _first_year_count(first).alias(seen[0]),
+            *[hits(pred & _in_year(y)).alias(s) for y, s in zip(years[1:], seen[1:])],
+            first_mean.alias(names[0]),
+            *[exact_mean(value, pred & _in_year(y)).alias(n) for y, n in zip(years[1:], names[1:])],
         )
-    return g.where(_all([F.col(s) > 0 for s in seen])).select(
-        key, *names, (F.col(names[-1]) - F.col(names[0])).alias(change_name)
+    )
+    return _every_year(g, key, names, seen, change_name)
+
+
+def yearly_means_spec(
+    key: str,
+    value: str,
+    years: Sequence[int],
+    pred: Column,
+    *,
+    prefix: str = "wages",
+    change_name: str = "net_change",
+) -> Grouped:
+    years = list(years)
+    names = [f"{prefix}_{y}" for y in years]
+    seen = [f"_rows_{y}" for y in years]
+    matched = [pred & _in_year(y) for y in years]
+    aggs = tuple((s, hits(m)) for s, m in zip(seen, matched)) + tuple(
+        (n, exact_mean(value, m)) for n, m in zip(names, matched)
+    )
+    return Grouped(
+        (key,), _years_filter(key, years, pred), aggs, lambda g: _every_year(g, key, names, seen, change_name)
     )
 
 
@@ -150,15 +176,26 @@ def yearly_pivot(
     conditional aggregate rather than ``pivot``, which would add a second
     group-by and a second shuffle.
     """
+    return yearly_pivot_spec(key, years, pred, prefix=prefix, change_name=change_name).run(df)
+
+
+def yearly_pivot_spec(
+    key: str,
+    years: Sequence[int],
+    pred: Column,
+    *,
+    prefix: str = "certifications",
+    change_name: str = "net_change",
+) -> Grouped:
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
-    g = (
-        df.where(pred & F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*[F.nullif(hits(_in_year(y)), F.lit(0)).alias(n) for y, n in zip(years, names)])
-    )
-    change = F.coalesce(F.col(names[-1]) - F.col(names[0]), F.lit(0).cast("bigint"))
-    return g.select(key, *names, change.alias(change_name))
+    aggs = tuple((n, F.nullif(hits(pred & _in_year(y)), F.lit(0))) for y, n in zip(years, names))
+
+    def finish(g: DataFrame) -> DataFrame:
+        change = F.coalesce(F.col(names[-1]) - F.col(names[0]), F.lit(0).cast("bigint"))
+        return g.select(key, *names, change.alias(change_name))
+
+    return Grouped((key,), pred & F.col(key).isNotNull(), aggs, finish)
 
 
 def _all(conds: list[Column]) -> Column:

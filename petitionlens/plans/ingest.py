@@ -2,9 +2,8 @@
 
 ``ingest`` is the whole load path as one Spark job: read RAW rows (CSV or
 any data source), clean them, store them as Parquet (idempotently by
-default), and return the stored table.  ``run_catalogue`` builds the
-DataFrames of the selected analysis groups over that table; nothing runs
-until the caller acts on them.
+default), and return the stored table.  ``run_catalogue`` answers the
+selected analysis groups over that table, one scan per group-by key.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from petitionlens.operators.clean import clean_petitions
 from petitionlens.plans.catalogue import select
+from petitionlens.plans.shared import run_catalogue_shared
 from petitionlens.schema import RAW, require
 from petitionlens.sources.files import (
     read_petitions,
@@ -61,6 +61,20 @@ def ingest(
 def run_catalogue(
     petitions: DataFrame,
     groups: Sequence[str] | None = ("basic", "additional", "task", "timing"),
+    *,
+    shared: bool = True,
+    params: dict[str, dict] | None = None,
 ) -> dict[str, DataFrame]:
-    """Lazy DataFrames of the analyses in ``groups`` over the clean table."""
-    return {key: w.run(petitions) for key, w in select(groups).items() if w.source == "clean"}
+    """DataFrames of the analyses in ``groups`` over the clean table.
+
+    ``shared=True`` (the default) reads the table once per group-by key and
+    checkpoints each per-key summary in the shared folder now; the answers
+    then read only those summaries.  ``shared=False`` returns one lazy,
+    independent plan per analysis.
+    """
+    if shared:
+        return run_catalogue_shared(petitions, params, groups)
+    params = params or {}
+    return {
+        key: w.run(petitions, **params.get(key, {})) for key, w in select(groups).items() if w.source == "clean"
+    }
