@@ -1,8 +1,8 @@
 """Answer many analyses from one scan per group-by key.
 
-Run one at a time, the 34 catalogue analyses scan the table 34 times; 14 of
-them group by occupation, 6 by job title, several by state or worksite, 3
-are global counts.  ``run_shared`` merges every analysis with the same key
+Run one at a time, the 33 catalogue analyses over the clean table scan it
+33 times; 14 of them group by occupation, 6 by job title, two each by state
+and worksite, and 3 are global counts.  ``run_shared`` merges every analysis with the same key
 into ONE group-by over ONE scan (the row filters are OR-ed, and each
 analysis' aggregates are conditional on its own rows), stores that small
 per-key summary as a reliable checkpoint in the shared folder
@@ -61,7 +61,8 @@ def run_shared(
 ) -> dict[str, DataFrame]:
     """The answer of every spec, computed from one summary per distinct key.
 
-    With ``checkpoint=True`` each summary is computed now (one job per key)
+    A key that serves a single analysis runs that analysis' own plan.  With
+    ``checkpoint=True`` each shared summary is computed now (one job per key)
     and stored in the shared folder; the returned DataFrames read only the
     summaries.  With ``checkpoint=False`` nothing runs yet, and each answer
     recomputes its summary when acted on.
@@ -70,6 +71,9 @@ def run_shared(
         shared_dir(df.sparkSession)  # the reliable checkpoint location must be configured
     answers: dict[str, DataFrame] = {}
     for keys, (summary, names) in summaries(df, specs).items():
+        if len(names) == 1:  # nothing to share: the analysis' own (lazy) plan
+            answers[names[0]] = specs[names[0]].run(df)
+            continue
         if checkpoint:
             summary = summary.checkpoint(eager=True)
         for i, name in enumerate(names):
