@@ -31,7 +31,7 @@ def read_petitions_csv(spark: SparkSession, path: str, *, header: bool = True) -
 
 
 def read_table(spark: SparkSession, fmt: str, name: str, **options: str) -> DataFrame:
-    """Any Spark data source by format name (``bigquery``, ``jdbc``, ``orc`` ...).
+    """Any Spark data source by format name (``jdbc``, ``orc``, ``avro``, a warehouse connector ...).
 
     The connector itself must be on the cluster classpath; nothing here
     depends on a particular vendor.
