@@ -61,3 +61,15 @@ def test_one_scan_per_key(spark, small):
     assert len(names) == 14
     s = summary(physical_plan(occupation))
     assert (s["scans"], s["joins"], s["hash_exchanges"]) == (1, 0, 1)
+
+
+def test_report_previews_every_answer(small):
+    from petitionlens.plans.ingest import run_catalogue
+    from petitionlens.plans.report import report
+
+    answers = run_catalogue(small, groups=("basic", "task"), params=PARAMS)
+    text = report(answers, groups=("basic", "task"))
+    assert text.startswith("### BASIC QUERIES ###") and "### TASKS ###" in text
+    for ident in ("B1", "B2", "B3", "B4", "K1", "K2", "K3"):
+        assert f"## {ident} " in text
+    assert "ADDITIONAL" not in text
