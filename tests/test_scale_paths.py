@@ -64,3 +64,15 @@ def test_hot_state_is_pre_aggregated_and_answers_stay_whole(spark):
     assert "partial_count" in plan and summary(plan)["windows"] == 0
     total = CATALOGUE["certs_by_state"].run(df).agg(F.sum("visa_requests")).first()[0]
     assert total == 600
+
+
+def test_exact_ids_with_one_id_on_a_third_of_rows(spark):
+    # The join form multiplies the hot id's rows (about 100 x 35 pairs);
+    # the weighted single pass must give exactly the same answers.
+    from test_properties import _compare_all, _random_rows
+
+    data = _random_rows(21, 300)
+    for r in data[::3]:
+        r["id"] = 7
+    assert sum(r["id"] == 7 for r in data) >= 100
+    assert _compare_all(spark, data, exact_ids=True) == []
