@@ -45,6 +45,7 @@ def ingest(
     fmt: str = "csv",
     mode: str = "ignore",
     partition_by: Sequence[str] = ("year",),
+    files_per_partition: int | None = None,
     **options: str,
 ) -> DataFrame:
     """RAW source -> clean -> Parquet at ``target``; returns the stored table.
@@ -54,7 +55,7 @@ def ingest(
     year-filtered analysis read only its years.
     """
     clean = clean_petitions(read_raw(spark, source, fmt=fmt, **options))
-    write_petitions(clean, target, mode, partition_by=tuple(partition_by))
+    write_petitions(clean, target, mode, partition_by=tuple(partition_by), files_per_partition=files_per_partition)
     return read_petitions(spark, target)
 
 

@@ -55,6 +55,7 @@ def write_petitions(
     mode: str = "error",
     *,
     partition_by: tuple[str, ...] = (),
+    files_per_partition: int | None = None,
     check_schema: bool = True,
 ) -> None:
     """Write clean petitions to Parquet.
@@ -64,11 +65,20 @@ def write_petitions(
     default ``'error'`` refuses to touch existing data.  With
     ``partition_by=('year',)`` a filter on a single year reads only its
     directory.
+
+    Without a shuffle each write task produces one file per partition value
+    it holds, i.e. up to (tasks x years) files.  ``files_per_partition=n``
+    trades one shuffle for at most ``n`` files per partition value: rows are
+    hashed on (partition columns, id mod n), so even a year holding a third
+    of all rows is split into ``n`` equal slices, never sent to one task.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
     if check_schema:
         require(df, CLEAN)
+    if partition_by and files_per_partition:
+        salt = F.pmod(F.xxhash64("id"), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -185,3 +185,16 @@ def test_ingest_job_and_catalogue_groups(spark, scratch):
     raw = raw_petitions(spark, SF_SMALL)
     raw.toDF(*[c.upper() for c in raw.columns]).write.parquet(pq)
     assert read_raw(spark, pq, fmt="parquet").columns == [f.name for f in RAW.fields]
+
+
+def test_partitioned_sink_with_bounded_files_per_year(spark, scratch):
+    import glob
+
+    clean = clean_petitions(raw_petitions(spark, SF_SMALL)).repartition(12)
+    path = os.path.join(scratch, "bounded")
+    write_petitions(clean, path, partition_by=("year",), files_per_partition=2)
+    for year_dir in glob.glob(os.path.join(path, "year=*")):
+        assert 1 <= len(glob.glob(os.path.join(year_dir, "*.parquet"))) <= 2
+    stored = read_petitions(spark, path)
+    assert stored.count() == 1500
+    assert stored.exceptAll(clean).count() == 0
