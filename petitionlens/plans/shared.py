@@ -65,7 +65,9 @@ def run_shared(
     ``checkpoint=True`` each shared summary is computed now (one job per key)
     and stored in the shared folder; the returned DataFrames read only the
     summaries.  With ``checkpoint=False`` nothing runs yet, and each answer
-    recomputes its summary when acted on.
+    recomputes its summary when acted on.  Checkpoint files are removed by
+    Spark once the summaries are garbage-collected if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is true.
     """
     if checkpoint:
         shared_dir(df.sparkSession)  # the reliable checkpoint location must be configured
