@@ -41,7 +41,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from petitionlens.operators import clean_petitions  # noqa: E402
 from petitionlens.plans import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
-from petitionlens.plans.shared import run_catalogue_shared  # noqa: E402
+from petitionlens.plans.shared import act_concurrently, run_catalogue_shared  # noqa: E402
 from petitionlens.plans.inspect import final_plan, summary  # noqa: E402
 from petitionlens.session import ensure_shared_dir, local_session  # noqa: E402
 from petitionlens.sources import raw_petitions, read_petitions, write_petitions  # noqa: E402
@@ -179,12 +179,19 @@ def main() -> None:
         for df in answers.values():
             _noop(df)
 
+    def shared_pass_concurrent() -> None:
+        answers = run_catalogue_shared(stored, {"cert_state_year_count": {"state": "AMERICA"}})
+        act_concurrently(answers, lambda name, df: _noop(df), concurrency=4)
+
     sc.setJobGroup("warmup", "warmup")
     shared_pass()
-    shared_times = []
+    shared_pass_concurrent()
+    shared_times, concurrent_times = [], []
     for rep in range(reps):
         sc.setJobGroup(f"shared|all|{rep}", "shared")
         shared_times.append(_timed(shared_pass))
+        sc.setJobGroup(f"concurrent|all|{rep}", "concurrent")
+        concurrent_times.append(_timed(shared_pass_concurrent))
     sc.setJobGroup("done", "done")
 
     def med(v, part=None):
@@ -239,6 +246,7 @@ def main() -> None:
                     },
                 },
                 "shared_catalogue_sec": round(statistics.median(shared_times), 4),
+                "shared_catalogue_concurrent_sec": round(statistics.median(concurrent_times), 4),
                 "one_at_a_time_catalogue_sec": round(sum(per_query[k] for k in clean_keys), 4),
                 "shared_catalogue_work": metrics.get("shared|all|0", {}),
                 "one_at_a_time_catalogue_work": alone_work,

@@ -4,6 +4,7 @@ from petitionlens.sources.files import (
     read_petitions,
     read_petitions_csv,
     read_table,
+    write_answers,
     write_petitions,
 )
 from petitionlens.sources.fixtures import petitions, raw_petitions
@@ -14,5 +15,6 @@ __all__ = [
     "read_petitions",
     "read_petitions_csv",
     "read_table",
+    "write_answers",
     "write_petitions",
 ]

@@ -83,3 +83,27 @@ def write_petitions(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def write_answers(
+    answers: dict[str, DataFrame],
+    root: str,
+    mode: str = "overwrite",
+    *,
+    concurrency: int = 4,
+) -> dict[str, str]:
+    """Write every answer as a Parquet table ``root/<name>``; returns the paths.
+
+    Answers are written concurrently (bounded), since most are small.
+    """
+    from petitionlens.plans.shared import act_concurrently
+
+    if mode not in WRITE_MODES:
+        raise ValueError(f"mode must be one of {WRITE_MODES}")
+    base = root.rstrip("/")
+
+    def write(name: str, df: DataFrame) -> str:
+        df.write.mode(mode).parquet(f"{base}/{name}")
+        return f"{base}/{name}"
+
+    return act_concurrently(answers, write, concurrency=concurrency)

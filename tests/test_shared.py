@@ -73,3 +73,15 @@ def test_report_previews_every_answer(small):
     for ident in ("B1", "B2", "B3", "B4", "K1", "K2", "K3"):
         assert f"## {ident} " in text
     assert "ADDITIONAL" not in text
+
+
+def test_answers_written_concurrently_equal_the_answers(spark, small, scratch):
+    from petitionlens.sources import write_answers
+
+    answers = run_catalogue_shared(small, PARAMS, groups=("basic", "timing"))
+    paths = write_answers(answers, scratch + "/answers", concurrency=4)
+    assert set(paths) == set(answers)
+    for name, path in paths.items():
+        stored = spark.read.parquet(path)
+        assert stored.columns == answers[name].columns
+        assert stored.exceptAll(answers[name]).count() == 0 and answers[name].exceptAll(stored).count() == 0
