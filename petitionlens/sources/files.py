@@ -96,7 +96,7 @@ def write_answers(
 
     Answers are written concurrently (bounded), since most are small.
     """
-    from petitionlens.plans.shared import act_concurrently
+    from petitionlens.plans.actions import act_concurrently
 
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
