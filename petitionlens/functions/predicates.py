@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The case-status vocabulary the analyses depend on.
-CERTIFIED = "CERTIFIED"  # matched as a prefix (or as a substring in the row-pipeline forms)
+CERTIFIED = "CERTIFIED"  # matched as a prefix (or as a substring in the row forms)
 DENIED = "DENIED"  # matched exactly
 WITHDRAWN = "WITHDRAWN"  # matched as a suffix
 

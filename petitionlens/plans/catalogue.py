@@ -313,7 +313,7 @@ def job_six_year_wages(p: DataFrame, years: Sequence[int] = SIX_YEARS, exact_ids
     return _by_desc("net_change", JOB)(yearly_means(p, JOB, WAGE, years, certified(), exact_ids=True))
 
 
-# --- timing pipelines (row-pipeline answers, which differ from the SQL ones) -------------
+# --- timing group (the row-form answers differ from the SQL ones) ------------------------
 
 
 def soc_years_pivot_spec(years: Sequence[int] = SIX_YEARS) -> Grouped:

@@ -120,7 +120,7 @@ def test_union_of_two_totals_is_distinct(spark):
     assert rows(C.denied_vs_cert_wage(empty)) == [(0, None)]
 
 
-def test_row_pipeline_pivot_differs_from_sql_form(spark):
+def test_row_form_pivot_differs_from_sql_form(spark):
     # Substring match, no all-years rule, NULL for a missing year, change 0.
     df = table(spark, [
         dict(id=1, soc_name="A", case_status=CERT, year=2011),
@@ -139,7 +139,7 @@ def test_row_pipeline_pivot_differs_from_sql_form(spark):
     assert C.soc_six_year_certs(df).count() == 0
 
 
-def test_row_pipeline_counts_null_occupation(spark):
+def test_row_form_counts_null_occupation(spark):
     # The row form counts rows of the NULL group; the SQL form reports 0.
     df = table(spark, [
         dict(id=1, soc_name=None, case_status=CERT),
