@@ -65,17 +65,22 @@ def run_catalogue(
     *,
     shared: bool = True,
     params: dict[str, dict] | None = None,
+    exact_ids: bool = False,
 ) -> dict[str, DataFrame]:
     """DataFrames of the analyses in ``groups`` over the clean table.
 
     ``shared=True`` (the default) reads the table once per group-by key and
     checkpoints each per-key summary in the shared folder now; the answers
     then read only those summaries.  ``shared=False`` returns one lazy,
-    independent plan per analysis.
+    independent plan per analysis.  ``exact_ids=True`` answers the
+    id-sensitive analyses exactly when ids repeat.
     """
     if shared:
-        return run_catalogue_shared(petitions, params, groups)
+        return run_catalogue_shared(petitions, params, groups, exact_ids=exact_ids)
     params = params or {}
-    return {
-        key: w.run(petitions, **params.get(key, {})) for key, w in select(groups).items() if w.source == "clean"
-    }
+    out = {}
+    for key, w in select(groups).items():
+        if w.source == "clean":
+            extra = {"exact_ids": True} if exact_ids and w.id_sensitive else {}
+            out[key] = w.run(petitions, **params.get(key, {}), **extra)
+    return out

@@ -102,14 +102,26 @@ def run_catalogue_shared(
     groups=None,
     *,
     checkpoint: bool = True,
+    exact_ids: bool = False,
 ) -> dict[str, DataFrame]:
     """Every catalogue analysis over the clean table, sharing scans per key.
 
     Analyses that are not a single group-by (all rows, rows of one year, the
-    per-state modal occupation) run on their own.
+    per-state modal occupation) run on their own; so do the id-sensitive ones
+    when ``exact_ids=True`` (their exact form joins on id).
     """
-    answers = run_shared(df, catalogue_specs(params, groups), checkpoint=checkpoint)
+    params = params or {}
+    specs = catalogue_specs(params, groups)
+    alone = {}
+    if exact_ids:
+        alone = {k: {**params.get(k, {}), "exact_ids": True} for k in specs if CATALOGUE[k].id_sensitive}
+        specs = {k: v for k, v in specs.items() if k not in alone}
+    answers = run_shared(df, specs, checkpoint=checkpoint)
     for key, w in CATALOGUE.items():
-        if w.spec is None and w.source == "clean" and (groups is None or w.group in set(groups)):
-            answers[key] = w.run(df, **(params or {}).get(key, {}))
+        if w.source != "clean" or (groups is not None and w.group not in set(groups)):
+            continue
+        if key in alone:
+            answers[key] = w.run(df, **alone[key])
+        elif w.spec is None:
+            answers[key] = w.run(df, **params.get(key, {}))
     return answers

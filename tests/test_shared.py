@@ -85,3 +85,26 @@ def test_answers_written_concurrently_equal_the_answers(spark, small, scratch):
         stored = spark.read.parquet(path)
         assert stored.columns == answers[name].columns
         assert stored.exceptAll(answers[name]).count() == 0 and answers[name].exceptAll(stored).count() == 0
+
+
+def test_shared_catalogue_with_exact_ids_on_repeated_ids(spark):
+    import duckdb
+
+    from oracle_check import rows_of
+    from petitionlens.plans import oracle_sql
+    from test_properties import _arrow
+
+    data = _random_rows(31, 300, repeated_ids=True)
+    df = spark.createDataFrame([tuple(r[f.name] for f in ANALYSIS.fields) for r in data], ANALYSIS)
+    answers = run_catalogue_shared(df, {"cert_state_year_count": {"state": "TEXAS"}}, exact_ids=True)
+    con = duckdb.connect()
+    con.register("p_input", _arrow(data))
+    stmts = oracle_sql.statements()
+    stmts["cert_state_year_count"] = oracle_sql.cert_state_year_count("TEXAS", 2016)
+    bad = []
+    for key, got in answers.items():
+        cur = con.execute(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM p_input"))
+        want = rows_of([c[0] for c in cur.description], cur.fetchall())
+        if rows_of(got.columns, [tuple(r) for r in got.collect()]) != want:
+            bad.append(key)
+    assert len(answers) == 33 and bad == []
