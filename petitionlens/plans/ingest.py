@@ -28,13 +28,14 @@ from petitionlens.sources.files import (
 def read_raw(spark: SparkSession, source: str, *, fmt: str = "csv", **options: str) -> DataFrame:
     """RAW rows from a CSV path, or from any data source by name.
 
-    A table is bound by column name (case-insensitively), and must carry
-    every RAW column with the RAW type.
+    A table is bound by column name (case-insensitively) and every RAW
+    column is cast to its RAW type, so a table that already types a column
+    (an integer id, a double wage) still goes through the same cleaning.
     """
     if fmt == "csv":
         return read_petitions_csv(spark, source)
     table = read_table(spark, fmt, source, **options)
-    return require(table.select([F.col(f.name).alias(f.name) for f in RAW.fields]), RAW)
+    return require(table.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields]), RAW)
 
 
 def ingest(

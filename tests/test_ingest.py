@@ -186,6 +186,17 @@ def test_ingest_job_and_catalogue_groups(spark, scratch):
     raw.toDF(*[c.upper() for c in raw.columns]).write.parquet(pq)
     assert read_raw(spark, pq, fmt="parquet").columns == [f.name for f in RAW.fields]
 
+    # A table that types its numbers (int id, double wage) is cleaned the same way.
+    typed = os.path.join(scratch, "typed_table")
+    raw.select(
+        F.col("id").cast("int").alias("ID"),
+        *[F.col(c) for c in raw.columns if c not in ("id", "prevailing_wage")],
+        F.col("prevailing_wage").try_cast("double").alias("PREVAILING_WAGE"),
+    ).write.parquet(typed)
+    cleaned = clean_petitions(read_raw(spark, typed, fmt="parquet"))
+    want = clean_petitions(raw)
+    assert cleaned.select("id", "prevailing_wage").exceptAll(want.select("id", "prevailing_wage")).count() == 0
+
 
 def test_partitioned_sink_with_bounded_files_per_year(spark, scratch):
     import glob
