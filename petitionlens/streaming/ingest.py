@@ -32,17 +32,28 @@ def start_incremental_ingest(
     partition_by: tuple[str, ...] = (),
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    fmt: str = "csv",
 ) -> StreamingQuery:
-    """Start the query; with ``available_now`` it processes what is there and stops."""
-    reader = (
-        spark.readStream.schema(RAW)
-        .option("header", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-    )
+    """Start the query; with ``available_now`` it processes what is there and stops.
+
+    ``fmt`` is the landing files' format: CSV (positional, header skipped)
+    or any file format Spark streams (Parquet, JSON, ORC ...), read by
+    column name with the RAW schema.
+    """
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    clean = clean_petitions(reader.csv(landing))
+    if fmt == "csv":
+        raw = (
+            reader.schema(RAW)
+            .option("header", True)
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .csv(landing)
+        )
+    else:
+        raw = reader.schema(RAW).format(fmt).load(landing)
+    clean = clean_petitions(raw)
     if checkpoint is None:
         # A stable name: the same landing/target pair resumes the same progress.
         digest = hashlib.sha256(f"{landing}\n{target}".encode()).hexdigest()[:16]

@@ -33,3 +33,16 @@ def test_incremental_ingest_is_exactly_once(spark, scratch):
     assert stored.count() == 1500
     cols = [c for c in stored.columns if c not in ("lon", "lat")]
     assert stored.select(cols).exceptAll(petitions(spark, SF_SMALL).select(cols)).count() == 0
+
+
+def test_incremental_ingest_of_parquet_landing(spark, scratch):
+    landing, target, ckpt = (os.path.join(scratch, n) for n in ("landing", "table", "ckpt"))
+    raw = raw_petitions(spark, SF_SMALL)
+    raw.where(F.col("id") < 3000).write.parquet(os.path.join(landing, "a"))
+    ingest_available(spark, landing + "/*", target, checkpoint=ckpt, fmt="parquet")
+    raw.where(F.col("id") >= 3000).write.parquet(os.path.join(landing, "b"))
+    ingest_available(spark, landing + "/*", target, checkpoint=ckpt, fmt="parquet")
+    stored = read_petitions(spark, target)
+    assert stored.count() == 1500
+    cols = [c for c in stored.columns if c not in ("lon", "lat")]
+    assert stored.select(cols).exceptAll(petitions(spark, SF_SMALL).select(cols)).count() == 0
