@@ -38,7 +38,9 @@ from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from petitionlens.operators import clean_petitions  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from petitionlens.operators import clean_petitions, ordered  # noqa: E402
 from petitionlens.plans import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
 from petitionlens.plans.actions import act_concurrently  # noqa: E402
@@ -47,16 +49,19 @@ from petitionlens.plans.inspect import final_plan, summary  # noqa: E402
 from petitionlens.session import ensure_shared_dir, local_session  # noqa: E402
 from petitionlens.sources import raw_petitions, read_petitions, write_petitions  # noqa: E402
 
-JOIN_FORM_KEYS = (
-    "soc_six_year_certs",
-    "job_six_year_certs",
-    "soc_six_year_wages",
-    "job_six_year_wages",
-    "employer_certs_and_pay",
-    "soc_yoy_2015_2016",
-    "cert_rate_by_full_time",
-    "soc_denied_vs_cert_wage",
-)
+# Join-form comparisons, each sorted like the single-pass answer (the
+# original questions sort their output too): (descending column, tie key).
+JOIN_FORM_ORDER = {
+    "soc_six_year_certs": ("net_change", "soc_name"),
+    "job_six_year_certs": ("net_change", "job_title"),
+    "soc_six_year_wages": ("net_change", "soc_name"),
+    "job_six_year_wages": ("net_change", "job_title"),
+    "employer_certs_and_pay": ("application_count", "employer_name"),
+    "soc_yoy_2015_2016": ("yoy_change", "soc_name"),
+    "cert_rate_by_full_time": ("rate_certified", "full_time_position"),
+    "soc_denied_vs_cert_wage": ("denied_visa_count", "soc_name"),
+}
+JOIN_FORM_KEYS = tuple(JOIN_FORM_ORDER)
 
 
 def _noop(df) -> None:
@@ -153,7 +158,9 @@ def main() -> None:
     stmts = oracle_sql.statements()
 
     def join_form(key: str):
-        return spark.sql(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions"))
+        by, tie = JOIN_FORM_ORDER[key]
+        df = spark.sql(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions"))
+        return ordered(df, [F.desc(by)], [tie])
 
     # Final adaptive plan shape per query (scans, joins, exchanges): what grows with the data.
     shapes = {k: summary(final_plan(run(k))) for k in CATALOGUE}
