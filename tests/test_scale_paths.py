@@ -76,3 +76,11 @@ def test_exact_ids_with_one_id_on_a_third_of_rows(spark):
         r["id"] = 7
     assert sum(r["id"] == 7 for r in data) >= 100
     assert _compare_all(spark, data, exact_ids=True) == []
+
+
+def test_exact_ids_join_on_id_without_broadcast(spark):
+    from test_properties import _compare_all, _random_rows
+
+    data = _random_rows(41, 250, repeated_ids=True)
+    with conf(spark, NO_BROADCAST):
+        assert _compare_all(spark, data, exact_ids=True) == []
