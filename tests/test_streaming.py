@@ -46,3 +46,17 @@ def test_incremental_ingest_of_parquet_landing(spark, scratch):
     assert stored.count() == 1500
     cols = [c for c in stored.columns if c not in ("lon", "lat")]
     assert stored.select(cols).exceptAll(petitions(spark, SF_SMALL).select(cols)).count() == 0
+
+
+def test_bounded_micro_batches(spark, scratch):
+    from petitionlens.streaming import start_incremental_ingest
+
+    landing, target, ckpt = (os.path.join(scratch, n) for n in ("landing", "table", "ckpt"))
+    raw = raw_petitions(spark, SF_SMALL)
+    for i in range(3):
+        raw.where(F.col("id") % 3 == i).coalesce(1).write.option("header", True).csv(os.path.join(landing, f"b{i}"))
+    q = start_incremental_ingest(spark, landing + "/*", target, checkpoint=ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3 and sum(p["numInputRows"] for p in batches) == 1500
+    assert read_petitions(spark, target).count() == 1500
