@@ -39,3 +39,15 @@ def test_entry_smoke(spark):
     df = entry_module.entry(spark)
     assert df.count() == 21
     assert df.columns[0] == "soc_name" and df.columns[-1] == "net_change"
+
+
+def test_values_recorded_in_fixtures(small):
+    """Values FIXTURES.md records for sf0.001, computed independently there."""
+    from petitionlens.plans import catalogue as C
+
+    assert C.cert_state_year_count(small, state="AMERICA").first()[0] == 20
+    b2 = C.top10_soc_max_rate(small).first()
+    b3 = C.top10_soc_min_rate(small).first()
+    assert (b2[0], round(b2[1], 5)) == ("MACHINERY NOT SPECIFIED", 0.57377)
+    assert (b3[0], round(b3[1], 5)) == ("BUILDING HIGH", 0.34524)
+    assert C.withdrawn_count(small).first()[0] == 479
