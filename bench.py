@@ -181,6 +181,7 @@ def main() -> None:
         for key in JOIN_FORM_KEYS:
             sc.setJobGroup(f"jf|{key}|{rep}", key)
             jtimes[key].append(_build_and_run(lambda: join_form(key)))
+
     # The whole catalogue with shared scans: one summary per group-by key.
     def shared_pass() -> None:
         answers = run_catalogue_shared(stored, {"cert_state_year_count": {"state": "AMERICA"}})
