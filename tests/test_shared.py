@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from petitionlens.plans.catalogue import CATALOGUE
-from petitionlens.plans.inspect import physical_plan, summary
+from petitionlens.plans.inspect import final_plan, physical_plan, summary
 from petitionlens.plans.shared import catalogue_specs, run_catalogue_shared, summaries
 
 from helpers import ANALYSIS
@@ -61,6 +63,9 @@ def test_one_scan_per_key(spark, small):
     assert len(names) == 14
     s = summary(physical_plan(occupation))
     assert (s["scans"], s["joins"], s["hash_exchanges"]) == (1, 0, 1)
+    # The wide summary (dozens of aggregates) still runs in whole-stage codegen.
+    plan = final_plan(occupation)
+    assert re.search(r"\*\(\d+\) HashAggregate", plan) and "partial_" in plan
 
 
 def test_report_previews_every_answer(small):
