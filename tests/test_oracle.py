@@ -29,7 +29,7 @@ def test_registry_is_complete():
 
 def test_all_queries_match_oracle(spark):
     results = compare(spark, SF_SMALL)
-    bad = {k: r for k, r in results.items() if not (r["values_match"] and r["columns_match"])}
+    bad = {k: r for k, r in results.items() if not (r["values_match"] and r["columns_match"] and r["types_match"])}
     assert bad == {}
     counts = {k: r["spark_rows"] for k, r in results.items() if k in EXPECTED_ROWS}
     assert counts == EXPECTED_ROWS
