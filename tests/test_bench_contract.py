@@ -24,3 +24,12 @@ def test_bench_prints_one_json_line():
     assert all(v > 0 for v in d["queries"].values())
     assert d["plan_shape"]["soc_six_year_certs"]["scans"] == 1
     assert d["join_form_plan_shape"]["soc_six_year_certs"]["joins"] == 6
+
+
+def test_end_to_end_report_script():
+    out = subprocess.run(
+        [sys.executable, os.path.join(ROOT, "tools", "run_report.py"), SF_SMALL, "basic"],
+        capture_output=True, text=True, timeout=900, check=True,
+    ).stdout
+    assert out.startswith("1500 records in the clean table.")
+    assert "### BASIC QUERIES ###" in out and "MACHINERY NOT SPECIFIED" in out
