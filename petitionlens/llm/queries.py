@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
+from .suffix_dedup import op7_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op4_quality_rules,
         op5_simhash_dedup,
+        op7_suffix_array_dedup,
     )
 }
 
