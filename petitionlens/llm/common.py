@@ -55,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts lineage so that later stages neither repeat the work nor depend on
@@ -63,7 +63,7 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -76,12 +76,10 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def record_batch(rows: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
-    """A batch from plain columns in the order of ``schema``."""
-    return pa.RecordBatch.from_arrays(
-        [rows[f.name] if isinstance(rows[f.name], pa.Array) else pa.array(rows[f.name], f.type) for f in schema],
-        schema=schema,
-    )
+def rows_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of ``rows``, which may be empty."""
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def with_columns(

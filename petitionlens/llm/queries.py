@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import op1_packing
 from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
 from .suffix_dedup import op7_suffix_array_dedup
+from .token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_packing,
         op4_quality_rules,
         op5_simhash_dedup,
         op7_suffix_array_dedup,
+        op10_token_counts,
     )
 }
 

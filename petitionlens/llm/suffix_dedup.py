@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Batches, arrow_schema, map_batches, materialise, read_table, utf8
+from .common import Batches, arrow_schema, map_batches, materialise, read_table, rows_batch, utf8
 from .suffix_array import suffix_array
 
 GRAM = 128
@@ -190,18 +190,14 @@ def _map(df: DataFrame, fn, ddl: str) -> DataFrame:
                 rows.append(row)
                 size += 64 + sum(len(x) for x in row if isinstance(x, (bytes, list)))
                 if size > 8 << 20:
-                    yield _batch(rows, schema)
+                    yield rows_batch(rows, schema)
                     rows, size = [], 0
             if rows:
-                yield _batch(rows, schema)
+                yield rows_batch(rows, schema)
 
     return map_batches(df, run, kind)
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-
 def text_key(data: Column) -> Column:
     """128 bits of SHA-256: the identity of a text."""
     return F.substring(F.unhex(F.sha2(data, 256)), 1, 16)
@@ -295,7 +291,7 @@ def repeated_runs(texts: DataFrame, length: int = 400, group: int = 20_000) -> D
             found = repeated_windows([(piece, off, copies) for _, _, copies, off, piece in part], length)
             runs = [as_runs(x) for x in found]
             out = [(r[0], r[1], s, e) for r, (s, e) in zip(part, runs) if s]
-            return _batch(out, schema) if out else _empty(schema)
+            return rows_batch(out, schema)
 
         for b in batches:
             rows += zip(*[c.to_pylist() for c in b.columns])
@@ -335,10 +331,6 @@ def repeated_runs(texts: DataFrame, length: int = 400, group: int = 20_000) -> D
     return sure.union(placed)
 
 
-def _empty(schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
-
-
 def cut(data: bytes, starts: list[int], ends: list[int], length: int) -> tuple[int, int, bytes]:
     """(bytes removed, maximal removed runs, remaining bytes) for runs of repeated window starts."""
     kept, at, removed, spans = [], 0, 0, 0
