@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op2_decontamination
 from .packing import op1_packing
 from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing,
+        op2_decontamination,
         op4_quality_rules,
         op5_simhash_dedup,
         op7_suffix_array_dedup,
