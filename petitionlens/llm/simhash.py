@@ -65,61 +65,60 @@ def quarters(fps: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps.view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest (of stars) of the links a-b."""
-    nodes, back = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = back[: len(a)], back[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, label[x], low)
-        np.minimum.at(new, label[y], low)
-        new = new[label]
-        while not np.array_equal(jump := new[new], new):
-            new = jump
-        if np.array_equal(new, label):
-            break
-        label = new
-    moved = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[moved], nodes[label[moved]]
+class Forest:
+    """Components of nodes 0..n-1 under links that come in arrays."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(self.root, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(jump := self.root[self.root], self.root):
+                self.root = jump
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        moved = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return moved, self.root[moved]
+
+
+def tile_groups(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fingerprints ordered by quarter counts, the distinct counts, and where their groups begin and end."""
+    q = quarters(fps)
+    order = np.lexsort(q.T)
+    q, fps = q[order], fps[order]
+    cuts = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]).any(axis=1)]) if len(fps) else np.zeros(0, np.int64)
+    return fps, q[cuts], np.r_[cuts, len(fps)]
 
 
 def links(left: np.ndarray, right: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between two tiles of distinct fingerprints."""
-    groups = []
-    for fps in (left,) if same else (left, right):
-        q = quarters(fps)
-        order = np.lexsort(q.T)
-        q, fps = q[order], fps[order]
-        cuts = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]).any(axis=1)]) if len(fps) else np.zeros(0, np.int64)
-        groups.append((q[cuts], np.split(fps, cuts[1:])))
-    (qa, ga), (qb, gb) = groups[0], groups[-1]
-    found_a, found_b, held = [], [], 0
-    for i, x in enumerate(ga):
+    """A spanning forest of the links between two tiles of distinct fingerprints (``same``: within one)."""
+    a, qa, ca = tile_groups(left)
+    b, qb, cb = (a, qa, ca) if same else tile_groups(right)
+    shift = 0 if same else len(a)
+    found = Forest(len(a) if same else len(a) + len(b))
+    for i in range(len(qa)):
         near = np.flatnonzero(np.abs(qb - qa[i]).sum(axis=1) <= radius)
         if same:
             near = near[near >= i]
         if not len(near):
             continue
-        y = np.concatenate([gb[j] for j in near])
-        for at in range(0, len(x), 512):
-            part = x[at : at + 512]
-            for to in range(0, len(y), 4096):
-                other = y[to : to + 4096]
-                r, c = np.nonzero(np.bitwise_count(part[:, None] ^ other[None, :]) <= radius)
+        cols = np.concatenate([np.arange(cb[j], cb[j + 1]) for j in near])
+        for at in range(ca[i], ca[i + 1], 256):
+            rows = np.arange(at, min(at + 256, ca[i + 1]))
+            for to in range(0, len(cols), 2048):
+                other = cols[to : to + 2048]
+                r, c = np.nonzero(np.bitwise_count(a[rows][:, None] ^ b[other][None, :]) <= radius)
                 if len(r):
-                    u, v = part[r], other[c]
-                    diff = u != v
-                    found_a.append(u[diff])
-                    found_b.append(v[diff])
-                    held += int(diff.sum())
-                    if held > 2_000_000:
-                        u, v = forest(np.concatenate(found_a), np.concatenate(found_b))
-                        found_a, found_b, held = [u], [v], 0
-    if not found_a:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return forest(np.concatenate(found_a), np.concatenate(found_b))
+                    found.join(rows[r], other[c] + shift)
+    nodes = a if same else np.concatenate([a, b])
+    u, v = found.edges()
+    return nodes[u], nodes[v]
 
 
 EDGE = "a long, b long"
