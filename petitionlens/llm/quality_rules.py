@@ -217,6 +217,21 @@ def quality_rules(
     return judge(features, thresholds(features, good, stratum, key, max_false_rejection, level), stratum)
 
 
+def filter_documents(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns only.
+
+    Texts are read twice, for the thresholds and for the verdicts; they are not shuffled.
+    """
+    cutoffs = thresholds(materialise(with_features(docs, text, keep=[key, stratum])), labels.where(F.col("quality") == 1), stratum, key)
+    own = [f"__{i}__" for i in range(len(docs.columns))]  # apart from the feature names
+    safe = docs.toDF(*own)
+    at = {c: n for c, n in zip(docs.columns, own)}
+    judged = judge(with_features(safe, at[text]), cutoffs, at[stratum])
+    return judged.where("kept").select(*[F.col(n).alias(c) for c, n in at.items()])
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
     judged = quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -180,6 +180,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return prints.join(classes, "fp")
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one row of each class: that with the smallest key, null keys last.
+
+    Rows with the same key and text count as one document.
+    """
+    identity = F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.xxhash64(utf8(text)).alias("text"))
+    marked = docs.withColumn("__id__", identity)
+    first = near_duplicates(marked, "__id__", text, width, radius).where(F.col("__id__") == F.col("component_id"))
+    kept = marked.join(first.select("__id__").distinct(), "__id__", "left_semi")
+    return kept.dropDuplicates(["__id__"]).select(*docs.columns)
+
+
 def hex64(col: str) -> Column:
     return F.lpad(F.lower(F.hex(col)), 16, "0")
 

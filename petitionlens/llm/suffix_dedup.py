@@ -347,14 +347,22 @@ def cut(data: bytes, starts: list[int], ends: list[int], length: int) -> tuple[i
     return removed, spans, b"".join(kept)
 
 
-def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, group: int = 20_000, with_text: bool = False) -> DataFrame:
-    """``key``, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the remaining bytes) for each row of ``docs``."""
+RESULT = "tkey binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+
+
+def cut_texts(docs: DataFrame, text: str = "text", length: int = 400, group: int = 20_000, with_text: bool = False) -> DataFrame:
+    """RESULT for each distinct text of ``docs``, written to the shared folder.
+
+    ``kept`` (null unless ``with_text``) is the remaining text; a character of
+    which a part was removed is left out of it.
+    """
     spark = docs.sparkSession
     name = distinct_texts(docs, text)
-    keyed = docs.select(F.col(key).alias(key), text_key(utf8(text)).alias("tkey"))
-    copies = keyed.groupBy("tkey").agg((F.count(F.lit(1)) > 1).alias("copied"))
+    copies = docs.select(text_key(utf8(text)).alias("tkey")).groupBy("tkey").agg((F.count(F.lit(1)) > 1).alias("copied"))
     runs = repeated_runs(spark.table(name), length, group)
-    lists = runs.groupBy("tkey").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+    lists = runs.groupBy("tkey").agg(
+        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")
+    )
     sides = copies.where("copied").join(lists, "tkey", "full").select("tkey", "copied", "starts", "ends")
 
     def remove(keys, data, copied, starts, ends):
@@ -365,15 +373,25 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
                 removed, spans, kept = cut(d, s, e, length)
             else:
                 removed, spans, kept = 0, 0, d
-            yield (k, len(d), removed, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None)
+            yield k, len(d), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None
 
-    ddl = "tkey binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     joined = spark.table(name).join(sides, "tkey", "left").select("tkey", "data", "copied", "starts", "ends")
-    result = materialise(_map(joined, remove, ddl))
+    result = materialise(_map(joined, remove, RESULT))
     spark.sql(f"DROP TABLE {name}")
-    if not with_text:
-        result = result.drop("kept")
-    return keyed.join(result, "tkey").drop("tkey")
+    return result
+
+
+def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, group: int = 20_000) -> DataFrame:
+    """``key``, n_bytes, n_removed, n_spans, kept_sha256 for each row of ``docs``."""
+    found = cut_texts(docs, text, length, group).drop("kept")
+    return docs.select(key, text_key(utf8(text)).alias("tkey")).join(found, "tkey").drop("tkey")
+
+
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``; all other columns and rows stay (null text: empty)."""
+    found = cut_texts(docs, text, length, with_text=True).select("tkey", F.col("kept").alias("__kept__"))
+    rest = docs.withColumn("tkey", text_key(utf8(text))).drop(text)
+    return rest.join(found, "tkey").select(*[F.col("__kept__").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
