@@ -12,17 +12,21 @@ from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
 from .suffix_dedup import op7_suffix_array_dedup
 from .token_counts import op10_token_counts
+from .training_order import op9_training_order
+from .warc import OP3_SQL, op3_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing,
         op2_decontamination,
+        op3_warc,
         op4_quality_rules,
         op5_simhash_dedup,
         op7_suffix_array_dedup,
+        op9_training_order,
         op10_token_counts,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
