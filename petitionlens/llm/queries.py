@@ -12,6 +12,7 @@ from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
 from .suffix_dedup import op7_suffix_array_dedup
 from .token_counts import op10_token_counts
+from .toxicity import op8_toxicity
 from .training_order import op9_training_order
 from .warc import OP3_SQL, op3_warc
 
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality_rules,
         op5_simhash_dedup,
         op7_suffix_array_dedup,
+        op8_toxicity,
         op9_training_order,
         op10_token_counts,
     )
