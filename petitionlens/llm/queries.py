@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op2_decontamination
+from .html_extract import op6_html_extraction
 from .packing import op1_packing
 from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_warc,
         op4_quality_rules,
         op5_simhash_dedup,
+        op6_html_extraction,
         op7_suffix_array_dedup,
         op8_toxicity,
         op9_training_order,

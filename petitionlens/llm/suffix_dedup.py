@@ -17,14 +17,13 @@
 Windows are judged on the input and never cross texts.  Defined results: null
 and empty texts have nothing removed; texts shorter than ``length`` cannot hold
 a window; equal rows lose everything from ``length`` bytes on; a text of any
-size is read in pieces of one megabyte.
+size is read in pieces of SEGMENT bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,19 +36,17 @@ from pyspark.sql.types import StructType
 from .common import Batches, arrow_schema, map_batches, materialise, read_table, rows_batch, utf8
 from .suffix_array import suffix_array
 
-GRAM = 128
-PIECE = 25
 SEGMENT = 1 << 20
 #: odd multipliers of the doubling hash
 MIX = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * i & 0xFFFFFFFFFFFFFFFF | 1) for i in range(9)]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hash of the GRAM bytes that start at each position."""
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """64-bit hash of the ``gram`` (a power of two) bytes that start at each position."""
     h = (data.astype(np.uint64) + np.uint64(1)) * MIX[7]
     h ^= h >> np.uint64(29)
     size = 1
-    for step in range(GRAM.bit_length() - 1):
+    for step in range(gram.bit_length() - 1):
         h = h[:-size] * MIX[step] + (h[size:] ^ (h[size:] >> np.uint64(31)))
         size *= 2
     h *= MIX[8]
@@ -71,16 +68,16 @@ def chosen_anchors(hashes: np.ndarray, width: int) -> np.ndarray:
     return (low - (best & low)).astype(np.int64)
 
 
-def anchor_runs(texts: list[bytes], length: int) -> Iterator[tuple[int, int, int, int, int]]:
+def anchor_runs(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, int, int, int, int]]:
     """(text number, anchor, first window, last window, anchor hash) for each run of
-    windows with one anchor; texts are hashed together, a megabyte at a time."""
-    width = length - GRAM + 1
+    windows with one anchor; texts are hashed together, SEGMENT bytes at a time, so that the arrays stay in cache."""
+    width = length - gram + 1
     block: list[tuple[int, int, bytes]] = []
     held = 0
 
     def flush():
         data = np.frombuffer(b"".join(p for _, _, p in block), np.uint8)
-        hashes = gram_hashes(data)
+        hashes = gram_hashes(data, gram)
         pick = chosen_anchors(hashes, width)
         owner_start = np.cumsum([0, *[len(p) for _, _, p in block]])
         piece_of = np.full(len(pick), -1, np.int64)
@@ -119,20 +116,24 @@ def stretch_id(stretch: bytes, offset: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def repeated_windows(stretches: list[tuple[bytes, int, int]], length: int) -> list[list[int]]:
-    """For each (bytes, anchor offset, copies) the starts of its windows that occur at least twice.
+MANY = object()
 
-    The suffix array of the stretches' 25-byte pieces brings together the
-    places that share all whole pieces of a window; the bytes at the window's
-    two ends are then compared.
+
+def repeated_windows(stretches: list[tuple[bytes, int, bool, object]], length: int, piece: int) -> list[list[int]]:
+    """For each (bytes, anchor offset, many, owner) the starts of its windows that occur with two owners.
+
+    ``many`` says that the stretch itself has two; an owner None stands for
+    one of its own at every place.  The suffix array of the stretches' pieces
+    brings together the places that share all whole pieces of a window; the
+    bytes at the window's two ends are then compared.
     """
-    core = length // PIECE - 1
+    core = length // piece - 1
     number: dict[bytes, int] = {}
     text: list[int] = []
     where: list[tuple[int, int]] = []  # (stretch, byte) of each symbol
-    for k, (data, offset, _) in enumerate(stretches):
-        for at in range(offset % PIECE, len(data) - PIECE + 1, PIECE):
-            text.append(number.setdefault(data[at : at + PIECE], len(number) + 2))
+    for k, (data, offset, _, _) in enumerate(stretches):
+        for at in range(offset % piece, len(data) - piece + 1, piece):
+            text.append(number.setdefault(data[at : at + piece], len(number) + 2))
             where.append((k, at))
         text.append(1)
         where.append((k, -1))
@@ -149,21 +150,22 @@ def repeated_windows(stretches: list[tuple[bytes, int, int]], length: int) -> li
     if not len(order):
         return found
     same = (blocks[order[1:]] == blocks[order[:-1]]).all(axis=1)
-    cuts = np.flatnonzero(~same) + 1
-    for run in np.split(order, cuts):
-        if len(run) < 2 and stretches[where[run[0]][0]][2] < 2:
+    for run in np.split(order, np.flatnonzero(~same) + 1):
+        if len(run) < 2 and not stretches[where[run[0]][0]][2]:
             continue
-        seen: Counter = Counter()
+        seen: dict[tuple[bytes, bytes], object] = {}
         windows = []
         for s in run.tolist():
             k, at = where[s]
-            data, _, copies = stretches[k]
-            for p in range(max(0, at - PIECE + 1), min(at, len(data) - length) + 1):
-                edge = (data[p:at], data[at + core * PIECE : p + length])
-                seen[edge] += copies
+            data, _, many, owner = stretches[k]
+            for p in range(max(0, at - piece + 1), min(at, len(data) - length) + 1):
+                edge = (data[p:at], data[at + core * piece : p + length])
+                own = MANY if many else (k, p) if owner is None else owner
+                if seen.setdefault(edge, own) != own:
+                    seen[edge] = MANY
                 windows.append((k, p, edge))
         for k, p, edge in windows:
-            if seen[edge] > 1:
+            if seen[edge] is MANY:
                 found[k].append(p)
     return found
 
@@ -216,60 +218,65 @@ def distinct_texts(docs: DataFrame, text: str) -> str:
     return name
 
 
-def repeated_runs(texts: DataFrame, length: int = 400, group: int = 20_000) -> DataFrame:
-    """tkey, starts, ends: runs of window starts that occur at least twice among distinct texts."""
+def repeated_runs(
+    texts: DataFrame, length: int = 400, group: int = 20_000, gram: int = 128, piece: int = 25, across: bool = False
+) -> DataFrame:
+    """tkey, starts, ends: runs of window starts that occur at least twice among the distinct ``texts``.
+
+    ``texts`` has tkey, data and scope (long): windows are compared within a
+    scope.  ``across``: the two occurrences must be in different texts.
+    """
+    many = (F.min("tkey") != F.max("tkey")) if across else (F.count(F.lit(1)) > 1)
 
-    def grams(keys, data):
-        for i, a, first, last, h in anchor_runs(data, length):
-            yield h, stretch_id(data[i][first : last + length], a - first)
+    def grams(keys, data, scopes):
+        for i, a, first, last, h in anchor_runs(data, length, gram):
+            yield h ^ scopes[i], stretch_id(data[i][first : last + length], a - first), keys[i] if across else None
 
-    anchors = _map(texts.select("tkey", "data"), grams, "h long, sid long")
+    anchors = _map(texts.select("tkey", "data", "scope"), grams, "h long, sid long, tkey binary")
     shared = materialise(
         anchors.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("n"), (F.min("sid") != F.max("sid")).alias("mixed"))
-        .where("n > 1")
+        .agg(F.count(F.lit(1)).alias("n"), (F.min("sid") != F.max("sid")).alias("mixed"), many.alias("many"))
+        .where("many")
         .select("h", "mixed", (F.col("n") > group).alias("hot"))
     )
 
-    def numbered(keys, data):
+    def numbered(keys, data, scopes):
         at, last = 0, -1
-        for i, _, _, _, h in anchor_runs(data, length):
+        for i, _, _, _, h in anchor_runs(data, length, gram):
             at, last = (at + 1, last) if i == last else (0, i)
-            yield h, keys[i], at
+            yield h ^ scopes[i], keys[i], at
 
     listed = (
-        _map(texts.select("tkey", "data"), numbered, "h long, tkey binary, i int")
+        _map(texts.select("tkey", "data", "scope"), numbered, "h long, tkey binary, i int")
         .join(shared, "h")
         .groupBy("tkey")
         .agg(F.collect_list(F.struct("i", "mixed", "hot")).alias("marks"))
     )
 
-    def stretches(keys, data, marks):
+    def stretches(keys, data, scopes, marks):
         status = [{m["i"]: (m["mixed"], m["hot"]) for m in row} for row in marks]
         at, last_text = 0, -1
-        sure: dict[int, list[tuple[int, int]]] = {}
-        for i, a, first, last, h in anchor_runs(data, length):
+        sure: dict[int, list[list[int]]] = {}
+        for i, a, first, last, h in anchor_runs(data, length, gram):
             at, last_text = (at + 1, last_text) if i == last_text else (0, i)
             mark = status[i].get(at)
             if mark is None:
                 continue
             if not mark[0]:
-                sure.setdefault(i, []).append((first, last))
+                runs = sure.setdefault(i, [])
+                if runs and runs[-1][1] + 1 == first:
+                    runs[-1][1] = last
+                else:
+                    runs.append([first, last])
                 continue
-            piece = data[i][first : last + length]
-            yield keys[i], [first], None, h, stretch_id(piece, a - first), a - first, piece, mark[1]
+            part = data[i][first : last + length]
+            yield keys[i], [first], None, h ^ scopes[i], stretch_id(part, a - first), a - first, part, mark[1]
         for i, runs in sure.items():
-            merged: list[list[int]] = []
-            for s, e in runs:
-                if merged and merged[-1][1] + 1 == s:
-                    merged[-1][1] = e
-                else:
-                    merged.append([s, e])
-            yield keys[i], [s for s, _ in merged], [e for _, e in merged], None, None, None, None, None
+            yield keys[i], [s for s, _ in runs], [e for _, e in runs], None, None, None, None, None
 
     marked = materialise(
         _map(
-            texts.join(listed, "tkey").select("tkey", "data", "marks"),
+            texts.join(listed, "tkey").select("tkey", "data", "scope", "marks"),
             stretches,
             "tkey binary, starts array<long>, ends array<long>, h long, sid long, off int, piece binary, hot boolean",
         )
@@ -277,9 +284,13 @@ def repeated_runs(texts: DataFrame, length: int = 400, group: int = 20_000) -> D
     sure = marked.where(F.col("h").isNull()).select("tkey", "starts", "ends")
     open_ = marked.where(F.col("h").isNotNull())
     distinct = open_.groupBy("h", "sid").agg(
-        F.count(F.lit(1)).alias("copies"), F.first(F.struct("off", "piece")).alias("x"), F.first("hot").alias("hot")
+        many.alias("many"),
+        F.min("tkey").alias("owner"),
+        F.first(F.struct("off", "piece")).alias("x"),
+        F.first("hot").alias("hot"),
     )
-    distinct = materialise(distinct.select("h", "sid", "copies", "x.off", "x.piece", "hot"))
+    owner = F.col("owner") if across else F.lit(None).cast("binary")
+    distinct = materialise(distinct.select("h", "sid", "many", owner.alias("owner"), "x.off", "x.piece", "hot"))
     kind = StructType.fromDDL("h long, sid long, rs array<long>, re array<long>")
     schema = arrow_schema(kind)
 
@@ -288,41 +299,39 @@ def repeated_runs(texts: DataFrame, length: int = 400, group: int = 20_000) -> D
         rows: list[tuple] = []
 
         def settle(part: list[tuple]) -> pa.RecordBatch:
-            found = repeated_windows([(piece, off, copies) for _, _, copies, off, piece in part], length)
+            found = repeated_windows([(data, off, many, own) for _, _, many, own, off, data in part], length, piece)
             runs = [as_runs(x) for x in found]
-            out = [(r[0], r[1], s, e) for r, (s, e) in zip(part, runs) if s]
-            return rows_batch(out, schema)
+            return rows_batch([(r[0], r[1], s, e) for r, (s, e) in zip(part, runs) if s], schema)
 
         for b in batches:
             rows += zip(*[c.to_pylist() for c in b.columns])
             if len(rows) >= 4000:
-                cut = len(rows)
-                while cut > 0 and rows[cut - 1][0] == rows[-1][0]:
-                    cut -= 1
-                if cut:
-                    part, rows = rows[:cut], rows[cut:]
+                cut_at = len(rows)
+                while cut_at > 0 and rows[cut_at - 1][0] == rows[-1][0]:
+                    cut_at -= 1
+                if cut_at:
+                    part, rows = rows[:cut_at], rows[cut_at:]
                     yield settle(part)
         if rows:
             yield settle(rows)
 
-    cold = (
-        distinct.where(~F.col("hot"))
-        .select("h", "sid", "copies", "off", "piece")
-        .repartition("h")
-        .sortWithinPartitions("h", "sid")
-    )
-    by_order = map_batches(cold, sort_groups, kind)
+    cold = distinct.where(~F.col("hot")).select("h", "sid", "many", "owner", "off", "piece")
+    by_order = map_batches(cold.repartition("h").sortWithinPartitions("h", "sid"), sort_groups, kind)
 
-    def windows(h, sid, copies, piece):
-        for a, b, c, data in zip(h, sid, copies, piece):
-            for p in range(len(data) - length + 1):
-                yield xxhash.xxh3_128_digest(data[p : p + length]), a, b, p, c
+    def windows(h, sid, manys, owners, data):
+        for a, b, m, own, d in zip(h, sid, manys, owners, data):
+            for p in range(len(d) - length + 1):
+                yield xxhash.xxh3_128_digest(d[p : p + length] + a.to_bytes(8, "little", signed=True)), a, b, p, m, own
 
-    hot = _map(distinct.where("hot").select("h", "sid", "copies", "piece"), windows, "w binary, h long, sid long, p long, copies long")
-    twice = hot.groupBy("w").agg(F.sum("copies").alias("n")).where("n > 1").select("w")
+    hot = _map(
+        distinct.where("hot").select("h", "sid", "many", "owner", "piece"),
+        windows,
+        "w binary, h long, sid long, p long, many boolean, owner binary",
+    )
+    two = (F.min("owner") != F.max("owner")) if across else (F.count(F.lit(1)) > 1)
+    twice = hot.groupBy("w").agg((F.max("many") | two).alias("twice")).where("twice").select("w")
     by_count = hot.join(twice, "w").groupBy("h", "sid").agg(F.collect_set("p").alias("rs")).select("h", "sid", "rs", F.col("rs").alias("re"))
-    runs = by_order.union(by_count)
-    placed = open_.select("tkey", "h", "sid", F.col("starts")[0].alias("first")).join(runs, ["h", "sid"])
+    placed = open_.select("tkey", "h", "sid", F.col("starts")[0].alias("first")).join(by_order.union(by_count), ["h", "sid"])
     placed = placed.select(
         "tkey",
         F.transform("rs", lambda x: x + F.col("first")).alias("starts"),
@@ -359,7 +368,7 @@ def cut_texts(docs: DataFrame, text: str = "text", length: int = 400, group: int
     spark = docs.sparkSession
     name = distinct_texts(docs, text)
     copies = docs.select(text_key(utf8(text)).alias("tkey")).groupBy("tkey").agg((F.count(F.lit(1)) > 1).alias("copied"))
-    runs = repeated_runs(spark.table(name), length, group)
+    runs = repeated_runs(spark.table(name).withColumn("scope", F.lit(0).cast("long")), length, group)
     lists = runs.groupBy("tkey").agg(
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")
     )
