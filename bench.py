@@ -41,11 +41,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from petitionlens.operators import clean_petitions, ordered  # noqa: E402
-from petitionlens.plans import oracle_sql  # noqa: E402
+from tools import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
 from petitionlens.plans.actions import act_concurrently  # noqa: E402
 from petitionlens.plans.shared import run_catalogue_shared  # noqa: E402
-from petitionlens.plans.inspect import final_plan, summary  # noqa: E402
+from tools.plan_inspect import final_plan, summary  # noqa: E402
 from petitionlens.session import ensure_shared_dir, local_session  # noqa: E402
 from petitionlens.sources import raw_petitions, read_petitions, write_petitions  # noqa: E402
 

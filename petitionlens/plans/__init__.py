@@ -1,4 +1,4 @@
-"""Named analyses (the catalogue), their independent SQL oracle, plan checks."""
+"""Named analyses (the catalogue) and the jobs that run them."""
 
 from petitionlens.plans.catalogue import CATALOGUE, Workload, select
 

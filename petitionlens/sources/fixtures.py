@@ -3,7 +3,7 @@
 The driver data holds no petition records, so the analyses run over a
 deterministic projection of ``orders`` joined to ``customer``, ``nation`` and
 ``region``.  The same projection is written independently as SQL in
-:mod:`petitionlens.plans.oracle_sql` for the DuckDB check.
+``tools/oracle_sql.py`` for the DuckDB check.
 
 The join is declared, not hinted: Spark broadcasts ``nation``/``region`` and,
 at small scale, ``customer`` because their size estimates are under

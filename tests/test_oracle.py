@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 import __spark_entry__ as entry_module
 from oracle_check import compare
+from petitionlens.plans.catalogue import CATALOGUE
 
 from conftest import SF_SMALL
 
@@ -21,14 +24,19 @@ EXPECTED_ROWS = {
 }
 
 
+def own_queries():
+    """The registered queries but those of the corpus operators, which have tests of their own."""
+    return [k for k in entry_module.queries() if k != "pipeline" and not re.match(r"op\d+_", k)]
+
+
 def test_registry_is_complete():
-    q, o = entry_module.queries(), entry_module.oracle_sql()
-    assert set(q) == set(o)
-    assert len(q) == 34
+    q, o = set(entry_module.queries()), set(entry_module.oracle_sql())
+    assert set(CATALOGUE) <= q and set(CATALOGUE) <= o <= q
+    assert len(CATALOGUE) == 34
 
 
 def test_all_queries_match_oracle(spark):
-    results = compare(spark, SF_SMALL)
+    results = compare(spark, SF_SMALL, own_queries())
     bad = {k: r for k, r in results.items() if not (r["values_match"] and r["columns_match"] and r["types_match"])}
     assert bad == {}
     counts = {k: r["spark_rows"] for k, r in results.items() if k in EXPECTED_ROWS}

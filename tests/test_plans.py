@@ -7,7 +7,7 @@ import os
 import pytest
 
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count
-from petitionlens.plans.inspect import final_plan, physical_plan, summary
+from tools.plan_inspect import final_plan, physical_plan, summary
 from petitionlens.session import shared_dir
 from petitionlens.sources import read_petitions, write_petitions
 

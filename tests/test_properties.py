@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from petitionlens.plans import oracle_sql
+from tools import oracle_sql
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count
 
 from helpers import ANALYSIS

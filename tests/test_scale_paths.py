@@ -7,7 +7,7 @@ import contextlib
 from pyspark.sql import functions as F
 
 from petitionlens.plans.catalogue import CATALOGUE
-from petitionlens.plans.inspect import final_plan, summary
+from tools.plan_inspect import final_plan, summary
 from petitionlens.sources import petitions
 
 from conftest import SF_SMALL

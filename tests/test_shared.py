@@ -7,7 +7,7 @@ import re
 import pytest
 
 from petitionlens.plans.catalogue import CATALOGUE
-from petitionlens.plans.inspect import final_plan, physical_plan, summary
+from tools.plan_inspect import final_plan, physical_plan, summary
 from petitionlens.plans.shared import catalogue_specs, run_catalogue_shared, summaries
 
 from helpers import ANALYSIS
@@ -96,7 +96,7 @@ def test_shared_catalogue_with_exact_ids_on_repeated_ids(spark):
     import duckdb
 
     from oracle_check import rows_of
-    from petitionlens.plans import oracle_sql
+    from tools import oracle_sql
     from test_properties import _arrow
 
     data = _random_rows(31, 300, repeated_ids=True)
