@@ -1,27 +1,20 @@
-"""Token ids of whole texts with a bounded cache of pre-tokens.
-
-Texts whose characters all lie in the ranges named below are cut here with the
-tokenizer's own pattern, written out for those ranges; each distinct pre-token
-is encoded by the library once and remembered.  All other texts, and texts that
-hold a special token's string, go to the library whole.
-"""
+"""Token ids of whole texts, as the tokenizers library gives them, by a faster encoder where it is proven to agree."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
 import numpy as np
 
-#: Latin letters, digits and white space below U+0250, whose classes are the same in every Unicode version.
-LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-DIGIT = "0-9²³¹¼-¾"
-SPACE = "\t-\r \u0085 "
-BYTE_LEVEL = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-)
-BYTE_LEVEL_OTHER = re.compile(r"[^\t-\r -~ -ɏ]")
+#: Characters whose classes (letter, digit, white space) are the same in every library and Unicode version.
+OTHER = re.compile(r"[^\t-\r -~\xa0-\u024f]")
+
+#: How byte-level vocabularies cut a text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Entries of a worker's cache of merged words.
 CACHE = 400_000
 
 
@@ -49,30 +42,41 @@ def as_byte_chars(text: str) -> str:
     return text.encode().decode("latin-1").translate(BYTE_CHAR)
 
 
+def rank_encoder(tokenizer):
+    """The vocabulary as a tiktoken encoding, which merges several times faster.
+
+    It merges by smallest id; that is the file's own order only if the ids of
+    the merges rise, which is checked.  None otherwise.
+    """
+    model = json.loads(tokenizer.to_str())["model"]
+    vocabulary = model["vocab"]
+    made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if any(x >= y for x, y in zip(made, made[1:])):
+        return None
+    import tiktoken
+
+    byte_of = {c: b for b, c in BYTE_CHAR.items()}
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    ranks = {bytes(byte_of[c] for c in w): i for w, i in vocabulary.items() if w not in special}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class ByteLevelIds:
-    """``ids(text)`` for a byte-level BPE file: little-endian unsigned 32-bit ids, as bytes."""
+    """``ids(text)`` for a byte-level BPE file: little-endian unsigned 32-bit ids, as bytes.
+
+    Texts of the known ranges without a special token's string go to the rank
+    encoder, where one fits the file; the others to the file's own library.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.merge = self.tokenizer.model.tokenize
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.ranks = rank_encoder(self.tokenizer)
 
     def ids(self, text: str) -> bytes:
-        if BYTE_LEVEL_OTHER.search(text) or any(s in text for s in self.special):
+        if self.ranks is None or OTHER.search(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known = self.known
-        parts = BYTE_LEVEL.findall(text)
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        if len(known) > CACHE:
-            known.clear()
-        for p in parts:
-            if p not in known:
-                known[p] = np.array([t.id for t in self.merge(as_byte_chars(p))], "<u4").tobytes()
-        return b"".join([known[p] for p in parts])
+        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 _LOADED: dict[tuple[type, str], object] = {}
