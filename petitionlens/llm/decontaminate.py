@@ -5,8 +5,9 @@ The terms are the words of a block's items that are rare in the corpus (at
 least each item's eight rarest).  Documents are cut into overlapping windows of
 words; windows and items become TF-IDF rows over the terms.  A randomised SVD
 of all those rows, summed over Spark tasks, gives the latent space; windows
-whose cosine with an item reaches ``cosine`` there are candidates.  A candidate
-counts if the longest common subsequence of words covers ``overlap`` of the
+whose cosine with an item reaches ``cosine`` there, and which do not lack more
+of the item's terms than a sufficient subsequence could, are candidates.  A
+candidate counts if the longest common subsequence of words covers ``overlap`` of the
 item within a compact stretch, and half of the item's answer (its last
 sentence, at least three words).
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import re
 import string
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -111,12 +113,33 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (np.log1p(counts) * idf).astype(np.float32)
 
 
-def dense_rows(lists: list[bytes], idf: np.ndarray) -> np.ndarray:
-    """TF-IDF rows of windows given as packed term numbers."""
-    counts = np.zeros((len(lists), len(idf)), np.float32)
-    sizes = [len(x) // 4 for x in lists]
-    np.add.at(counts, (np.repeat(np.arange(len(lists)), sizes), np.frombuffer(b"".join(lists), "<u4")), 1)
-    return tf_idf(counts, idf)
+class Rows:
+    """TF-IDF rows of windows given as packed, non-empty lists of term numbers, in sparse form."""
+
+    def __init__(self, lists: list[bytes], idf: np.ndarray):
+        n = len(idf)
+        row = np.repeat(np.arange(len(lists)), [len(x) // 4 for x in lists])
+        pairs, count = np.unique(row * n + np.frombuffer(b"".join(lists), "<u4"), return_counts=True)
+        self.terms, self.count = n, count
+        self.row, self.term = pairs // n, pairs % n
+        self.weight = (np.log1p(count) * idf[self.term]).astype(np.float32)
+        self.starts = np.flatnonzero(np.r_[True, self.row[1:] != self.row[:-1]])
+
+    def times(self, basis: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(self.weight[:, None] * basis[self.term], self.starts, axis=0)
+
+    def transposed_times(self, y: np.ndarray) -> np.ndarray:
+        order = np.argsort(self.term, kind="stable")
+        term = self.term[order]
+        starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+        out = np.zeros((self.terms, y.shape[1]))
+        out[term[starts]] = np.add.reduceat((self.weight[:, None] * y[self.row])[order], starts, axis=0)
+        return out
+
+
+def in_chunks(lists: list[bytes], idf: np.ndarray, size: int = 2048):
+    for at in range(0, len(lists), size):
+        yield at, Rows(lists[at : at + size], idf)
 
 
 def summed(df: DataFrame, fn, shape: tuple[int, int]) -> np.ndarray:
@@ -166,33 +189,23 @@ def latent_basis(windows: DataFrame, terms: Terms, rank: int, seed: int = 7) ->
     idf = terms.idf
     omega = np.random.default_rng(seed).standard_normal((n, width)).astype(np.float32)
 
-    def product(basis: np.ndarray):
-        def run(lists):
-            out = 0
-            for at in range(0, len(lists), 2048):
-                a = dense_rows(lists[at : at + 2048], idf)
-                out = out + (a.T @ (a @ basis)).astype(np.float64)
-            return out
-
-        return run
+    def sketch(lists):
+        return sum(a.transposed_times(a.times(omega)) for _, a in in_chunks(lists, idf))
 
     def energy(lists):
-        a = dense_rows(lists, idf) if len(lists) < 4096 else None
-        if a is None:
-            return sum((energy(lists[i : i + 2048]) for i in range(0, len(lists), 2048)), np.zeros((1, 1)))
-        return np.array([[float((a.astype(np.float64) ** 2).sum())]])
+        return sum(np.array([[float((a.weight.astype(float) ** 2).sum())]]) for _, a in in_chunks(lists, idf))
 
     lists = windows.select("terms")
     weight = max(1.0, summed(lists, energy, (1, 1))[0, 0] / max(1e-9, float((terms.items**2).sum())))
     items = terms.items.astype(np.float64)
-    z = summed(lists, product(omega), (n, width)) + weight * (items.T @ (items @ omega))
+    z = summed(lists, sketch, (n, width)) + weight * (items.T @ (items @ omega))
     q = np.linalg.qr(z)[0].astype(np.float32)
 
     def gram(lists):
-        out = 0
-        for at in range(0, len(lists), 2048):
-            b = dense_rows(lists[at : at + 2048], idf) @ q
-            out = out + (b.T @ b).astype(np.float64)
+        out = np.zeros((width, width))
+        for _, a in in_chunks(lists, idf):
+            b = a.times(q)
+            out += b.T @ b
         return out
 
     iq = items @ q
@@ -274,26 +287,32 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
     queries = terms.items @ basis
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
     held = spark.sparkContext.broadcast((basis, queries, terms.idf))
+    shared_parts = spark.sparkContext.broadcast(parts)
     near_kind = StructType.fromDDL("tkey binary, first long, part int, cosine double")
     near_schema = arrow_schema(near_kind)
 
     def search(batches: Batches) -> Batches:
+        """Pairs near in the latent space whose window lacks no more of the item's terms than the overlap allows."""
         base, asked, idf = held.value
+        known = number.value
+        wanted = [Counter(known[w] for w in p if w in known) for _, p, _ in shared_parts.value]
+        spare = [(1 - overlap) * len(p) for _, p, _ in shared_parts.value]
         for b in batches:
             keys, firsts, lists = [c.to_pylist() for c in b.columns]
-            for at in range(0, len(lists), 2048):
-                x = dense_rows(lists[at : at + 2048], idf) @ base
+            for at, rows in in_chunks(lists, idf):
+                x = rows.times(base)
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
                 c = x @ asked.T
-                r, q = np.nonzero(c >= cosine)
-                yield rows_batch(
-                    [(keys[at + i], firsts[at + i], int(j), float(c[i, j])) for i, j in zip(r.tolist(), q.tolist())], near_schema
-                )
+                out = []
+                for i, j in zip(*[v.tolist() for v in np.nonzero(c >= cosine)]):
+                    have = Counter(np.frombuffer(lists[at + i], "<u4").tolist())
+                    if (wanted[j] - have).total() <= spare[j] + 1e-9:
+                        out.append((keys[at + i], firsts[at + i], j, float(c[i, j])))
+                yield rows_batch(out, near_schema)
 
     near = map_batches(windows.select("tkey", "first", "terms"), search, near_kind).dropDuplicates(["tkey", "first", "part"])
     asked = near.groupBy("tkey").agg(F.collect_list(F.struct("first", "part", "cosine")).alias("near"))
     out_schema = arrow_schema(StructType.fromDDL(ddl))
-    shared_parts = spark.sparkContext.broadcast(parts)
 
     def verify(batches: Batches) -> Batches:
         for b in batches:
