@@ -8,34 +8,65 @@ selected analysis groups over that table, one scan per group-by key.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from petitionlens.operators.clean import clean_petitions
+from petitionlens.operators.quality import duplicate_ids
 from petitionlens.plans.catalogue import select
 from petitionlens.plans.shared import run_catalogue_shared
-from petitionlens.schema import RAW, require
+from petitionlens.schema import CLEAN, RAW, require
 from petitionlens.sources.files import (
+    CORRUPT,
+    path_exists,
     read_petitions,
     read_petitions_csv,
     read_table,
     write_petitions,
 )
 
+log = logging.getLogger(__name__)
 
-def read_raw(spark: SparkSession, source: str, *, fmt: str = "csv", **options: str) -> DataFrame:
+
+def _as_text(table: DataFrame, name: str, kind: T.DataType) -> Column:
+    """A column of a typed table in RAW form.
+
+    A number becomes text by way of its whole part: the cleaning keeps no
+    more of it, and a double's own text has an exponent from 10^7 on.
+    Coordinates keep their fraction.
+    """
+    have = next((f.dataType for f in table.schema.fields if f.name.lower() == name), None)
+    col = F.col(name)
+    if name in ("prevailing_wage", "year") and isinstance(have, T.NumericType):
+        col = col.try_cast("bigint")
+    return col.cast(kind).alias(name)
+
+
+def read_raw(spark: SparkSession, source: str, *, fmt: str = "csv", bad_records: str = "fail", **options: str) -> DataFrame:
     """RAW rows from a CSV path, or from any data source by name.
 
     A table is bound by column name (case-insensitively) and every RAW
-    column is cast to its RAW type, so a table that already types a column
-    (an integer id, a double wage) still goes through the same cleaning.
+    column is brought to its RAW type, so a table that already types a column
+    (an integer id, a double wage of any size) goes through the same cleaning.
+    ``bad_records`` is the policy for CSV rows that do not fit (see
+    :func:`petitionlens.sources.files.read_petitions_csv`).
     """
     if fmt == "csv":
-        return read_petitions_csv(spark, source)
+        return read_petitions_csv(spark, source, bad_records=bad_records)
     table = read_table(spark, fmt, source, **options)
-    return require(table.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields]), RAW)
+    return require(table.select([_as_text(table, f.name, f.dataType) for f in RAW.fields]), RAW)
+
+
+def is_loaded(spark: SparkSession, target: str) -> bool:
+    """A finished load: the writer's ``_SUCCESS`` (or a stream's log) is there and the table has a row."""
+    base = target.rstrip("/")
+    if not any(path_exists(spark, f"{base}/{mark}") for mark in ("_SUCCESS", "_spark_metadata")):
+        return False
+    return not spark.read.schema(CLEAN).parquet(target).isEmpty()
 
 
 def ingest(
@@ -46,18 +77,48 @@ def ingest(
     fmt: str = "csv",
     mode: str = "ignore",
     partition_by: Sequence[str] = ("year",),
-    files_per_partition: int | None = None,
+    bad_records: str = "fail",
+    quarantine: str | None = None,
     **options: str,
 ) -> DataFrame:
     """RAW source -> clean -> Parquet at ``target``; returns the stored table.
 
-    ``mode='ignore'`` leaves an existing table alone (the load runs once),
-    ``'overwrite'`` forces a refresh.  Partitioning by ``year`` lets every
-    year-filtered analysis read only its years.
+    ``mode='ignore'`` leaves a loaded table alone (the load runs once); what a
+    failed load left behind, or an empty table, does not count as loaded and
+    is written anew.  ``'overwrite'`` forces a refresh.  After the write the
+    stored rows are counted against the rows written, and a difference raises.
+    Partitioning by ``year`` lets every year-filtered analysis read only its
+    years.
+
+    With ``bad_records='quarantine'`` CSV rows that do not fit are written as
+    text to the folder ``quarantine`` (appended, with their number logged) and
+    the others are loaded; by default such a row fails the load.
     """
-    clean = clean_petitions(read_raw(spark, source, fmt=fmt, **options))
-    write_petitions(clean, target, mode, partition_by=tuple(partition_by), files_per_partition=files_per_partition)
-    return read_petitions(spark, target)
+    if bad_records == "quarantine" and not quarantine:
+        raise ValueError("name the folder for quarantined rows")
+    if mode == "ignore":
+        if is_loaded(spark, target):
+            return read_petitions(spark, target)
+        mode = "overwrite"
+    raw = read_raw(spark, source, fmt=fmt, bad_records=bad_records, **options)
+    if CORRUPT in raw.columns:
+        bad = Observation("bad_records")
+        # a row is bad by the columns that are read, so this reads all of them, as the load does
+        nothing = F.concat_ws("", *[F.substring(F.col(f.name).cast("string"), 1, 0) for f in RAW.fields])
+        text = F.concat(F.col(CORRUPT), nothing)
+        rejected = raw.where(F.col(CORRUPT).isNotNull()).select(text.alias("value"))
+        rejected.observe(bad, F.count(F.lit(1)).alias("n")).write.mode("append").text(quarantine)
+        log.warning("%s: %d rows quarantined in %s", source, bad.get["n"], quarantine)
+        raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    written = Observation("written")
+    before = spark.read.schema(CLEAN).parquet(target).count() if mode == "append" and path_exists(spark, target) else 0
+    clean = clean_petitions(raw).observe(written, F.count(F.lit(1)).alias("n"))
+    write_petitions(clean, target, mode, partition_by=tuple(partition_by))
+    stored = read_petitions(spark, target)
+    have, want = stored.count(), before + written.get["n"]
+    if have != want:
+        raise RuntimeError(f"{target} holds {have} rows after a load that makes {want}")
+    return stored
 
 
 def run_catalogue(
@@ -66,16 +127,25 @@ def run_catalogue(
     *,
     shared: bool = True,
     params: dict[str, dict] | None = None,
-    exact_ids: bool = False,
+    exact_ids: bool | str = "check",
 ) -> dict[str, DataFrame]:
     """DataFrames of the analyses in ``groups`` over the clean table.
 
     ``shared=True`` (the default) reads the table once per group-by key and
-    checkpoints each per-key summary in the shared folder now; the answers
-    then read only those summaries.  ``shared=False`` returns one lazy,
-    independent plan per analysis.  ``exact_ids=True`` answers the
-    id-sensitive analyses exactly when ids repeat.
+    stores each per-key summary in the shared folder now; the answers then
+    read only those summaries.  ``shared=False`` returns one lazy,
+    independent plan per analysis.
+
+    ``exact_ids=True`` answers the id-sensitive analyses exactly when ids
+    repeat, ``False`` takes ids as unique, and ``'check'`` (the default) looks
+    for a repeated or NULL id once, if an id-sensitive analysis is asked for,
+    and logs which of the two it then does.
     """
+    if exact_ids == "check":
+        sensitive = any(w.id_sensitive for w in select(groups).values())
+        exact_ids = sensitive and not duplicate_ids(petitions).isEmpty()
+        if sensitive:
+            log.warning("ids %s", "repeat or are NULL: exact id joins" if exact_ids else "are unique: single-pass plans")
     if shared:
         return run_catalogue_shared(petitions, params, groups, exact_ids=exact_ids)
     params = params or {}

@@ -43,8 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ensure_shared_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's ``spark.checkpoint.dir``; set ``fallback`` only when unset."""
+    """Use the session's ``spark.checkpoint.dir``; set ``fallback`` only when unset.
+
+    Only a ``local`` master, whose tasks all see the driver's folders, may
+    fall back.
+    """
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
         spark.conf.set(CHECKPOINT_CONF, fallback)
     return shared_dir(spark)

@@ -92,3 +92,51 @@ def raw_petitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN id % 5 = 0 THEN 'NA' ELSE concat('-', CAST(id % 90 AS STRING), '.25') END AS lon",
         "CASE WHEN id % 5 = 0 THEN 'NA' ELSE concat(CAST(id % 45 AS STRING), '.5') END AS lat",
     )
+
+
+def raw_petitions_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The RAW form with the awkward values that real files hold, dealt out by the id."""
+    return raw_petitions(spark, sf_dir).selectExpr(
+        "id",
+        "case_status",
+        "CASE WHEN id % 6 = 0 THEN ' NA' ELSE employer_name END AS employer_name",
+        "CASE id % 5 WHEN 0 THEN 'NA' WHEN 1 THEN 'Na' ELSE soc_name END AS soc_name",
+        "CASE id % 4 WHEN 0 THEN 'na' ELSE job_title END AS job_title",
+        "full_time_position",
+        """CASE id % 19
+             WHEN 0 THEN concat(' ', CAST(id AS STRING), ' ') WHEN 1 THEN concat('+', CAST(id AS STRING))
+             WHEN 2 THEN concat('-', CAST(id AS STRING), '.9') WHEN 3 THEN concat('.', CAST(id AS STRING)) WHEN 4 THEN '-.5'
+             WHEN 5 THEN concat(CAST(id AS STRING), '.') WHEN 6 THEN '1e5' WHEN 7 THEN '1,000' WHEN 8 THEN '' WHEN 9 THEN '-'
+             WHEN 10 THEN '12345678901234567890' WHEN 11 THEN 'abc' WHEN 12 THEN '.' WHEN 13 THEN '9223372036854775807'
+             WHEN 14 THEN '1.2.3' WHEN 15 THEN '- 5' ELSE prevailing_wage END AS prevailing_wage""",
+        """CASE id % 7 WHEN 0 THEN '2016.0' WHEN 1 THEN '99999999999' WHEN 2 THEN ' 2014 ' WHEN 3 THEN 'x' ELSE year END AS year""",
+        """CASE id % 8 WHEN 0 THEN 'A,' WHEN 1 THEN 'A, B, C' WHEN 2 THEN '' WHEN 3 THEN ' , B ' WHEN 4 THEN 'NA'
+             ELSE worksite END AS worksite""",
+        "CASE id % 3 WHEN 0 THEN ' 3 ' WHEN 1 THEN '1e2' ELSE lon END AS lon",
+        "CASE id % 3 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE lat END AS lat",
+    )
+
+
+def petitions_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table with repeated and NULL ids, a status that only mentions CERTIFIED, and a tie.
+
+    The rows with the smallest and the largest order key are alone in the
+    state TIE, each with an occupation of its own.
+    """
+    orders = _table(spark, sf_dir, "orders")
+    low, high = orders.selectExpr("min(o_orderkey)", "max(o_orderkey)").first()
+    if low is None:  # no orders: nothing is equal to it
+        low = high = "NULL"
+    return petitions(spark, sf_dir).selectExpr(
+        "CASE WHEN id % 11 = 0 THEN NULL ELSE id div 3 END AS id",
+        "CASE WHEN id % 5 = 0 THEN 'DECERTIFIED' ELSE case_status END AS case_status",
+        "employer_name",
+        f"CASE id WHEN {low} THEN 'FIRST' WHEN {high} THEN 'LAST' ELSE soc_name END AS soc_name",
+        "job_title",
+        "full_time_position",
+        "prevailing_wage",
+        "year",
+        "worksite",
+        "city",
+        f"CASE WHEN id IN ({low}, {high}) THEN 'TIE' ELSE state END AS state",
+    )

@@ -4,7 +4,11 @@ Same transform as the batch ingest (RAW -> CLEAN), run as a Structured
 Streaming query over a landing folder, so files that arrive later are
 cleaned and appended exactly once.  The file source and the Parquet sink
 both record progress in the checkpoint, so a restarted (or partly failed)
-run neither skips nor duplicates a file.  No state is kept: the transform
+run neither skips nor duplicates a file.  Spark's file source leaves out
+files older than ``max_file_age`` before the newest one; the default here is
+a thousand years, so a backfill that keeps its files' times is ingested too.
+The target belongs to the stream: its readers see the files of the stream's
+log only, and batch writes to it are refused.  No state is kept: the transform
 is row-by-row, so there is no watermark and nothing grows with the data.
 
 The checkpoint lives in the shared folder named by ``spark.checkpoint.dir``
@@ -21,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from petitionlens.operators.clean import clean_petitions
 from petitionlens.schema import RAW
 from petitionlens.session import shared_dir
+from petitionlens.sources.files import csv_options
 
 
 def start_incremental_ingest(
@@ -33,24 +38,19 @@ def start_incremental_ingest(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     fmt: str = "csv",
+    max_file_age: str = "365000d",
 ) -> StreamingQuery:
     """Start the query; with ``available_now`` it processes what is there and stops.
 
-    ``fmt`` is the landing files' format: CSV (positional, header skipped)
-    or any file format Spark streams (Parquet, JSON, ORC ...), read by
+    ``fmt`` is the landing files' format: CSV (positional, header skipped; a
+    row that does not fit fails its batch, which is then done again) or any file format Spark streams (Parquet, JSON, ORC ...), read by
     column name with the RAW schema.
     """
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        raw = (
-            reader.schema(RAW)
-            .option("header", True)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(landing)
-        )
+        raw = reader.schema(RAW).options(header=True, **csv_options("fail")).csv(landing)
     else:
         raw = reader.schema(RAW).format(fmt).load(landing)
     clean = clean_petitions(raw)

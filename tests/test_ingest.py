@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
@@ -198,14 +200,116 @@ def test_ingest_job_and_catalogue_groups(spark, scratch):
     assert cleaned.select("id", "prevailing_wage").exceptAll(want.select("id", "prevailing_wage")).count() == 0
 
 
-def test_partitioned_sink_with_bounded_files_per_year(spark, scratch):
-    import glob
+def test_rebalanced_sink_splits_a_heavy_year(spark, scratch):
+    """A third of the rows in one year, all ids NULL: several even files there, one for a light year."""
+    from scale import conf
+
+    rows = spark.range(0, 90_000, 1, 12).select(
+        F.lit(None).cast("bigint").alias("id"),
+        *[F.sha2(F.concat(F.lit(c), F.col("id").cast("string")), 256).alias(c)
+          for c in ("case_status", "employer_name", "soc_name", "job_title", "full_time_position")],
+        F.col("id").alias("prevailing_wage"),
+        F.when(F.col("id") % 3 == 0, 2011).otherwise(2012 + F.col("id") % 60).cast("int").alias("year"),
+        F.lit("X, Y").alias("worksite"), F.lit(1.0).alias("lon"), F.lit(1.0).alias("lat"),
+        F.lit("X").alias("city"), F.lit("Y").alias("state"),
+    )
+    path = os.path.join(scratch, "rebalanced")
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
+        write_petitions(rows, path, partition_by=("year",))
+    files = {d: [os.path.getsize(f) for f in glob.glob(f"{path}/year={d}/*.parquet")] for d in (2011, 2012)}
+    assert len(files[2011]) >= 4 and max(files[2011]) < 3 * min(files[2011])
+    assert len(files[2012]) <= 2
+    assert read_petitions(spark, path).count() == 90_000
+
+
+def _typed_table(spark, path, wages, kind):
+    rows = [tuple(_raw(spark, id=i)[f.name] if f.name != "prevailing_wage" else w for f in RAW.fields) for i, w in enumerate(wages)]
+    schema = RAW.__class__([f if f.name != "prevailing_wage" else f.__class__(f.name, kind) for f in RAW.fields])
+    spark.createDataFrame(rows, schema).write.parquet(path)
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(20,2)", "bigint"])
+def test_typed_wages_of_any_size(spark, scratch, kind):
+    from pyspark.sql import types as T
+
+    from petitionlens.plans.ingest import read_raw
+
+    wages = [36067.6, 9999999.0, 12000000.0, 1e8, 1.5e9, -2.5e7, None] + ([float("nan"), 1e300] if kind == "double" else [])
+    if kind == "bigint":
+        wages = [None if w is None else int(w) for w in wages]
+    elif kind != "double":
+        wages = [None if w is None else Decimal(str(w)) for w in wages]
+    path = os.path.join(scratch, "typed")
+    _typed_table(spark, path, wages, T._parse_datatype_string(kind))
+    got = {r.id: r.prevailing_wage for r in clean_petitions(read_raw(spark, path, fmt="parquet")).collect()}
+    assert [got[i] for i in range(len(wages))] == [36067, 9999999, 12000000, 10**8, 1500000000, -25000000, None, None, None][: len(wages)]
+
+
+def _csv(path, lines):
+    with open(path, "w") as fh:
+        fh.write("id,a,b,c,d,e,f,g,h,i,j\n" + "".join(x + "\n" for x in lines))
 
-    clean = clean_petitions(raw_petitions(spark, SF_SMALL)).repartition(12)
-    path = os.path.join(scratch, "bounded")
-    write_petitions(clean, path, partition_by=("year",), files_per_partition=2)
-    for year_dir in glob.glob(os.path.join(path, "year=*")):
-        assert 1 <= len(glob.glob(os.path.join(year_dir, "*.parquet"))) <= 2
-    stored = read_petitions(spark, path)
-    assert stored.count() == 1500
-    assert stored.exceptAll(clean).count() == 0
+
+GOOD = "1,CERTIFIED,ACME,analysts,DEV,Y,100,2016,\"A, B\",1.5,2.5"
+BAD = [GOOD.replace("1,", "abc,", 1), "3,CERTIFIED,ACME,analysts,DEV,Y,100,2016", GOOD.replace("1,", "4,", 1) + ",more"]
+
+
+@pytest.mark.parametrize("line", BAD)
+def test_a_bad_record_fails_the_load(spark, scratch, line):
+    from petitionlens.plans.ingest import ingest, is_loaded
+
+    src, target = os.path.join(scratch, "raw.csv"), os.path.join(scratch, "table")
+    _csv(src, [GOOD, line])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest(spark, src, target)
+    assert not is_loaded(spark, target)
+    _csv(src, [GOOD])
+    assert ingest(spark, src, target).count() == 1  # the retry is not put off by what the failed load left
+
+
+def test_bad_records_are_quarantined_and_counted(spark, scratch, caplog):
+    from petitionlens.plans.ingest import ingest
+
+    src, target, apart = (os.path.join(scratch, n) for n in ("raw.csv", "table", "apart"))
+    _csv(src, [GOOD, *BAD])
+    stored = ingest(spark, src, target, bad_records="quarantine", quarantine=apart)
+    assert [r.id for r in stored.collect()] == [1]
+    assert sorted(r.value for r in spark.read.text(apart).collect()) == sorted(BAD)
+    assert "3 rows quarantined" in caplog.text
+
+
+def test_an_empty_or_half_written_table_is_loaded(spark, scratch):
+    from petitionlens.plans.ingest import ingest
+
+    src = os.path.join(scratch, "raw.csv")
+    _csv(src, [GOOD])
+    for name in ("absent", "folder", "empty"):
+        target = os.path.join(scratch, name)
+        if name == "folder":
+            os.makedirs(os.path.join(target, "_temporary"))
+        if name == "empty":
+            clean_petitions(read_petitions_csv(spark, src)).limit(0).write.parquet(target)
+        assert ingest(spark, src, target).count() == 1
+
+
+def test_stored_schema_is_verified(spark, scratch):
+    clean = clean_petitions(raw_petitions(spark, SF_SMALL))
+    for name, df in (("lost", clean.drop("state")), ("typed", clean.withColumn("prevailing_wage", F.col("prevailing_wage").cast("string")))):
+        path = os.path.join(scratch, name)
+        df.write.parquet(path)
+        with pytest.raises(SchemaMismatch):
+            read_petitions(spark, path)
+    path = os.path.join(scratch, "order")
+    clean.select(*reversed(clean.columns)).write.parquet(path)
+    assert read_petitions(spark, path).columns == [f.name for f in CLEAN.fields]
+
+
+def test_repeated_ids_are_noticed(spark):
+    from helpers import rows, table
+    from petitionlens.plans.catalogue import CATALOGUE
+    from petitionlens.plans.ingest import run_catalogue
+
+    data = [dict(id=i // 2, case_status="CERTIFIED" if i % 2 else "DENIED", worksite="A, B", state="B") for i in range(4)]
+    twice = table(spark, data)
+    got = rows(run_catalogue(twice, groups=("additional",))["certs_by_state"])
+    assert got == rows(CATALOGUE["certs_by_state"].run(twice, exact_ids=True)) != rows(CATALOGUE["certs_by_state"].run(twice))

@@ -60,3 +60,33 @@ def test_bounded_micro_batches(spark, scratch):
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3 and sum(p["numInputRows"] for p in batches) == 1500
     assert read_petitions(spark, target).count() == 1500
+
+
+def test_an_old_file_is_ingested_once(spark, scratch):
+    """A backfill that keeps its files' times lands behind a newer file."""
+    import time
+
+    landing, target, ckpt = (os.path.join(scratch, n) for n in ("landing", "table", "ckpt"))
+    raw = raw_petitions(spark, SF_SMALL)
+    raw.where(F.col("id") % 2 == 0).coalesce(1).write.option("header", True).csv(os.path.join(landing, "new"))
+    ingest_available(spark, landing + "/*", target, checkpoint=ckpt)
+    raw.where(F.col("id") % 2 == 1).coalesce(1).write.option("header", True).csv(os.path.join(landing, "old"))
+    then = time.time() - 30 * 86400
+    for name in os.listdir(os.path.join(landing, "old")):
+        os.utime(os.path.join(landing, "old", name), (then, then))
+    for _ in range(2):
+        ingest_available(spark, landing + "/*", target, checkpoint=ckpt)
+    assert read_petitions(spark, target).count() == 1500
+
+
+def test_batch_writes_to_a_streamed_target_are_refused(spark, scratch):
+    import pytest
+
+    from petitionlens.plans.ingest import ingest
+
+    landing, target, ckpt = (os.path.join(scratch, n) for n in ("landing", "table", "ckpt"))
+    raw_petitions(spark, SF_SMALL).limit(5).write.option("header", True).csv(os.path.join(landing, "a"))
+    ingest_available(spark, landing + "/*", target, checkpoint=ckpt)
+    with pytest.raises(ValueError, match="stream"):
+        ingest(spark, landing + "/*", target, mode="append")
+    assert ingest(spark, landing + "/*", target).count() == 5  # loaded already
