@@ -12,6 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Sums of values of this type have 30 digits: 10^11 rows of the largest long.
+WIDE = "decimal(20,0)"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -30,10 +34,11 @@ def count_of(value: str | Column, pred: Column | None = None) -> Column:
 def exact_mean(value: str | Column, pred: Column | None = None) -> Column:
     """Null-skipping mean as exact ``SUM / COUNT`` over rows where ``pred`` holds.
 
-    ``avg`` accumulates in double and differs from the exact long sum beyond
-    2**53, so the sum is kept integral.  An all-NULL group gives NULL / 0 =
-    NULL, which is not an error under ANSI mode.
+    ``avg`` accumulates in double and differs from the exact sum beyond
+    2**53, so the sum is exact; it is a 38-digit decimal, as the sum of two
+    large wages already leaves the range of a long.  An all-NULL group gives
+    NULL / 0 = NULL, which is not an error under ANSI mode.
     """
     value = _col(value)
     v = value if pred is None else F.when(pred, value)
-    return F.sum(v) / F.count(v)
+    return F.sum(v.cast(WIDE)).cast("double") / F.count(v)

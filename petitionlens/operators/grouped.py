@@ -25,11 +25,13 @@ class Grouped:
     where: Column | None
     aggs: tuple[tuple[str, Column], ...]
     finish: Callable[[DataFrame], DataFrame] = field(default=lambda g: g)
+    #: The same aggregates without what ``where`` already guarantees, for a run of this analysis alone.
+    alone: tuple[tuple[str, Column], ...] | None = None
 
     def aggregate(self, df: DataFrame) -> DataFrame:
         """The aggregated frame of this analysis alone (filter pushed down)."""
         rows = df if self.where is None else df.where(self.where)
-        named = [c.alias(n) for n, c in self.aggs]
+        named = [c.alias(n) for n, c in self.alone or self.aggs]
         return rows.groupBy(*self.keys).agg(*named) if self.keys else rows.agg(*named)
 
     def run(self, df: DataFrame) -> DataFrame:
@@ -38,7 +40,7 @@ class Grouped:
     def then(self, step: Callable[[DataFrame], DataFrame]) -> Grouped:
         """The same analysis with one more finishing step (e.g. the output order)."""
         first = self.finish
-        return Grouped(self.keys, self.where, self.aggs, lambda g: step(first(g)))
+        return Grouped(self.keys, self.where, self.aggs, lambda g: step(first(g)), self.alone)
 
     def rows_matched(self) -> Column:
         """Rows of a group that belong to this analysis (its group exists iff > 0)."""

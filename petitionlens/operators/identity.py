@@ -10,7 +10,9 @@ themselves can still be counted through a twin that does.
 exactly: one aggregate on ``id`` gives each id its number of matching rows,
 and a join on ``id`` carries that weight to every row.  This costs a shuffle
 on ``id``, so it is opt-in.  A heavily repeated id is handled by AQE's
-skew-join split, because the weight side holds a single row per id.
+skew-join split, because the weight side holds a single row per id.  AQE
+splits a join only if both sides come straight from a shuffle made for it, so
+the weights (one light row per id) are dealt anew after their aggregation.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ def match_weights(df: DataFrame, pred: Column, id_col: str = "id") -> DataFrame:
         df.where(pred & F.col(id_col).isNotNull())
         .groupBy(id_col)
         .agg(F.count(F.lit(1)).alias(WEIGHT))
+        .hint("rebalance")
     )
 
 

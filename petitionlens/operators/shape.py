@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +24,10 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, tie_break: Sequence[st
     return ordered(df, order, tie_break).limit(n)
 
 
-# Preview sizes of the original console output (rows shown).
+# Preview sizes of the original console output (rows shown),
+# and the analyses whose cells it cut to 20 characters.
 PREVIEW_ROWS = {"default": 20, "all_petitions": 40, "modal_soc_by_state": 55}
+PREVIEW_CUT = ("cert_state_year_count", "cert_rate_by_year", "all_petitions")
 
 
 def preview(df: DataFrame, n: int = 20, *, truncate: bool | int = True) -> str:
@@ -33,5 +37,7 @@ def preview(df: DataFrame, n: int = 20, *, truncate: bool | int = True) -> str:
     safe on any result size.  ``truncate=True`` cuts cells to 20 characters,
     an int cuts them to that width, ``False`` keeps them whole.
     """
-    width = 20 if truncate is True else int(truncate)
-    return df._jdf.showString(n, width, False)
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.show(n, truncate)
+    return text.getvalue()

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petitionlens.functions.aggregates import exact_mean, hits
+from petitionlens.functions.aggregates import WIDE, exact_mean, hits
 from petitionlens.operators.grouped import Grouped
 from petitionlens.operators.identity import WEIGHT, match_weights
 
@@ -95,8 +95,9 @@ def yearly_counts_spec(
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
     aggs = tuple((n, hits(pred & _in_year(y))) for y, n in zip(years, names))
+    alone = tuple((n, hits(_in_year(y))) for y, n in zip(years, names))
     return Grouped(
-        (key,), _years_filter(key, years, pred), aggs, lambda g: _every_year(g, key, names, names, change_name)
+        (key,), _years_filter(key, years, pred), aggs, lambda g: _every_year(g, key, names, names, change_name), alone
     )
 
 
@@ -124,7 +125,8 @@ def yearly_means(
     first = years[0]
     counted = _in_year(first) & (F.col(WEIGHT) > 0)
     v = F.col(value)
-    first_mean = F.sum(F.when(counted, F.col(WEIGHT) * v)) / F.sum(F.when(counted & v.isNotNull(), F.col(WEIGHT)))
+    weighted = F.col(WEIGHT).cast("decimal(18,0)") * v.cast(WIDE)
+    first_mean = F.sum(F.when(counted, weighted)).cast("double") / F.sum(F.when(counted & v.isNotNull(), F.col(WEIGHT)))
     g = (
         _first_year_weighted(df, key, years, pred, id_col)
         .groupBy(key)
@@ -150,12 +152,18 @@ def yearly_means_spec(
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
     seen = [f"_rows_{y}" for y in years]
-    matched = [pred & _in_year(y) for y in years]
-    aggs = tuple((s, hits(m)) for s, m in zip(seen, matched)) + tuple(
-        (n, exact_mean(value, m)) for n, m in zip(names, matched)
-    )
+
+    def aggs(matched: list[Column]) -> tuple[tuple[str, Column], ...]:
+        return tuple((s, hits(m)) for s, m in zip(seen, matched)) + tuple(
+            (n, exact_mean(value, m)) for n, m in zip(names, matched)
+        )
+
     return Grouped(
-        (key,), _years_filter(key, years, pred), aggs, lambda g: _every_year(g, key, names, seen, change_name)
+        (key,),
+        _years_filter(key, years, pred),
+        aggs([pred & _in_year(y) for y in years]),
+        lambda g: _every_year(g, key, names, seen, change_name),
+        aggs([_in_year(y) for y in years]),
     )
 
 
@@ -190,12 +198,13 @@ def yearly_pivot_spec(
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
     aggs = tuple((n, F.nullif(hits(pred & _in_year(y)), F.lit(0))) for y, n in zip(years, names))
+    alone = tuple((n, F.nullif(hits(_in_year(y)), F.lit(0))) for y, n in zip(years, names))
 
     def finish(g: DataFrame) -> DataFrame:
         change = F.coalesce(F.col(names[-1]) - F.col(names[0]), F.lit(0).cast("bigint"))
         return g.select(key, *names, change.alias(change_name))
 
-    return Grouped((key,), pred & F.col(key).isNotNull(), aggs, finish)
+    return Grouped((key,), pred & F.col(key).isNotNull(), aggs, finish, alone)
 
 
 def _all(conds: list[Column]) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import functions as F
 
 from petitionlens.plans.catalogue import CATALOGUE
@@ -12,27 +10,7 @@ from petitionlens.sources import petitions
 
 from conftest import SF_SMALL
 from helpers import rows, table
-
-NO_BROADCAST = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-}
-
-
-@contextlib.contextmanager
-def conf(spark, settings):
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
+from scale import NO_BROADCAST, conf
 
 def test_joins_fall_back_to_shuffle_joins_with_same_answer(spark):
     p = petitions(spark, SF_SMALL)
@@ -84,3 +62,40 @@ def test_exact_ids_join_on_id_without_broadcast(spark):
     data = _random_rows(41, 250, repeated_ids=True)
     with conf(spark, NO_BROADCAST):
         assert _compare_all(spark, data, exact_ids=True) == []
+
+
+SPLIT = NO_BROADCAST | {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_a_heavily_repeated_id_is_split(spark):
+    n = 60_000
+    data = spark.range(0, n, 1, 16).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).cast("bigint").alias("id"),
+        F.when(F.col("id") % 2 == 0, "CERTIFIED").otherwise("DENIED").alias("case_status"),
+        F.concat(F.lit("S"), (F.col("id") % 50).cast("string")).alias("state"),
+    )
+    with conf(spark, SPLIT):
+        exact = CATALOGUE["certs_by_state"].run(data, exact_ids=True)
+        assert "skew=true" in final_plan(exact)
+        got = {r[0]: r[1] for r in exact.collect()}
+    pdf = data.toPandas()
+    weight = pdf[pdf.case_status == "CERTIFIED"].groupby("id").size()
+    want = pdf.assign(w=pdf.id.map(weight).fillna(0)).groupby("state").w.sum()
+    assert got == {k: int(v) for k, v in want.items()}
+
+
+def test_a_hot_state_is_split_in_the_modal_join(spark):
+    """One state holds nearly all distinct occupations, each with one row: the count join is skewed on (state, 1)."""
+    rows_ = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 20 > 0, "HOT").otherwise(F.concat(F.lit("C"), (F.col("id") % 200).cast("string"))).alias("state"),
+        F.sha2(F.col("id").cast("string"), 256).alias("soc_name"),
+    )
+    with conf(spark, SPLIT):
+        modal = CATALOGUE["modal_soc_by_state"].run(rows_)
+        assert "skew=true" in final_plan(modal)
+        assert modal.count() == 60_000

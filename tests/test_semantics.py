@@ -223,3 +223,10 @@ def test_console_preview_and_top_n(spark):
     assert "J" * 30 in preview(df, 5, truncate=False)
     firsts = top_n(df, [F.desc("id")], 3, tie_break=["job_title"]).collect()
     assert [r.id for r in firsts] == [29, 28, 27]
+
+
+def test_mean_of_wages_whose_sum_leaves_the_long_range(spark):
+    big = 9 * 10**18
+    df = table(spark, [dict(id=i, case_status="CERTIFIED", prevailing_wage=big) for i in range(2)])
+    got = rows(C.denied_vs_cert_wage(df))
+    assert sorted(got, key=repr) == sorted([(0, None), (2, float(big))], key=repr)
