@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 
@@ -34,4 +35,6 @@ def act_concurrently(
         return name, action(name, df)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as workers:
-        return dict(workers.map(one, answers.items()))
+        # each wrapped call carries the caller's job group and other local properties to its thread
+        jobs = [workers.submit(inheritable_thread_target(one), item) for item in answers.items()]
+        return dict(job.result() for job in jobs)

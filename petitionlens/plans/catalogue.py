@@ -422,6 +422,10 @@ CATALOGUE: dict[str, Workload] = {
 }
 
 
+# Analyses that return rows of the table itself.
+ROW_ANSWERS = ("all_petitions", "petitions_in_year")
+
+
 def select(groups: Sequence[str] | None = None) -> dict[str, Workload]:
     """The catalogue entries of the given groups (all when ``None``)."""
     if groups is None:

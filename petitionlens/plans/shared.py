@@ -5,8 +5,8 @@ Run one at a time, the 33 catalogue analyses over the clean table scan it
 and worksite, and 3 are global counts.  ``run_shared`` merges every analysis with the same key
 into ONE group-by over ONE scan (the row filters are OR-ed, and each
 analysis' aggregates are conditional on its own rows), stores that small
-per-key summary as a reliable checkpoint in the shared folder
-(``spark.checkpoint.dir``), and derives each answer from it.  So at scale
+per-key summary as a Parquet table in the shared folder
+(``spark.checkpoint.dir``), and derives each answer from its columns of it.  So at scale
 the table is read once per key instead of once per analysis, and a lost
 executor costs a re-read of the summary, not of the table.
 
@@ -17,10 +17,11 @@ first.  Global analyses always produce their single row.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petitionlens.operators.grouped import Grouped
@@ -53,31 +54,50 @@ def summaries(df: DataFrame, specs: dict[str, Grouped]) -> dict[tuple[str, ...],
     return out
 
 
+def new_store(spark: SparkSession) -> str:
+    """A new database in the shared folder, for the summaries of one run."""
+    name = f"petitionlens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark)}/{name}'")
+    return name
+
+
+def release(answers: SharedAnswers) -> None:
+    """Delete the stored summaries behind ``answers``, which cannot be read any more."""
+    if answers.store:
+        answers.spark.sql(f"DROP DATABASE IF EXISTS {answers.store} CASCADE")
+        answers.store = None
+
+
+class SharedAnswers(dict):
+    """Answers by name, and the database that holds their summaries (None: none was stored)."""
+
+    def __init__(self, spark: SparkSession, store: str | None):
+        super().__init__()
+        self.spark, self.store = spark, store
+
+
 def run_shared(
     df: DataFrame,
     specs: dict[str, Grouped],
     *,
     checkpoint: bool = True,
-) -> dict[str, DataFrame]:
+) -> SharedAnswers:
     """The answer of every spec, computed from one summary per distinct key.
 
-    A key that serves a single analysis runs that analysis' own plan.  With
-    ``checkpoint=True`` each shared summary is computed now (one job per key)
-    and stored in the shared folder; the returned DataFrames read only the
-    summaries.  With ``checkpoint=False`` nothing runs yet, and each answer
-    recomputes its summary when acted on.  Checkpoint files are removed by
-    Spark once the summaries are garbage-collected if
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is true.
+    With ``checkpoint=True`` every summary, also one that serves a single
+    analysis, is computed now (one job per key) and stored as a Parquet table
+    in the shared folder; each answer reads only its own columns of it, and
+    all answers show the data as of this call.  The tables stay until
+    :func:`release`.  With ``checkpoint=False`` nothing runs yet, and each
+    answer recomputes its summary when acted on.
     """
-    if checkpoint:
-        shared_dir(df.sparkSession)  # the reliable checkpoint location must be configured
-    answers: dict[str, DataFrame] = {}
-    for keys, (summary, names) in summaries(df, specs).items():
-        if len(names) == 1:  # nothing to share: the analysis' own (lazy) plan
-            answers[names[0]] = specs[names[0]].run(df)
-            continue
+    spark = df.sparkSession
+    answers = SharedAnswers(spark, new_store(spark) if checkpoint and specs else None)
+    for number, (keys, (summary, names)) in enumerate(summaries(df, specs).items()):
         if checkpoint:
-            summary = summary.checkpoint(eager=True)
+            table = f"{answers.store}.summary_{number}"
+            summary.write.format("parquet").saveAsTable(table)
+            summary = spark.table(table)
         for i, name in enumerate(names):
             spec = specs[name]
             view = summary.where(F.col(f"q{i}__rows") > 0) if keys else summary
@@ -103,7 +123,7 @@ def run_catalogue_shared(
     *,
     checkpoint: bool = True,
     exact_ids: bool = False,
-) -> dict[str, DataFrame]:
+) -> SharedAnswers:
     """Every catalogue analysis over the clean table, sharing scans per key.
 
     Analyses that are not a single group-by (all rows, rows of one year, the

@@ -85,6 +85,8 @@ def test_answers_written_concurrently_equal_the_answers(spark, small, scratch):
 
     answers = run_catalogue_shared(small, PARAMS, groups=("basic", "timing"))
     paths = write_answers(answers, scratch + "/answers", concurrency=4)
+    assert set(answers) - set(paths) == {"petitions_in_year"}  # rows of the table are stored only on demand
+    paths |= write_answers(answers, scratch + "/rows", rows_of=("petitions_in_year",), concurrency=4)
     assert set(paths) == set(answers)
     for name, path in paths.items():
         stored = spark.read.parquet(path)
@@ -113,3 +115,29 @@ def test_shared_catalogue_with_exact_ids_on_repeated_ids(spark):
         if rows_of(got.columns, [tuple(r) for r in got.collect()]) != want:
             bad.append(key)
     assert len(answers) == 33 and bad == []
+
+
+def test_an_answer_reads_its_own_columns_until_released(small):
+    import pytest
+
+    from petitionlens.plans.shared import release
+
+    answers = run_catalogue_shared(small, PARAMS, groups=("basic", "additional", "task", "timing"))
+    plan = physical_plan(answers["certs_by_soc"])
+    schema = plan.split("ReadSchema: ")[1].splitlines()[0]
+    assert schema.count("__") == 2  # its row count and its one aggregate
+    assert answers["certs_by_soc"].count() == 26
+    release(answers)
+    with pytest.raises(Exception):
+        answers["certs_by_soc"].count()
+
+
+def test_concurrent_actions_keep_the_callers_job_group(spark, small):
+    from petitionlens.plans.actions import act_concurrently
+
+    spark.sparkContext.setJobGroup("together", "together")
+    seen = act_concurrently(
+        {"a": small, "b": small}, lambda name, df: df.sparkSession.sparkContext.getLocalProperty("spark.jobGroup.id")
+    )
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert seen == {"a": "together", "b": "together"}
