@@ -41,6 +41,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from petitionlens.operators import clean_petitions, ordered  # noqa: E402
+from petitionlens.functions.predicates import certified, denied  # noqa: E402
 from tools import oracle_sql  # noqa: E402
 from petitionlens.plans.catalogue import CATALOGUE, cert_state_year_count  # noqa: E402
 from petitionlens.plans.actions import act_concurrently  # noqa: E402
@@ -64,6 +65,44 @@ JOIN_FORM_ORDER = {
 JOIN_FORM_KEYS = tuple(JOIN_FORM_ORDER)
 
 
+def _per_key(rows, key, counted, name):
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias(name))
+
+
+def _mean(name):
+    return (F.sum("prevailing_wage") / F.count("prevailing_wage")).alias(name)
+
+
+def _employer_join(p):
+    named = _per_key(p.where(certified()), "employer_name", "employer_name", "application_count")
+    return p.join(named, "employer_name").groupBy("employer_name", "application_count").agg(_mean("average_pay"))
+
+
+def _full_time_join(p):
+    total = _per_key(p, "full_time_position", "case_status", "total")
+    hit = p.where(certified()).join(total, "full_time_position").groupBy("full_time_position", "total")
+    return hit.agg(F.count("case_status").alias("n")).select("full_time_position", (F.col("n") / F.col("total")).alias("rate_certified"))
+
+
+def _soc_wage_join(p):
+    sides = [
+        p.where(pred & F.col("soc_name").isNotNull()).groupBy("soc_name").agg(*aggs)
+        for pred, aggs in (
+            (denied(), [F.count("soc_name").alias("denied_visa_count"), _mean("avg_denied_wage")]),
+            (certified(), [_mean("avg_certified_wage")]),
+        )
+    ]
+    return sides[0].join(sides[1], "soc_name")
+
+
+#: The comparisons that are not a chain of years, which tools/oracle_sql.py has in join form.
+JOIN_FORMS = {
+    "employer_certs_and_pay": _employer_join,
+    "cert_rate_by_full_time": _full_time_join,
+    "soc_denied_vs_cert_wage": _soc_wage_join,
+}
+
+
 def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -159,7 +198,10 @@ def main() -> None:
 
     def join_form(key: str):
         by, tie = JOIN_FORM_ORDER[key]
-        df = spark.sql(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions"))
+        if key in JOIN_FORMS:
+            df = JOIN_FORMS[key](stored)
+        else:
+            df = spark.sql(stmts[key].replace(oracle_sql.PETITIONS, "SELECT * FROM bench_petitions"))
         return ordered(df, [F.desc(by)], [tie])
 
     # Final adaptive plan shape per query (scans, joins, exchanges): what grows with the data.
