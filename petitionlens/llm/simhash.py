@@ -62,7 +62,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", width: int = 3, keep:
 
 def quarters(fps: np.ndarray) -> np.ndarray:
     """Population counts of the four 16-bit quarters of each fingerprint."""
-    return np.bitwise_count(fps.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(fps).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
 class Forest:
