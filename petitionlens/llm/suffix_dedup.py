@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 from .common import Batches, arrow_schema, map_batches, materialise, read_table, rows_batch, utf8
 from .suffix_array import suffix_array
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 16
 #: odd multipliers of the doubling hash
 MIX = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * i & 0xFFFFFFFFFFFFFFFF | 1) for i in range(9)]
 
