@@ -60,6 +60,13 @@ def record_type(length: int, wide: bool) -> np.dtype:
     return np.dtype([("key", "<i8"), ("start", "<i8"), ("n", "<i4"), ("ids", "<u4" if wide else "<u2", (length,)), ("end", "u1")])
 
 
+def as_binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a contiguous array as binary values."""
+    size = rows.nbytes // max(1, len(rows))
+    offsets = np.arange(0, (len(rows) + 1) * size, size, dtype=np.int32)[: len(rows) + 1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
+
+
 class Layout:
     """Where the slots of a written order stand."""
 
@@ -82,16 +89,12 @@ def write_order(
     kind = StructType.fromDDL("part int, n long")
     schema = arrow_schema(kind)
 
-    def encoded(batch: pa.RecordBatch):
-        encoder = shared(ByteLevelIds, path)
-        for k, t, part in zip(*[c.to_pylist() for c in batch.columns]):
-            yield k, np.frombuffer(encoder.ids(t.decode("utf-8", "replace")), "<u4"), part
-
     def count(batches: Batches) -> Batches:
+        encoder = shared(ByteLevelIds, path)
         n, part = 0, None
         for b in batches:
-            for _, ids, part in encoded(b):
-                n += -(-len(ids) // length)
+            for t, part in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                n += -(-encoder.count(t.decode("utf-8", "replace")) // length)
         yield rows_batch([(part, n)] if part is not None else [], schema)
 
     sizes = {r["part"]: r["n"] for r in map_batches(source, count, kind).collect()}
@@ -108,36 +111,39 @@ def write_order(
     record_schema = arrow_schema(record_kind)
 
     def records(batches: Batches) -> Batches:
+        encoder = shared(ByteLevelIds, path)
         base, sizes = known.value
         at, part = 0, None
         for b in batches:
-            keys, starts, parts = [], [], []
-            for k, ids, part in encoded(b):
-                for s in range(0, len(ids), length):
-                    keys.append(NO_KEY if k is None else k)
-                    starts.append(s)
-                    parts.append(ids[s : s + length])
-                if len(parts) >= 8192:
-                    yield packed(base[part] + at, keys, starts, parts)
-                    at += len(parts)
-                    keys, starts, parts = [], [], []
-            if parts:
-                yield packed(base[part] + at, keys, starts, parts)
-                at += len(parts)
+            blocks, held = [], 0
+            for k, t, part in zip(*[c.to_pylist() for c in b.columns]):
+                ids = np.frombuffer(encoder.ids(t.decode("utf-8", "replace")), "<u4")
+                blocks.append(filled(NO_KEY if k is None else k, ids))
+                held += len(blocks[-1])
+                if held >= 8192:
+                    yield slotted(base[part] + at, np.concatenate(blocks))
+                    at += held
+                    blocks, held = [], 0
+            if held:
+                yield slotted(base[part] + at, np.concatenate(blocks))
+                at += held
         if part is not None and at != sizes[part]:
             raise RuntimeError(f"partition {part} gave {at} sequences, {sizes[part]} when counted")
 
-    def packed(first: int, keys: list[int], starts: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
-        out = np.zeros(len(parts), form)
-        out["key"], out["start"], out["n"] = keys, starts, [len(p) for p in parts]
-        for i, p in enumerate(parts):
-            out["ids"][i, : len(p)] = p
-        out["end"] = 10
-        slots = feistel_slots(np.arange(first, first + len(parts)), total, seed)
-        data = pa.Array.from_buffers(
-            pa.binary(), len(parts), [None, pa.py_buffer(np.arange(0, (len(parts) + 1) * form.itemsize, form.itemsize, dtype=np.int32)), pa.py_buffer(out.tobytes())]
-        )
-        return pa.RecordBatch.from_arrays([pa.array(slots), data], schema=record_schema)
+    def filled(key: int, ids: np.ndarray) -> np.ndarray:
+        """A document's records."""
+        n = -(-len(ids) // length)
+        out = np.zeros(n, form)
+        grid = np.zeros(n * length, form["ids"].base)
+        grid[: len(ids)] = ids
+        out["key"], out["ids"], out["end"] = key, grid.reshape(n, length), 10
+        out["start"] = np.arange(0, n * length, length)
+        out["n"] = np.minimum(len(ids) - out["start"], length)
+        return out
+
+    def slotted(first: int, out: np.ndarray) -> pa.RecordBatch:
+        slots = feistel_slots(np.arange(first, first + len(out)), total, seed)
+        return pa.RecordBatch.from_arrays([pa.array(slots), as_binary(out)], schema=record_schema)
 
     rows = map_batches(source, records, record_kind)
     shards = rows.repartitionById(layout.shards, F.floor(F.col("slot") / shard_slots).cast("int")).sortWithinPartitions("slot")
@@ -162,17 +168,25 @@ def read_order(spark: SparkSession, layout: Layout, first_slot: int = 0) -> Data
         for b in batches:
             for shard, content in zip(b.column(0).to_pylist(), b.column(1)):
                 data = np.frombuffer(content.as_buffer(), form)
-                for at in range(max(0, first_slot - shard * slots), len(data), 4096):
-                    x = data[at : at + 4096]
-                    rows = [
-                        (shard * slots + at + i, shard, (at + i) * form.itemsize, None if k == NO_KEY else k, s, n, ids[:n].tobytes())
-                        for i, (k, s, n, ids) in enumerate(zip(x["key"].tolist(), x["start"].tolist(), x["n"].tolist(), x["ids"]))
+                for at in range(max(0, first_slot - shard * slots), len(data), 8192):
+                    x = data[at : at + 8192]
+                    place = np.arange(at, at + len(x))
+                    columns = [
+                        pa.array(shard * slots + place),
+                        pa.array(np.full(len(x), shard, np.int32)),
+                        pa.array(place * form.itemsize),
+                        pa.array(x["key"], mask=x["key"] == NO_KEY),
+                        pa.array(x["start"]),
+                        pa.array(x["n"]),
+                        as_binary(np.ascontiguousarray(x["ids"])),
                     ]
-                    yield rows_batch(rows, schema)
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     shard = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
     files = spark.read.format("binaryFile").load(layout.path).select(shard.alias("shard"), "content")
-    return map_batches(files.where(F.col("shard") >= first_slot // slots), run, kind)
+    found = map_batches(files.where(F.col("shard") >= first_slot // slots), run, kind)
+    real = F.substring(F.col("ids"), F.lit(1), F.col("n") * form["ids"].base.itemsize)  # without the padding
+    return found.withColumn("ids", real)
 
 
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
