@@ -124,15 +124,19 @@ def targets(spans: DataFrame, weights: dict[str, float] | None) -> DataFrame:
 PIECE = "rid long, start long, length long, sequence_id long, offset long"
 
 
-def pack(items: DataFrame, window: int = 1024, weights: dict[str, float] | None = None, block: int = 1 << 22) -> DataFrame:
+def pack(
+    items: DataFrame, window: int = 1024, weights: dict[str, float] | None = None, block: int = 1 << 22, few: int = 100_000
+) -> DataFrame:
     """The pieces (PIECE; ``start`` counts from the item's own) of the rows rid, queue, n of ``items``.
 
-    The driver sees two sums over the sources and one sum per range partition.
+    The shares of up to ``few`` sources are broadcast, more are joined.  The driver sees two sums over the sources and one sum per range partition.
     """
     light = items.select("rid", "queue", "n")
     queued = materialise(running_offsets(light, [F.col("queue"), F.col("rid")], "n", "at"))
     spans = queued.groupBy("queue").agg(F.min("at").alias("first"), F.sum("n").alias("total"))
-    shares = targets(spans, weights)
+    shares = materialise(targets(spans, weights))
+    if shares.limit(few + 1).count() <= few:  # no shuffle on the queue, of which one may hold a third of the rows
+        shares = F.broadcast(shares)
     place = (F.col("at") - F.col("first") + F.col("n") / 2) / F.col("share")
     timed = queued.join(shares, "queue").select("rid", "queue", "n", "share", place.alias("time"))
     placed = running_offsets(timed, [F.col("time"), F.col("rid")], "n", "pos")

@@ -104,6 +104,8 @@ def test_windows_hold_the_target_mixture(spark):
     size = {q: sum(n for _, s, n in items if s == q) for q in ("=a", "=b")}
     for weights, share in ((None, size["=a"] / sum(size.values())), ({"a": 1.0, "b": 1.0}, 0.5)):
         got = P.pack(table, weights=weights, block=1 << 17).orderBy("sequence_id").collect()
+        joined = P.pack(table, weights=weights, block=1 << 17, few=0).orderBy("sequence_id").collect()
+        assert sorted(map(tuple, joined)) == sorted(map(tuple, got))
         taken, total, worst = 0, 0, 0.0
         last = None
         for p in got:
