@@ -7,9 +7,9 @@ words; windows and items become TF-IDF rows over the terms.  A randomised SVD
 of all those rows, summed over Spark tasks, gives the latent space; windows
 whose cosine with an item reaches ``cosine`` there, and which do not lack more
 of the item's terms than a sufficient subsequence could, are candidates.  A
-candidate counts if the longest common subsequence of words covers ``overlap`` of the
-item within a compact stretch, and half of the item's answer (its last
-sentence, at least three words).
+candidate counts if some compact stretch of words holds a subsequence that covers
+``overlap`` of the item, and half of the item's answer (its last sentence, at
+least three words).
 
 Words are lower-cased (A-Z) runs between white space and ASCII punctuation.
 Defined results: null and empty texts and items match nothing; items longer
@@ -79,21 +79,56 @@ def common_subsequence(item: list[bytes], window: list[bytes]) -> tuple[int, int
     return top // big, int(best[end] % big), end - 1
 
 
+def prefix_lengths(masks: list[int], n: int) -> list[int]:
+    """Length of the longest common subsequence of an item of ``n`` words and each prefix of a text.
+
+    ``masks`` has, for each word of the text, the bits of its places in the item (bit-parallel table).
+    """
+    full = row = (1 << n) - 1
+    out = []
+    for m in masks:
+        hit = row & m
+        if hit:
+            row = ((row + hit) | (row - hit)) & full
+        out.append(n - row.bit_count())
+    return out
+
+
 def lcs_check(item: list[bytes], answer: int, window: list[bytes], overlap: float) -> float | None:
-    """The share of the item's words found in order in a compact stretch, if it and the answer suffice.
+    """The largest share of the item's words found in order in a compact stretch that has the answer too.
 
-    Words that the window lacks in any order bound the subsequence and spare most windows its table.
+    Every start in the window is tried with all that follows it compactly, so
+    common words far from a passage cannot hide it.  Words that the window
+    lacks in any order bound the subsequence and spare most windows its table.
     """
-    if (Counter(item) - Counter(window)).total() > (1 - overlap) * len(item) + 1e-9:
+    n, need = len(item), overlap * len(item) - 1e-9
+    if (Counter(item) - Counter(window)).total() > (1 - overlap) * n + 1e-9:
         return None
-    length, first, last = common_subsequence(item, window)
-    if length < overlap * len(item) or last - first + 1 > 1.5 * len(item) + 5:
+    places: dict[bytes, int] = {}
+    for i, w in enumerate(item):
+        places[w] = places.get(w, 0) | 1 << i
+    masks = [places.get(w, 0) for w in window]
+    top = prefix_lengths(masks, n)[-1]
+    if top < need:
         return None
-    if answer:
-        found, _, _ = common_subsequence(item[-answer:], window[first : last + 1 + answer])
-        if 2 * found < answer:
-            return None
-    return length / len(item)
+    compact, best = int(1.5 * n + 5), 0
+    known = np.r_[0, np.cumsum([m > 0 for m in masks])]
+    for first, m in enumerate(masks):
+        most = known[min(first + compact, len(masks))] - known[first]
+        if not m or most < need or most <= best:
+            continue
+        lengths = prefix_lengths(masks[first : first + compact], n)
+        if lengths[-1] < need or lengths[-1] <= best:
+            continue
+        if answer:
+            last = first + lengths.index(lengths[-1])
+            found, _, _ = common_subsequence(item[-answer:], window[first : last + 1 + answer])
+            if 2 * found < answer:
+                continue
+        best = lengths[-1]
+        if best == top:
+            break
+    return best / n if best else None
 
 
 class Terms:

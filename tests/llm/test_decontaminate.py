@@ -77,3 +77,26 @@ def test_empty_tables(spark, empty):
     some = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x y z")], "doc_id long, text string")
     assert D.contaminated(empty, some).count() == 0 == D.contaminated(docs, none).count()
+
+
+def test_common_words_around_a_paraphrase_do_not_hide_it():
+    r = np.random.default_rng(5)
+    rare = lambda n: [w.encode() for w in words(r, n)]
+    item = [b"the", b"of", *rare(26), b"of", b"the"]
+    for _ in range(20):
+        leak = [*rare(2), *item[2:-2], *rare(2)]  # changed first and last words
+        far = [b"the", b"of", *rare(40), *leak, *rare(40), b"of", b"the"]
+        assert D.lcs_check(item, 0, leak, 0.7) == 26 / 30 == D.lcs_check(item, 0, far, 0.7)
+        assert D.lcs_check(item, 6, far, 0.7) is not None
+        wide = [x for w in item for x in (w, *rare(2))]  # all words, but never compactly
+        assert D.lcs_check(item, 0, wide, 0.7) is None
+
+
+def test_the_best_compact_stretch_is_that_of_brute_force():
+    r = np.random.default_rng(6)
+    for _ in range(200):
+        a = [bytes([x]) for x in r.integers(97, 103, r.integers(2, 9))]
+        b = [bytes([x]) for x in r.integers(97, 105, r.integers(1, 50))]
+        size = int(1.5 * len(a) + 5)
+        most = max(lcs(a, b[s : s + size]) for s in range(len(b)))
+        assert D.lcs_check(a, 0, b, 0.7) == (most / len(a) if most >= 0.7 * len(a) - 1e-9 else None)
