@@ -5,8 +5,11 @@ The terms are the words of a block's items that are rare in the corpus (at
 least each item's eight rarest).  Documents are cut into overlapping windows of
 words; windows and items become TF-IDF rows over the terms.  A randomised SVD
 of all those rows, summed over Spark tasks, gives the latent space; windows
-whose cosine with an item reaches ``cosine`` there, and which do not lack more
-of the item's terms than a sufficient subsequence could, are candidates.  A
+whose cosine with an item reaches ``cosine`` there are candidates, and so are,
+by exact counts, those that hold as many of the item's rarest words (its keys)
+as any sufficient subsequence must: what the space does not hold, or other items
+in the window outweigh, is not lost, and the block size changes no result.
+Windows that lack more of the item's terms than a sufficient subsequence could are dropped.  A
 candidate counts if some compact stretch of words holds a subsequence that covers
 ``overlap`` of the item, and half of the item's answer (its last sentence, at
 least three words).
@@ -22,6 +25,7 @@ from __future__ import annotations
 import re
 import string
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +36,8 @@ from .common import Batches, arrow_schema, map_batches, materialise, read_table,
 from .suffix_dedup import text_key
 
 PART = 64
+#: Rarest words that a window must share with an item to be checked.
+KEYS = 4
 _TABLE = bytearray(range(256))
 for _c in (string.punctuation + string.whitespace).encode():
     _TABLE[_c] = 32
@@ -132,13 +138,30 @@ def lcs_check(item: list[bytes], answer: int, window: list[bytes], overlap: floa
 
 
 class Terms:
-    """Terms of a block of items, their IDF, and the items' TF-IDF rows."""
+    """Terms of a block of items, their IDF, the items' TF-IDF rows, and each term's items (the keys' postings).
 
-    def __init__(self, parts: list[list[bytes]], df: dict[bytes, int], docs: int, common: float = 0.01):
+    An item's keys are its rarest words, KEYS more of them than ``overlap``
+    lets a match lack: every match holds at least KEYS (or, of a short item, all that must be there).
+    """
+
+    def __init__(self, parts: list[list[bytes]], df: dict[bytes, int], docs: int, overlap: float, common: float = 0.01):
         chosen: set[bytes] = set()
-        for p in parts:
-            ranked = sorted(set(p), key=lambda w: (df.get(w, 0), w))
+        keys: list[list[tuple[bytes, int]]] = []
+        self.least = np.zeros(len(parts), np.float32)
+        for j, p in enumerate(parts):
+            count = Counter(p)
+            ranked = sorted(count, key=lambda w: (df.get(w, 0), w))
             chosen.update(w for i, w in enumerate(ranked) if i < 8 or df.get(w, 0) <= common * docs)
+            spare = int((1 - overlap) * len(p) + 1e-9)
+            held = 0
+            keys.append([])
+            for w in ranked:
+                if held >= spare + KEYS:
+                    break
+                keys[-1].append((w, count[w]))
+                held += count[w]
+            self.least[j] = held - spare
+            chosen.update(w for w, _ in keys[-1])
         self.number = {w: i for i, w in enumerate(sorted(chosen))}
         self.idf = np.log((docs + 1) / (np.array([df.get(w, 0) for w in self.number]) + 1.0)) + 1e-3
         self.items = np.zeros((len(parts), len(self.number)), np.float32)
@@ -147,6 +170,31 @@ class Terms:
                 if w in self.number:
                     self.items[i, self.number[w]] += 1
         self.items = tf_idf(self.items, self.idf)
+        posted = np.array([(self.number[w], j, n) for j, own in enumerate(keys) for w, n in own], np.int64)
+        posted = posted[np.argsort(posted[:, 0], kind="stable")]
+        self.first = np.searchsorted(posted[:, 0], np.arange(len(self.number) + 1))
+        self.posted, self.need = posted[:, 1].astype(np.int32), posted[:, 2].astype(np.int32)
+
+    def postings(self) -> Postings:
+        return Postings(self.first, self.posted, self.need, self.least)
+
+
+class Postings(NamedTuple):
+    """Items and their counts for each term that is a key of theirs, and how many of its keys each item's match holds."""
+
+    first: np.ndarray
+    item: np.ndarray
+    count: np.ndarray
+    least: np.ndarray
+
+    def hits(self, rows: Rows, n: int) -> np.ndarray:
+        """(n rows x items): whether a row of terms holds ``least`` of the item's keys."""
+        size = self.first[rows.term + 1] - self.first[rows.term]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(self.first[rows.term] - (ends - size), size)
+        held = np.minimum(self.count[at], np.repeat(rows.count, size))
+        pair = np.repeat(rows.row, size) * len(self.least) + self.item[at]
+        return np.bincount(pair, held, n * len(self.least)).reshape(n, -1) >= self.least
 
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -299,7 +347,7 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
         yield rows_batch([(b"", docs), *count.items()], schema)
 
     df = {bytes(r[0]): r[1] for r in map_batches(source.select("data"), frequencies, kind).groupBy("word").agg(F.sum("n")).collect()}
-    terms = Terms([p for _, p, _ in parts], df, df.pop(b"", 0))
+    terms = Terms([p for _, p, _ in parts], df, df.pop(b"", 0), overlap)
     number = spark.sparkContext.broadcast(terms.number)
     longest = max(len(p) for _, p, _ in parts)
     span, stride = 2 * longest, longest
@@ -326,14 +374,14 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
     basis = latent_basis(windows, terms, rank)
     queries = terms.items @ basis
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-    held = spark.sparkContext.broadcast((basis, queries, terms.idf))
+    held = spark.sparkContext.broadcast((basis, queries, terms.idf, terms.postings()))
     shared_parts = spark.sparkContext.broadcast(parts)
     near_kind = StructType.fromDDL("tkey binary, first long, part int, cosine double")
     near_schema = arrow_schema(near_kind)
 
     def search(batches: Batches) -> Batches:
-        """Pairs near in the latent space whose window lacks no more of the item's terms than the overlap allows."""
-        base, asked, idf = held.value
+        """Pairs near in the latent space or sharing enough keys, whose window lacks no more of the item's terms than the overlap allows."""
+        base, asked, idf, postings = held.value
         known = number.value
         wanted = [Counter(known[w] for w in p if w in known) for _, p, _ in shared_parts.value]
         spare = [(1 - overlap) * len(p) for _, p, _ in shared_parts.value]
@@ -344,7 +392,7 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
                 x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
                 c = x @ asked.T
                 out = []
-                for i, j in zip(*[v.tolist() for v in np.nonzero(c >= cosine)]):
+                for i, j in zip(*[v.tolist() for v in np.nonzero((c >= cosine) | postings.hits(rows, len(c)))]):
                     have = Counter(np.frombuffer(lists[at + i], "<u4").tolist())
                     if (wanted[j] - have).total() <= spare[j] + 1e-9:
                         out.append((keys[at + i], firsts[at + i], j, float(c[i, j])))

@@ -100,3 +100,23 @@ def test_the_best_compact_stretch_is_that_of_brute_force():
         size = int(1.5 * len(a) + 5)
         most = max(lcs(a, b[s : s + size]) for s in range(len(b)))
         assert D.lcs_check(a, 0, b, 0.7) == (most / len(a) if most >= 0.7 * len(a) - 1e-9 else None)
+
+
+def test_no_leak_is_lost_in_a_block_that_the_rank_does_not_hold(spark):
+    r = np.random.default_rng(12)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(r.choice(vocabulary, 12 if i % 2 else 60))) for i in range(300)]
+    docs, want = [], set()
+    for i, t in items:
+        para = t.split()
+        for j in range(1, len(para) - 1, 4):  # a quarter of the words are others
+            para[j] = "other"
+        near = " ".join(items[(i + 7) % 300][1].split()[:20])  # words of another item in the window
+        docs += [(i, f"{near} {t} {near}"), (1000 + i, f"{near} {' '.join(para)} {near}")]
+        want |= {(i, i), (1000 + i, i)}
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {(x[0], x[1]) for x in D.contaminated(table, spark.createDataFrame(items, "item_id long, text string"), rank=16).collect()}
+    assert want <= got
+    text = dict(docs)
+    for i, k in got - want:  # short items whose words stand in another item's part
+        assert lcs(items[k][1].split(), text[i].split()) >= 0.7 * len(items[k][1].split())
