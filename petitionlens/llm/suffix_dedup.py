@@ -119,10 +119,12 @@ def stretch_id(stretch: bytes, offset: int) -> int:
 MANY = object()
 
 
-def repeated_windows(stretches: list[tuple[bytes, int, bool, object]], length: int, piece: int) -> list[list[int]]:
+def repeated_windows(
+    stretches: list[tuple[bytes, int, bool, object]], length: int, piece: int, groups: list[int] | None = None
+) -> list[list[int]]:
     """For each (bytes, anchor offset, many, owner) the starts of its windows that occur with two owners.
 
-    ``many`` says that the stretch itself has two; an owner None stands for
+    Windows are compared within a group of ``groups`` (default: all are one).  ``many`` says that the stretch itself has two; an owner None stands for
     one of its own at every place.  The suffix array of the stretches' pieces
     brings together the places that share all whole pieces of a window; the
     bytes at the window's two ends are then compared.
@@ -153,13 +155,13 @@ def repeated_windows(stretches: list[tuple[bytes, int, bool, object]], length: i
     for run in np.split(order, np.flatnonzero(~same) + 1):
         if len(run) < 2 and not stretches[where[run[0]][0]][2]:
             continue
-        seen: dict[tuple[bytes, bytes], object] = {}
+        seen: dict[tuple[int, bytes, bytes], object] = {}
         windows = []
         for s in run.tolist():
             k, at = where[s]
             data, _, many, owner = stretches[k]
             for p in range(max(0, at - piece + 1), min(at, len(data) - length) + 1):
-                edge = (data[p:at], data[at + core * piece : p + length])
+                edge = (groups[k] if groups else 0, data[p:at], data[at + core * piece : p + length])
                 own = MANY if many else (k, p) if owner is None else owner
                 if seen.setdefault(edge, own) != own:
                     seen[edge] = MANY
@@ -295,11 +297,11 @@ def repeated_runs(
     schema = arrow_schema(kind)
 
     def sort_groups(batches: Batches) -> Batches:
-        """Rows come in the order of h; whole groups are sorted some thousand stretches at a time."""
+        """Rows come in the order of h; whole groups are sorted some thousand stretches at a time, but compared by h, which tells scopes apart."""
         rows: list[tuple] = []
 
         def settle(part: list[tuple]) -> pa.RecordBatch:
-            found = repeated_windows([(data, off, many, own) for _, _, many, own, off, data in part], length, piece)
+            found = repeated_windows([(data, off, many, own) for _, _, many, own, off, data in part], length, piece, [r[0] for r in part])
             runs = [as_runs(x) for x in found]
             return rows_batch([(r[0], r[1], s, e) for r, (s, e) in zip(part, runs) if s], schema)
 

@@ -102,3 +102,22 @@ def test_articles_of_the_whole_table(spark):
         parts = [" ".join(html.unescape(x).split()) for x in re.split(r"<[^>]*>", inner)]
         assert got[p.page_id] == (p.url, " ".join(x for x in parts if x))
     assert H.main_text(pages.limit(0)).count() == 0
+
+
+def test_hosts_that_share_a_text_without_articles_keep_it(spark):
+    words = lambda k, n: " ".join(f"{k}{i * i % 97}w{i}" for i in range(n))
+    story = words("story", 60)
+    rows = []
+    for host in ("a", "b"):
+        rows.append((len(rows), f"http://{host}.com/1", f"<div>{story}</div>"))
+        # other pages of the host hold pieces of the story, each shorter than a repeated run, in other surroundings
+        for at in range(0, len(story) - 60, 7):
+            rows.append((len(rows), f"http://{host}.com/x{at}", f"<div>{words(f'{host}{at}p', 12)}{story[at : at + 60]}{words(f'{host}{at}q', 12)}</div>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")  # all groups of anchors meet in one task
+        text = {r.url: r.text for r in H.main_text(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert text["http://a.com/1"] == story == text["http://b.com/1"]
