@@ -2,17 +2,18 @@
 
 Benchmark items are the stated query set, taken in blocks of at most ``block``.
 The terms are the words of a block's items that are rare in the corpus (at
-least each item's eight rarest).  Documents are cut into overlapping windows of
-words; windows and items become TF-IDF rows over the terms.  A randomised SVD
-of all those rows, summed over Spark tasks, gives the latent space; windows
-whose cosine with an item reaches ``cosine`` there are candidates, and so are,
-by exact counts, those that hold as many of the item's rarest words (its keys)
-as any sufficient subsequence must: what the space does not hold, or other items
-in the window outweigh, is not lost, and the block size changes no result.
-Windows that lack more of the item's terms than a sufficient subsequence could are dropped.  A
-candidate counts if some compact stretch of words holds a subsequence that covers
-``overlap`` of the item, and half of the item's answer (its last sentence, at
-least three words).
+least each item's eight rarest and its keys).  Documents are cut into overlapping
+windows of words, of which one holds the whole of any stretch that can count;
+windows and items become TF-IDF rows over the terms.  A randomised SVD of all
+those rows, summed over Spark tasks, gives the latent space; windows whose
+cosine with an item reaches ``cosine`` there are candidates, and so are, by exact
+counts, those that hold as many of the item's rarest words (its keys) as any
+sufficient subsequence must: leaks that the space does not hold, or that other
+items in the window outweigh, are not lost, and blocks change no pair.  Windows
+that lack more of the item's terms than a sufficient subsequence could are
+dropped.  A candidate counts if some compact stretch of words holds a
+subsequence that covers ``overlap`` of the item, and half of the item's answer
+(its last sentence, at least three words).
 
 Words are lower-cased (A-Z) runs between white space and ASCII punctuation.
 Defined results: null and empty texts and items match nothing; items longer
@@ -100,6 +101,11 @@ def prefix_lengths(masks: list[int], n: int) -> list[int]:
     return out
 
 
+def compact(n: int) -> int:
+    """Words of the widest stretch that can hold an item of ``n`` words."""
+    return int(1.5 * n + 5)
+
+
 def lcs_check(item: list[bytes], answer: int, window: list[bytes], overlap: float) -> float | None:
     """The largest share of the item's words found in order in a compact stretch that has the answer too.
 
@@ -117,13 +123,13 @@ def lcs_check(item: list[bytes], answer: int, window: list[bytes], overlap: floa
     top = prefix_lengths(masks, n)[-1]
     if top < need:
         return None
-    compact, best = int(1.5 * n + 5), 0
+    width, best = compact(n), 0
     known = np.r_[0, np.cumsum([m > 0 for m in masks])]
     for first, m in enumerate(masks):
-        most = known[min(first + compact, len(masks))] - known[first]
+        most = known[min(first + width, len(masks))] - known[first]
         if not m or most < need or most <= best:
             continue
-        lengths = prefix_lengths(masks[first : first + compact], n)
+        lengths = prefix_lengths(masks[first : first + width], n)
         if lengths[-1] < need or lengths[-1] <= best:
             continue
         if answer:
@@ -350,7 +356,8 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
     terms = Terms([p for _, p, _ in parts], df, df.pop(b"", 0), overlap)
     number = spark.sparkContext.broadcast(terms.number)
     longest = max(len(p) for _, p, _ in parts)
-    span, stride = 2 * longest, longest
+    stride = compact(longest)  # the widest stretch that counts is whole in the window of its first word
+    span = 2 * stride
     rows_kind = StructType.fromDDL("tkey binary, first long, terms binary")
     rows_schema = arrow_schema(rows_kind)
 
@@ -410,7 +417,7 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
                 best: dict[object, tuple[float, float]] = {}
                 for n in near_rows:
                     item, part, answer = shared_parts.value[n["part"]]
-                    share = lcs_check(part, answer, words[n["first"] : n["first"] + span], overlap)
+                    share = lcs_check(part, answer, words[n["first"] : n["first"] + span + answer], overlap)
                     if share is not None:
                         best[item] = max(best.get(item, (0.0, 0.0)), (share, n["cosine"]))
                 out += [(key, item, c, s) for item, (s, c) in best.items()]

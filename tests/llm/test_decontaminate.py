@@ -120,3 +120,16 @@ def test_no_leak_is_lost_in_a_block_that_the_rank_does_not_hold(spark):
     text = dict(docs)
     for i, k in got - want:  # short items whose words stand in another item's part
         assert lcs(items[k][1].split(), text[i].split()) >= 0.7 * len(items[k][1].split())
+
+
+def test_long_items_with_inserted_words_are_found_at_every_offset(spark):
+    r = np.random.default_rng(13)
+    item = words(r, 64)
+    leak = []
+    for i, w in enumerate(item):  # 46 of 64 words stay, in a stretch of 96
+        leak += [w if i % 7 not in (2, 5) else "other"] + ["more"] * (i % 2)
+    assert len(leak) == 96 and lcs(item, leak) == 46
+    docs = [(i, " ".join([*words(r, i), *leak, *words(r, 60)])) for i in range(0, 210, 5)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {x[0] for x in D.contaminated(table, bench).collect()} == {i for i, _ in docs}
