@@ -8,8 +8,8 @@ trained in numpy on a bounded sample of labelled rows.  One embedding
 coordinate for words and one for beginnings start as the log-odds of their
 bucket, the rest at random.
 
-A part of the labelled rows is held back to calibrate one threshold for each
-language, as guessed from the text's function words; the score is the logit
+A fold of the labelled rows is held back, and all of it calibrates one threshold
+for each language with enough labels of both classes, as guessed from the text's function words; the score is the logit
 less the threshold's, so 0.5 is the decision in every language.
 
 Defined results: null and empty texts score like a text without any word;
@@ -35,6 +35,8 @@ WIDTHS = (1, 2, 3)
 #: (filter width, word offset) of the blocks of one stacked weight matrix
 BLOCKS = [(k, j) for k in WIDTHS for j in range(k)]
 STRETCH = 1 << 16
+#: Calibration tells logits apart to one BINth.
+BIN = 64
 #: The row of zeros that pads a text's end.
 PAD = 2 * BUCKETS
 PADDING = np.full((max(WIDTHS) - 1, 2), PAD, np.int64)
@@ -193,64 +195,90 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 6, batch: in
     return m
 
 
-def best_threshold(logits: np.ndarray, toxic: np.ndarray) -> float:
-    """The cut with the fewest errors, in the middle of the widest gap among equals."""
-    order = np.argsort(logits, kind="stable")
-    x, t = logits[order], toxic[order]
-    right = np.r_[0, np.cumsum(~t)] + t.sum() - np.r_[0, np.cumsum(t)]
+def best_cut(x: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> float:
+    """The cut with the fewest errors, in the middle of the widest gap among equals, for counts at rising logits ``x``."""
+    right = np.r_[0, np.cumsum(other)] + toxic.sum() - np.r_[0, np.cumsum(toxic)]
     edges = np.r_[x[0] - 2, x, x[-1] + 2]
     gaps = edges[1:] - edges[:-1]
-    best = np.flatnonzero((right == right[gaps > 0].max()) & (gaps > 0))
+    best = np.flatnonzero(right == right.max())
     i = best[gaps[best].argmax()]
     return float((edges[i] + edges[i + 1]) / 2)
 
 
-def calibrate(m: Model, texts: list[np.ndarray], toxic: np.ndarray, least: int = 30) -> None:
+def best_threshold(logits: np.ndarray, toxic: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The best cut of logits that stand for ``n`` (default: one each) toxic or other texts."""
+    n = np.ones(len(logits), np.int64) if n is None else n
+    x, back = np.unique(logits, return_inverse=True)
+    return best_cut(x, np.bincount(back, n * toxic, len(x)), np.bincount(back, n * ~toxic, len(x)))
+
+
+def set_thresholds(m: Model, langs: np.ndarray, logits: np.ndarray, toxic: np.ndarray, n: np.ndarray, least: int = 30) -> None:
     """Set a threshold for each language with ``least`` texts of both classes; the others get the common one."""
-    if not len(texts) or toxic.all() or not toxic.any():
+    if not len(logits) or toxic.all() or not toxic.any():
         return
-    table = language_table()
-    logits = np.array([m.logit(x) for x in texts])
-    langs = np.array([language(x, table) for x in texts])
-    m.threshold[:] = best_threshold(logits, toxic)
+    m.threshold[:] = best_threshold(logits, toxic, n)
     for i in range(len(LANGUAGES)):
         own = langs == i
-        if min((toxic & own).sum(), (~toxic & own).sum()) >= least:
-            m.threshold[i] = best_threshold(logits[own], toxic[own])
+        if min(n[toxic & own].sum(), n[~toxic & own].sum()) >= least:
+            m.threshold[i] = best_threshold(logits[own], toxic[own], n[own])
+
+
+def calibrate(m: Model, texts: list[np.ndarray], toxic: np.ndarray, least: int = 30) -> None:
+    """Thresholds from labelled texts at hand."""
+    table = language_table()
+    langs = np.array([language(x, table) for x in texts], np.int64)
+    set_thresholds(m, langs, np.array([m.logit(x) for x in texts]), toxic, np.ones(len(texts), np.int64), least)
+
+
+def calibrate_on(m: Model, docs: DataFrame, labels: DataFrame, key: str, text: str) -> None:
+    """Thresholds from all labelled rows of fold 1, scored in tasks; counts per language and BINth of a logit reach the driver."""
+    held = docs.sparkSession.sparkContext.broadcast(m)
+
+    def run(texts: list[bytes]) -> dict[str, object]:
+        table, langs, bins = language_table(), [], []
+        for t in texts:
+            ids = buckets(t)
+            langs.append(language(ids, table))
+            bins.append(round(BIN * min(50.0, max(-50.0, held.value.logit(ids)))))
+        return {"__lang__": langs, "__bin__": bins}
+
+    own = docs.where(fold(key) == 1)
+    scored = with_columns(own, utf8(text), run, "__lang__ int, __bin__ int", keep=[key])
+    scored = scored.groupBy(key).agg(F.min(F.struct("__lang__", "__bin__")).alias("__at__"))
+    known = labels.where((fold(key) == 1) & F.col("toxic").isin(0, 1)).select(key, "toxic").distinct()
+    rows = known.join(scored, key).groupBy("__at__.__lang__", "__at__.__bin__", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    lang, at, toxic, n = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 4).T
+    set_thresholds(m, lang, at / BIN, toxic == 1, n)
 
 
 def fold(key: str) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: int, rows: int, longest: int) -> list[tuple[int, np.ndarray]]:
-    """(fold, word buckets) of at most ``rows`` labelled rows of one class from the training folds, chosen by a hash of the key.
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: int, rows: int, longest: int) -> list[np.ndarray]:
+    """Word buckets of at most ``rows`` labelled rows of one class from the training folds, chosen by a hash of the key.
 
     Texts above ``longest`` bytes are scored but not learnt from, which bounds what reaches the driver.
     """
-    own = labels.where((F.col("toxic") == toxic) & (fold(key) != 0)).select(key).distinct()
+    own = labels.where((F.col("toxic") == toxic) & (fold(key) > 1)).select(key).distinct()
     picked = own.orderBy(F.xxhash64(key), key).limit(rows)
     found = docs.select(key, utf8(text).alias("data")).where(F.length("data") <= longest).join(F.broadcast(picked), key)
-    found = found.groupBy(key).agg(F.min("data").alias("data")).select(fold(key).alias("fold"), "data")
-    return [(int(r["fold"]), buckets(bytes(r["data"]))) for r in found.toLocalIterator()]
+    found = found.groupBy(key).agg(F.min("data").alias("data")).select("data")
+    return [buckets(bytes(r["data"])) for r in found.toLocalIterator()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 1200, longest: int = 20_000) -> Model | None:
-    """A calibrated model from at most ``rows`` toxic and 2 * ``rows`` other labelled texts; fold 1 calibrates, 2 to 4 train.
+    """A model from at most ``rows`` toxic and 2 * ``rows`` other labelled texts of folds 2 to 4, calibrated on all of fold 1.
 
     Returns None without labels of both classes.
     """
-    got = [(f, ids, c == 1) for c in (1, 0) for f, ids in sample(docs, labels, key, text, c, rows * (2 - c), longest)]
-    got.sort(key=lambda x: (x[0], x[1].tobytes()))
-    parts: dict[bool, tuple[list[np.ndarray], np.ndarray]] = {}
-    for is_train in (True, False):
-        own = [(ids, t) for f, ids, t in got if (f > 1) == is_train]
-        parts[is_train] = [ids for ids, _ in own], np.array([t for _, t in own], bool)
-    texts, toxic = parts[True]
+    got = [(ids, c == 1) for c in (1, 0) for ids in sample(docs, labels, key, text, c, rows * (2 - c), longest)]
+    got.sort(key=lambda x: x[0].tobytes())
+    texts, toxic = [ids for ids, _ in got], np.array([t for _, t in got], bool)
     if not len(toxic) or toxic.all() or not toxic.any():
         return None
     m = train(texts, toxic)
-    calibrate(m, *parts[False])
+    calibrate_on(m, docs, labels, key, text)
     return m
 
 

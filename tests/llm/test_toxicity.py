@@ -71,3 +71,20 @@ def test_held_out_accuracy(spark):
     assert ((score >= 0.5) == toxic).mean() > 0.97
     pos, neg = score[toxic == 1], score[toxic == 0]
     assert (pos[:, None] > neg[None, :]).mean() > 0.97
+
+
+def test_every_labelled_row_of_the_fold_calibrates(spark):
+    """A rare language gets its own threshold once the table has enough labels, however small the sample for the fit."""
+    r = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(4000):
+        bad, spanish = i % 2 == 0, i % 10 < 2
+        t = ["los", "las", "del"] if spanish else ["the", "of", "and"]
+        t += list(r.choice(words, 12)) + ([f"nasty{r.integers(0, 9)}"] if bad else [])
+        rows.append((i, " ".join(t)))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    m = X.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), rows=60)
+    common = m.threshold[X.LANGUAGES.index("other")]
+    assert m.threshold[X.LANGUAGES.index("es")] != common != m.threshold[X.LANGUAGES.index("en")]
