@@ -121,3 +121,14 @@ def test_hosts_that_share_a_text_without_articles_keep_it(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert text["http://a.com/1"] == story == text["http://b.com/1"]
+
+
+def test_omitted_end_tags_are_implied():
+    text = lambda x: H.split_page(b"<article>" + x + b"</article>")[0]
+    assert text(b"<p class='ad'>buy <b>now</b><p>one<p class=promo>x<div>two</div>three<p class=ad>y<hr>four") == "one two three four"
+    assert text(b"<ul><li class='share'>tweet <a>it<li>one<li class=ad><p>x<li><p>two</ul>end") == "one two end"
+    assert text(b"<ul><li class='share'>a<ul><li>b</ul>c<li>out</ul>") == "out"  # an inner list ends nothing outside
+    assert text(b"<dl><dt class=ad>x<dd>one<dd class=ad>y<dt>two</dl>") == "one two"
+    assert text(b"<table><tr><td class=promo>x<td>one<tr class=ad><td>y<tr><td>two<tbody class=ad><tr><td>z<tbody><tr><td>three</table>") == "one two three"
+    assert text(b"<p class=ad>x<table><tr><td>one</table>") == "one"
+    assert text(b"<div class=ad><p>x<p>y</div>one") == "one"  # a paragraph's end leaves what holds it apart
