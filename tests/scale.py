@@ -1,8 +1,12 @@
-"""Settings for tests of plans that only show at scale."""
+"""Paths, and settings for tests of plans that only show at scale."""
 
 from __future__ import annotations
 
 import contextlib
+import os
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF_SMALL = "/root/testdata/sf0.001"
 
 NO_BROADCAST = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -20,7 +20,7 @@ from petitionlens.sources import (
     write_petitions,
 )
 
-from conftest import SF_SMALL
+from scale import SF_SMALL
 
 
 def _raw(spark, **overrides):

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 from oracle_check import compare
 from petitionlens.plans.catalogue import CATALOGUE
 
-from conftest import SF_SMALL
+from scale import SF_SMALL
 
 # Expected row counts at sf0.001 (independently computed on the projection).
 EXPECTED_ROWS = {

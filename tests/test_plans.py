@@ -11,7 +11,7 @@ from tools.plan_inspect import final_plan, physical_plan, summary
 from petitionlens.session import shared_dir
 from petitionlens.sources import read_petitions, write_petitions
 
-from conftest import SF_SMALL
+from scale import SF_SMALL
 
 JOINED = {"modal_soc_by_state"}
 

@@ -8,9 +8,8 @@ from petitionlens.plans.catalogue import CATALOGUE
 from tools.plan_inspect import final_plan, summary
 from petitionlens.sources import petitions
 
-from conftest import SF_SMALL
 from helpers import rows, table
-from scale import NO_BROADCAST, conf
+from scale import NO_BROADCAST, SF_SMALL, conf
 
 def test_joins_fall_back_to_shuffle_joins_with_same_answer(spark):
     p = petitions(spark, SF_SMALL)

@@ -10,7 +10,7 @@ from petitionlens.schema import CLEAN, require
 from petitionlens.sources import petitions, raw_petitions, read_petitions
 from petitionlens.streaming import ingest_available
 
-from conftest import SF_SMALL
+from scale import SF_SMALL
 
 
 def test_incremental_ingest_is_exactly_once(spark, scratch):
