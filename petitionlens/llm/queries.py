@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op2_decontamination
+from .exact_dedup import OP13_SQL, op13_exact_dedup
 from .html_extract import op6_html_extraction
+from .importance_sampling import op12_importance_sampling
+from .lexical_search import OP11_SQL, op11_lexical_search
 from .packing import op1_packing
 from .quality_rules import op4_quality_rules
 from .simhash import op5_simhash_dedup
@@ -30,7 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_training_order,
         op10_token_counts,
+        op11_lexical_search,
+        op12_importance_sampling,
+        op13_exact_dedup,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op11_lexical_search": OP11_SQL, "op13_exact_dedup": OP13_SQL}
