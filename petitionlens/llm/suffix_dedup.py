@@ -1,23 +1,31 @@
-"""Removal of every byte that a repeated string of ``length`` bytes covers.
+"""Removal of every byte that a repeated string of ``length`` symbols covers.
+
+A text is a string of symbols: its bytes (``Passage`` BYTES, 400 of them), or
+its words (WORDS, 50 of them), each as a 64-bit hash.
 
 1.  Equal texts are merged: one row per distinct text with its number of copies.
-2.  Every window of ``length`` bytes picks an anchor: the start, within it, of
-    the 128-byte string with the smallest hash.  Equal windows pick the same
-    place, so a window can only repeat among windows whose anchors hash alike.
-    Anchors that stand alone in the corpus settle their windows as unique; if
-    all stretches around equal anchors are equal, their windows are repeated.
-3.  The remaining stretches meet by anchor.  Cut into 25-byte pieces counted
-    from the anchor they become short strings over piece numbers, and a suffix
-    array (linear grouping construction) brings together all places that share
-    15 pieces; the up to 25 bytes left of each window decide byte by byte.
-    Anchors with more than ``group`` places do not go to one task: their windows
-    are counted by hash in a map-side aggregate.
-4.  Repeated windows return to their texts, which are cut and hashed.
+2.  Every window of ``length`` symbols picks an anchor: the start, within it, of
+    the run of ``gram`` symbols with the smallest hash.  Equal windows pick the
+    same place, so a window can only repeat among windows whose anchors hash
+    alike.  Anchors that stand alone in the corpus settle their windows as
+    unique; if all stretches around equal anchors are equal, their windows are
+    repeated.
+3.  The remaining stretches meet by anchor.  Cut into pieces counted from the
+    anchor they become short strings over piece numbers, and a suffix array
+    (linear grouping construction) brings together all places that share the
+    whole pieces of a window; the symbols left of each window decide exactly.
+4.  An anchor with more than ``group`` places does not go to one task.  Its
+    stretches are cut into blocks of BLOCK neighbouring windows by their distance
+    to the anchor, and blocks meet by what all their windows have in common:
+    equal windows have both alike.  These are small groups again, sorted as in
+    3; where even the common part has more than ``group`` surroundings, its few
+    windows are counted by hash in a map-side aggregate.
+5.  Repeated windows return to their texts, which are cut and hashed.
 
 Windows are judged on the input and never cross texts.  Defined results: null
 and empty texts have nothing removed; texts shorter than ``length`` cannot hold
-a window; equal rows lose everything from ``length`` bytes on; a text of any
-size is read in pieces of SEGMENT bytes.
+a window; equal rows lose everything from ``length`` symbols on; a text of any
+size is read in pieces of SEGMENT symbols; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +46,85 @@ from .common import Batches, arrow_schema, map_batches, materialise, read_table,
 from .suffix_array import suffix_array
 
 SEGMENT = 1 << 16
+#: Neighbouring windows of a crowded anchor that are compared together.
+BLOCK = 16
+
+
+class Passage(NamedTuple):
+    """What repeats: a window's length, an anchor's and a piece's, in symbols of ``unit`` bytes."""
+
+    length: int = 400
+    gram: int = 128
+    piece: int = 25
+    unit: int = 1
+
+
+BYTES = Passage()
+WORDS = Passage(50, 16, 5, 8)
+
+#: ASCII white space
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Texts are cut into words about this many bytes at a time.
+FLAT = 1 << 20
+ODD = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+    return out
+
+
+_UP, _DOWN = _powers(ODD, 2 * FLAT), _powers(pow(ODD, -1, 1 << 64), 2 * FLAT)
+
+
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte, and byte behind the last, of each word (maximal run without white space)."""
+    space = SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, from sums of its bytes times powers of an odd number."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        first = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, first + FLAT)))
+        size = int(ends[to - 1] - first)
+        up, down = (_UP, _DOWN) if size <= len(_UP) else (_powers(ODD, size), np.ones(1, np.uint64))
+        part = np.frombuffer(data, np.uint8, size, int(first)).astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(part * up[:size])])
+        own = starts[at:to] - first
+        out[at:to] = (sums[ends[at:to] - first] - sums[own]) * down[own]
+        at = to
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(ODD)
+    out ^= out >> np.uint64(29)
+    return out
+
+
+def symbols(texts: list[bytes], unit: int) -> list[bytes]:
+    """The texts as packed symbols of ``unit`` bytes: as they are, or a hash for each word."""
+    if unit == 1:
+        return texts
+    out: list[bytes] = []
+    held, size = [], 0
+    for i, t in enumerate(texts):
+        held.append(t)
+        size += len(t) + 1
+        if size >= FLAT or i == len(texts) - 1:
+            flat = b" ".join(held)
+            starts, ends = word_spans(flat)
+            packed = word_hashes(flat, starts, ends).tobytes()
+            cuts = np.searchsorted(starts, np.cumsum([0, *[len(x) + 1 for x in held]])).tolist()
+            out += [packed[8 * a : 8 * b] for a, b in zip(cuts, cuts[1:])]
+            held, size = [], 0
+    return out
+
+
 #: odd multipliers of the doubling hash
 MIX = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * i & 0xFFFFFFFFFFFFFFFF | 1) for i in range(9)]
 
@@ -68,18 +156,19 @@ def chosen_anchors(hashes: np.ndarray, width: int) -> np.ndarray:
     return (low - (best & low)).astype(np.int64)
 
 
-def anchor_runs(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text number, anchor, first window, last window, anchor hash) for each run of
-    windows with one anchor; texts are hashed together, SEGMENT bytes at a time, so that the arrays stay in cache."""
+def anchor_runs(texts: list[bytes], rule: Passage) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text number, anchor, first window, last window, anchor hash), counted in symbols, for each run of
+    windows with one anchor; texts are hashed together, SEGMENT symbols at a time, so that the arrays stay in cache."""
+    length, gram, _, unit = rule
     width = length - gram + 1
     block: list[tuple[int, int, bytes]] = []
     held = 0
 
     def flush():
-        data = np.frombuffer(b"".join(p for _, _, p in block), np.uint8)
+        data = np.frombuffer(b"".join(p for _, _, p in block), np.uint8 if unit == 1 else np.uint64)
         hashes = gram_hashes(data, gram)
         pick = chosen_anchors(hashes, width)
-        owner_start = np.cumsum([0, *[len(p) for _, _, p in block]])
+        owner_start = np.cumsum([0, *[len(p) // unit for _, _, p in block]])
         piece_of = np.full(len(pick), -1, np.int64)
         for k, s in enumerate(owner_start[:-1]):
             e = min(owner_start[k + 1] - length + 1, len(pick))
@@ -99,13 +188,13 @@ def anchor_runs(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[in
         )
 
     for i, text in enumerate(texts):
-        for s in range(0, len(text) - length + 1, SEGMENT):
-            part = text[s : s + SEGMENT + length - 1]
-            if block and held + len(part) > SEGMENT:
+        for s in range(0, len(text) // unit - length + 1, SEGMENT):
+            part = text[s * unit : (s + SEGMENT + length - 1) * unit]
+            if block and held + len(part) // unit > SEGMENT:
                 yield from flush()
                 block, held = [], 0
             block.append((i, s, part))
-            held += len(part)
+            held += len(part) // unit
     if block:
         yield from flush()
 
@@ -120,21 +209,23 @@ MANY = object()
 
 
 def repeated_windows(
-    stretches: list[tuple[bytes, int, bool, object]], length: int, piece: int, groups: list[int] | None = None
+    stretches: list[tuple[bytes, int, bool, object]], rule: Passage = BYTES, groups: list[int] | None = None
 ) -> list[list[int]]:
-    """For each (bytes, anchor offset, many, owner) the starts of its windows that occur with two owners.
+    """For each (packed symbols, anchor offset, many, owner) the starts of its windows that occur with two owners.
 
-    Windows are compared within a group of ``groups`` (default: all are one).  ``many`` says that the stretch itself has two; an owner None stands for
+    Windows are compared within a group of ``groups`` (default: all are one).
+    ``many`` says that the stretch itself has two; an owner None stands for
     one of its own at every place.  The suffix array of the stretches' pieces
     brings together the places that share all whole pieces of a window; the
-    bytes at the window's two ends are then compared.
+    symbols at the window's two ends are then compared.
     """
-    core = length // piece - 1
+    core, unit = rule.length // rule.piece - 1, rule.unit
+    length, piece = rule.length * unit, rule.piece * unit
     number: dict[bytes, int] = {}
     text: list[int] = []
     where: list[tuple[int, int]] = []  # (stretch, byte) of each symbol
     for k, (data, offset, _, _) in enumerate(stretches):
-        for at in range(offset % piece, len(data) - piece + 1, piece):
+        for at in range(offset * unit % piece, len(data) - piece + 1, piece):
             text.append(number.setdefault(data[at : at + piece], len(number) + 2))
             where.append((k, at))
         text.append(1)
@@ -160,7 +251,7 @@ def repeated_windows(
         for s in run.tolist():
             k, at = where[s]
             data, _, many, owner = stretches[k]
-            for p in range(max(0, at - piece + 1), min(at, len(data) - length) + 1):
+            for p in range(max(0, at - piece + unit), min(at, len(data) - length) + 1, unit):
                 edge = (groups[k] if groups else 0, data[p:at], data[at + core * piece : p + length])
                 own = MANY if many else (k, p) if owner is None else owner
                 if seen.setdefault(edge, own) != own:
@@ -168,7 +259,7 @@ def repeated_windows(
                 windows.append((k, p, edge))
         for k, p, edge in windows:
             if seen[edge] is MANY:
-                found[k].append(p)
+                found[k].append(p // unit)
     return found
 
 
@@ -220,19 +311,43 @@ def distinct_texts(docs: DataFrame, text: str) -> str:
     return name
 
 
-def repeated_runs(
-    texts: DataFrame, length: int = 400, group: int = 20_000, gram: int = 128, piece: int = 25, across: bool = False
-) -> DataFrame:
-    """tkey, starts, ends: runs of window starts that occur at least twice among the distinct ``texts``.
+def core_blocks(data: bytes, offset: int, rule: Passage) -> Iterator[tuple[int, int, int, bytes]]:
+    """(block, first window, its place before the common part, symbols) for the blocks of windows of a stretch.
+
+    A block holds the windows that begin 16 b to 16 b + 15 symbols (BLOCK)
+    before the anchor at ``offset``.  All of them hold the symbols from the
+    last one's start to the first one's end.
+    """
+    length, unit = rule.length, rule.unit
+    last = len(data) // unit - length
+    for b in range((offset - last) // BLOCK if offset > last else 0, offset // BLOCK + 1):
+        end = offset - b * BLOCK
+        p, q = max(0, end - BLOCK + 1), min(last, end)
+        if p <= q:
+            yield b, p, end - p, data[p * unit : (q + length) * unit]
+
+
+def block_key(h: int, block: int, part: bytes, before: int, rule: Passage) -> int:
+    """Signed 64-bit key of the anchor, the block and what its windows have in common."""
+    common = part[before * rule.unit : (before + rule.length - BLOCK + 1) * rule.unit]
+    x = xxhash.xxh3_64_intdigest(common, (h + block * ODD) % (1 << 64))
+    return x - (1 << 64) if x >> 63 else x
+
+
+def repeated_runs(texts: DataFrame, rule: Passage = BYTES, group: int = 256, across: bool = False) -> DataFrame:
+    """tkey, starts, ends: runs of window starts (in symbols) that occur at least twice among the distinct ``texts``.
 
     ``texts`` has tkey, data and scope (long): windows are compared within a
     scope.  ``across``: the two occurrences must be in different texts.
     """
+    length, _, _, unit = rule
     many = (F.min("tkey") != F.max("tkey")) if across else (F.count(F.lit(1)) > 1)
+    again = (F.min("owner") != F.max("owner")) if across else (F.count(F.lit(1)) > 1)
 
-    def grams(keys, data, scopes):
-        for i, a, first, last, h in anchor_runs(data, length, gram):
-            yield h ^ scopes[i], stretch_id(data[i][first : last + length], a - first), keys[i] if across else None
+    def grams(keys, texts, scopes):
+        data = symbols(texts, unit)
+        for i, a, first, last, h in anchor_runs(data, rule):
+            yield h ^ scopes[i], stretch_id(data[i][first * unit : (last + length) * unit], a - first), keys[i] if across else None
 
     anchors = _map(texts.select("tkey", "data", "scope"), grams, "h long, sid long, tkey binary")
     shared = materialise(
@@ -242,9 +357,9 @@ def repeated_runs(
         .select("h", "mixed", (F.col("n") > group).alias("hot"))
     )
 
-    def numbered(keys, data, scopes):
+    def numbered(keys, texts, scopes):
         at, last = 0, -1
-        for i, _, _, _, h in anchor_runs(data, length, gram):
+        for i, _, _, _, h in anchor_runs(symbols(texts, unit), rule):
             at, last = (at + 1, last) if i == last else (0, i)
             yield h ^ scopes[i], keys[i], at
 
@@ -255,11 +370,12 @@ def repeated_runs(
         .agg(F.collect_list(F.struct("i", "mixed", "hot")).alias("marks"))
     )
 
-    def stretches(keys, data, scopes, marks):
+    def stretches(keys, texts, scopes, marks):
+        data = symbols(texts, unit)
         status = [{m["i"]: (m["mixed"], m["hot"]) for m in row} for row in marks]
         at, last_text = 0, -1
         sure: dict[int, list[list[int]]] = {}
-        for i, a, first, last, h in anchor_runs(data, length, gram):
+        for i, a, first, last, h in anchor_runs(data, rule):
             at, last_text = (at + 1, last_text) if i == last_text else (0, i)
             mark = status[i].get(at)
             if mark is None:
@@ -271,7 +387,7 @@ def repeated_runs(
                 else:
                     runs.append([first, last])
                 continue
-            part = data[i][first : last + length]
+            part = data[i][first * unit : (last + length) * unit]
             yield keys[i], [first], None, h ^ scopes[i], stretch_id(part, a - first), a - first, part, mark[1]
         for i, runs in sure.items():
             yield keys[i], [s for s, _ in runs], [e for _, e in runs], None, None, None, None, None
@@ -293,6 +409,19 @@ def repeated_runs(
     )
     owner = F.col("owner") if across else F.lit(None).cast("binary")
     distinct = materialise(distinct.select("h", "sid", "many", owner.alias("owner"), "x.off", "x.piece", "hot"))
+
+    # stretches of crowded anchors as blocks of windows, which meet by their common part
+    def blocks(hs, sids, manys, owners, offs, data):
+        for h, sid, m, own, off, d in zip(hs, sids, manys, owners, offs, data):
+            for b, p, before, part in core_blocks(d, off, rule):
+                yield h, sid, p, block_key(h, b, part, before, rule), stretch_id(part, before), m, own, before, part
+
+    form = "h long, sid long, at long, bh long, bsid long, many boolean, owner binary, off int, piece binary"
+    crowd = materialise(_map(distinct.where("hot").select("h", "sid", "many", "owner", "off", "piece"), blocks, form))
+    parts = crowd.groupBy("bh", "bsid").agg((F.max("many") | again).alias("many"), F.min("owner").alias("owner"), F.first(F.struct("off", "piece")).alias("x"))
+    kinds = crowd.select("bh", "bsid").distinct().groupBy("bh").agg((F.count(F.lit(1)) > group).alias("hot"))
+    parts = materialise(parts.join(kinds, "bh").select(F.col("bh").alias("h"), F.col("bsid").alias("sid"), "many", "owner", "x.off", "x.piece", "hot"))
+
     kind = StructType.fromDDL("h long, sid long, rs array<long>, re array<long>")
     schema = arrow_schema(kind)
 
@@ -301,7 +430,7 @@ def repeated_runs(
         rows: list[tuple] = []
 
         def settle(part: list[tuple]) -> pa.RecordBatch:
-            found = repeated_windows([(data, off, many, own) for _, _, many, own, off, data in part], length, piece, [r[0] for r in part])
+            found = repeated_windows([(data, off, many, own) for _, _, many, own, off, data in part], rule, [r[0] for r in part])
             runs = [as_runs(x) for x in found]
             return rows_batch([(r[0], r[1], s, e) for r, (s, e) in zip(part, runs) if s], schema)
 
@@ -317,36 +446,34 @@ def repeated_runs(
         if rows:
             yield settle(rows)
 
-    cold = distinct.where(~F.col("hot")).select("h", "sid", "many", "owner", "off", "piece")
-    by_order = map_batches(cold.repartition("h").sortWithinPartitions("h", "sid"), sort_groups, kind)
+    columns = ["h", "sid", "many", "owner", "off", "piece"]
+    few = distinct.where(~F.col("hot")).select(columns), parts.where(~F.col("hot")).select(columns)
+    by_order, blocks_by_order = (map_batches(x.repartition("h").sortWithinPartitions("h", "sid"), sort_groups, kind) for x in few)
 
-    def windows(h, sid, manys, owners, data):
-        for a, b, m, own, d in zip(h, sid, manys, owners, data):
-            for p in range(len(d) - length + 1):
-                yield xxhash.xxh3_128_digest(d[p : p + length] + a.to_bytes(8, "little", signed=True)), a, b, p, m, own
+    def windows(hs, sids, manys, owners, data):
+        for h, sid, m, own, d in zip(hs, sids, manys, owners, data):
+            for p in range(len(d) // unit - length + 1):
+                yield xxhash.xxh3_128_digest(d[p * unit : (p + length) * unit] + h.to_bytes(8, "little", signed=True)), h, sid, p, m, own
 
-    hot = _map(
-        distinct.where("hot").select("h", "sid", "many", "owner", "piece"),
-        windows,
-        "w binary, h long, sid long, p long, many boolean, owner binary",
-    )
-    two = (F.min("owner") != F.max("owner")) if across else (F.count(F.lit(1)) > 1)
-    twice = hot.groupBy("w").agg((F.max("many") | two).alias("twice")).where("twice").select("w")
-    by_count = hot.join(twice, "w").groupBy("h", "sid").agg(F.collect_set("p").alias("rs")).select("h", "sid", "rs", F.col("rs").alias("re"))
-    placed = open_.select("tkey", "h", "sid", F.col("starts")[0].alias("first")).join(by_order.union(by_count), ["h", "sid"])
-    placed = placed.select(
-        "tkey",
-        F.transform("rs", lambda x: x + F.col("first")).alias("starts"),
-        F.transform("re", lambda x: x + F.col("first")).alias("ends"),
-    )
-    return sure.union(placed)
+    form = "w binary, h long, sid long, p long, many boolean, owner binary"
+    listed_windows = _map(parts.where("hot").select("h", "sid", "many", "owner", "piece"), windows, form)
+    twice = listed_windows.groupBy("w").agg((F.max("many") | again).alias("twice")).where("twice").select("w")
+    by_count = listed_windows.join(twice, "w").groupBy("h", "sid").agg(F.collect_set("p").alias("rs")).select("h", "sid", "rs", F.col("rs").alias("re"))
+    settled = blocks_by_order.union(by_count).withColumnsRenamed({"h": "bh", "sid": "bsid"})
 
+    def moved(by: Column) -> list[Column]:
+        return [F.transform(c, lambda x: x + by).alias(c) for c in ("rs", "re")]
 
-def cut(data: bytes, starts: list[int], ends: list[int], length: int) -> tuple[int, int, bytes]:
-    """(bytes removed, maximal removed runs, remaining bytes) for runs of repeated window starts."""
+    by_block = crowd.select("h", "sid", "at", "bh", "bsid").join(settled, ["bh", "bsid"]).select("h", "sid", *moved(F.col("at")))
+    found = by_order.union(by_block)
+    placed = open_.select("tkey", "h", "sid", F.col("starts")[0].alias("first")).join(found, ["h", "sid"])
+    return sure.union(placed.select("tkey", *moved(F.col("first"))).withColumnsRenamed({"rs": "starts", "re": "ends"}))
+
+
+def cut(data: bytes, starts: list[int], ends: list[int]) -> tuple[int, int, bytes]:
+    """(bytes removed, maximal removed runs, remaining bytes) for byte ranges in any order."""
     kept, at, removed, spans = [], 0, 0, 0
     for s, e in sorted(zip(starts, ends)):
-        e += length
         if s > at or not spans:
             kept.append(data[at:s])
             spans += 1
@@ -358,53 +485,76 @@ def cut(data: bytes, starts: list[int], ends: list[int], length: int) -> tuple[i
     return removed, spans, b"".join(kept)
 
 
-RESULT = "tkey binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+def covered(data: bytes, copied: bool | None, starts: list[int] | None, ends: list[int] | None, rule: Passage) -> tuple[list[int], list[int]]:
+    """Byte ranges that runs of repeated windows cover; all windows of a copied text are repeated."""
+    if rule.unit == 1:
+        if copied and len(data) >= rule.length:
+            return [0], [len(data)]
+        return starts or [], [e + rule.length for e in ends or []]
+    if not (copied or starts):
+        return [], []
+    first, behind = word_spans(data)
+    if copied and len(first) >= rule.length:
+        return [int(first[0])], [int(behind[-1])]
+    return first[starts or []].tolist(), behind[np.array(ends or [], int) + rule.length - 1].tolist()
+
 
+RESULT = "tkey binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, n_also long"
 
-def cut_texts(docs: DataFrame, text: str = "text", length: int = 400, group: int = 20_000, with_text: bool = False) -> DataFrame:
+
+def cut_texts(
+    docs: DataFrame, text: str = "text", rule: Passage = BYTES, group: int = 256, with_text: bool = False, also: Passage | None = None
+) -> DataFrame:
     """RESULT for each distinct text of ``docs``, written to the shared folder.
 
     ``kept`` (null unless ``with_text``) is the remaining text; a character of
-    which a part was removed is left out of it.
+    which a part was removed is left out of it.  ``n_also``: bytes that a second
+    kind of repeated passage covers (null without one), which stay.
     """
     spark = docs.sparkSession
     name = distinct_texts(docs, text)
-    copies = docs.select(text_key(utf8(text)).alias("tkey")).groupBy("tkey").agg((F.count(F.lit(1)) > 1).alias("copied"))
-    runs = repeated_runs(spark.table(name).withColumn("scope", F.lit(0).cast("long")), length, group)
-    lists = runs.groupBy("tkey").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")
-    )
-    sides = copies.where("copied").join(lists, "tkey", "full").select("tkey", "copied", "starts", "ends")
-
-    def remove(keys, data, copied, starts, ends):
-        for k, d, c, s, e in zip(keys, data, copied, starts, ends):
-            if c and len(d) >= length:
-                removed, spans, kept = len(d), 1, b""
-            elif s:
-                removed, spans, kept = cut(d, s, e, length)
-            else:
-                removed, spans, kept = 0, 0, d
-            yield k, len(d), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None
-
-    joined = spark.table(name).join(sides, "tkey", "left").select("tkey", "data", "copied", "starts", "ends")
-    result = materialise(_map(joined, remove, RESULT))
-    spark.sql(f"DROP TABLE {name}")
-    return result
-
-
-def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, group: int = 20_000) -> DataFrame:
-    """``key``, n_bytes, n_removed, n_spans, kept_sha256 for each row of ``docs``."""
-    found = cut_texts(docs, text, length, group).drop("kept")
+    try:
+        texts = spark.table(name).withColumn("scope", F.lit(0).cast("long"))
+        copies = docs.select(text_key(utf8(text)).alias("tkey")).groupBy("tkey").agg((F.count(F.lit(1)) > 1).alias("copied"))
+        sides = copies.where("copied")
+        for kind, s, e in ((rule, "starts", "ends"), (also, "starts2", "ends2")):
+            if kind is None:
+                sides = sides.withColumns({c: F.lit(None).cast("array<long>") for c in (s, e)})
+                continue
+            lists = repeated_runs(texts, kind, group).groupBy("tkey").agg(
+                F.flatten(F.collect_list("starts")).alias(s), F.flatten(F.collect_list("ends")).alias(e)
+            )
+            sides = sides.join(lists, "tkey", "full")
+
+        def remove(keys, data, copied, starts, ends, starts2, ends2):
+            for k, d, c, s, e, s2, e2 in zip(keys, data, copied, starts, ends, starts2, ends2):
+                removed, spans, kept = cut(d, *covered(d, c, s, e, rule))
+                more = cut(d, *covered(d, c, s2, e2, also))[0] if also else None
+                yield k, len(d), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None, more
+
+        joined = spark.table(name).join(sides, "tkey", "left")
+        return materialise(_map(joined.select("tkey", "data", "copied", "starts", "ends", "starts2", "ends2"), remove, RESULT))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def suffix_dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Passage = BYTES, group: int = 256, also: Passage | None = None
+) -> DataFrame:
+    """``key``, n_bytes, n_removed, n_spans, kept_sha256, n_also for each row of ``docs``."""
+    found = cut_texts(docs, text, rule, group, also=also).drop("kept")
     return docs.select(key, text_key(utf8(text)).alias("tkey")).join(found, "tkey").drop("tkey")
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", rule: Passage = BYTES) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; all other columns and rows stay (null text: empty)."""
-    found = cut_texts(docs, text, length, with_text=True).select("tkey", F.col("kept").alias("__kept__"))
+    found = cut_texts(docs, text, rule, with_text=True).select("tkey", F.col("kept").alias("__kept__"))
     rest = docs.withColumn("tkey", text_key(utf8(text))).drop(text)
     return rest.join(found, "tkey").select(*[F.col("__kept__").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    return suffix_dedup(read_table(spark, sf_dir, "documents"))
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and n_passage_bytes: its bytes in
+    passages of at least 50 words that also stand elsewhere, however few bytes they have."""
+    found = suffix_dedup(read_table(spark, sf_dir, "documents"), also=WORDS)
+    return found.withColumnRenamed("n_also", "n_passage_bytes")
