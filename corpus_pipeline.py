@@ -27,8 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: bytes covered by a 400-byte string that also starts elsewhere are cut out."""
-    cut = suffix_dedup.remove_repeats(docs)
+    """Operator 7: passages of at least 50 words that also stand elsewhere are cut out."""
+    cut = suffix_dedup.remove_repeats(docs, rule=suffix_dedup.WORDS)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
