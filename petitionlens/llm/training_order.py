@@ -1,7 +1,7 @@
 """Training-order materialisation of token sequences.
 
 Texts are cut into sequences of a fixed number of ids.  A sequence's number
-(its place in the scan of the input) goes through a keyed Feistel permutation
+(its place in the encoded table) goes through a keyed Feistel permutation
 of the smallest even-bit domain, walked on while the value is not below the
 number of sequences; the result is its global slot, a bijection that anyone
 with key and count can recompute.  Slots are dealt to shards of equal slot
@@ -13,15 +13,17 @@ A record is the key, the start and the number of real ids (little-endian int64,
 int64, int32), the ids (unsigned 16-bit, or 32-bit for vocabularies above
 65,536; unused ones 0) and a line feed.
 
-The input must be a table scan, whose partitions Spark reads alike every time:
-the texts are encoded once to count and once to write.  A difference between
-the two passes fails the job.  Defined results: null and empty texts have no
+Texts are encoded once, into a table of packed ids; its lengths give the count,
+its records travel to their shards without padding, and it goes when the shards
+are written.  Defined results: null and empty texts have no
 sequence; null keys are stored as the smallest int64 and read back as null;
 repeated rows get slots of their own; an empty table writes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -76,59 +78,85 @@ class Layout:
         self.shards = -(-n // shard_slots)
 
 
+def encode(docs: DataFrame, path: str, key: str, text: str, length: int, wide: bool, name: str) -> DataFrame:
+    """Write the table ``name``: part, first, key, n, ids for each document, encoded once.
+
+    ``first`` counts the sequences of ``n`` before it that the task ``part`` made.
+    """
+    kind = StructType.fromDDL("part int, first long, key long, n long, ids binary")
+    schema = arrow_schema(kind)
+    form = "<u4" if wide else "<u2"
+
+    def run(batches: Batches) -> Batches:
+        encoder = shared(ByteLevelIds, path)
+        at = 0
+        for b in batches:
+            rows, held = [], 0
+            for part, k, t in zip(*[c.to_pylist() for c in b.columns]):
+                ids = np.frombuffer(encoder.ids(t.decode("utf-8", "replace")), "<u4").astype(form).tobytes()
+                n = -(-len(ids) // (length * int(form[2])))
+                rows.append((part, at, k, n, ids))
+                at += n
+                held += len(ids)
+                if held > 4 << 20:
+                    yield rows_batch(rows, schema)
+                    rows, held = [], 0
+            yield rows_batch(rows, schema)
+
+    source = docs.select(F.spark_partition_id().alias("part"), F.col(f"`{key}`").cast("long").alias("key"), utf8(text).alias("data"))
+    map_batches(source, run, kind).write.format("parquet").option("compression", "zstd").saveAsTable(name)
+    return docs.sparkSession.table(name)
+
+
 def write_order(
     docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", length: int = 256, shard_slots: int = 1 << 15, seed: int = 20
 ) -> Layout:
     """Write all sequences of ``docs`` in training order to a new shared folder.
 
-    The driver sees one count for each partition of the scan.
+    Texts are encoded once, into a table that goes when the shards are
+    written.  The driver sees one count for each partition of the scan.
     """
     spark = docs.sparkSession
     wide = shared(ByteLevelIds, path).tokenizer.get_vocab_size() > 1 << 16
-    source = docs.select(F.col(key).cast("long").alias("key"), utf8(text).alias("data"), F.spark_partition_id().alias("part"))
-    kind = StructType.fromDDL("part int, n long")
-    schema = arrow_schema(kind)
-
-    def count(batches: Batches) -> Batches:
-        encoder = shared(ByteLevelIds, path)
-        n, part = 0, None
-        for b in batches:
-            for t, part in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                n += -(-encoder.count(t.decode("utf-8", "replace")) // length)
-        yield rows_batch([(part, n)] if part is not None else [], schema)
-
-    sizes = {r["part"]: r["n"] for r in map_batches(source, count, kind).collect()}
-    base, total = {}, 0
-    for p in sorted(sizes):
-        base[p] = total
-        total += sizes[p]
-    layout = Layout(shared_dir(spark), total, length, wide, shard_slots, seed)
-    if not total:
+    name = f"llm_ids_{uuid.uuid4().hex}"
+    try:
+        encoded = encode(docs, path, key, text, length, wide, name)
+        base, total = {}, 0
+        for part, n in sorted(tuple(r) for r in encoded.groupBy("part").agg(F.sum("n")).collect()):
+            base[part] = total
+            total += n
+        layout = Layout(shared_dir(spark), total, length, wide, shard_slots, seed)
+        if total:
+            write_shards(encoded, layout, base)
         return layout
-    known = spark.sparkContext.broadcast((base, sizes))
-    form = record_type(length, wide)
-    record_kind = StructType.fromDDL("slot long, record binary")
-    record_schema = arrow_schema(record_kind)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def write_shards(encoded: DataFrame, layout: Layout, base: dict[int, int]) -> None:
+    """One file for each run of slots; records travel without their padding."""
+    length, total, seed = layout.length, layout.n, layout.key
+    known = encoded.sparkSession.sparkContext.broadcast(base)
+    form = record_type(length, layout.wide)
+    head = form.fields["ids"][1]
+    size = form["ids"].base.itemsize
+    kind = StructType.fromDDL("slot long, record binary")
+    schema = arrow_schema(kind)
 
     def records(batches: Batches) -> Batches:
-        encoder = shared(ByteLevelIds, path)
-        base, sizes = known.value
-        at, part = 0, None
+        base = known.value
         for b in batches:
-            blocks, held = [], 0
-            for k, t, part in zip(*[c.to_pylist() for c in b.columns]):
-                ids = np.frombuffer(encoder.ids(t.decode("utf-8", "replace")), "<u4")
-                blocks.append(filled(NO_KEY if k is None else k, ids))
-                held += len(blocks[-1])
+            blocks, firsts, held = [], [], 0
+            for part, first, k, n, ids in zip(*[c.to_pylist() for c in b.columns]):
+                if n:
+                    blocks.append(filled(NO_KEY if k is None else k, np.frombuffer(ids, form["ids"].base)))
+                    firsts.append(np.arange(base[part] + first, base[part] + first + n))
+                    held += n
                 if held >= 8192:
-                    yield slotted(base[part] + at, np.concatenate(blocks))
-                    at += held
-                    blocks, held = [], 0
+                    yield slotted(np.concatenate(firsts), np.concatenate(blocks))
+                    blocks, firsts, held = [], [], 0
             if held:
-                yield slotted(base[part] + at, np.concatenate(blocks))
-                at += held
-        if part is not None and at != sizes[part]:
-            raise RuntimeError(f"partition {part} gave {at} sequences, {sizes[part]} when counted")
+                yield slotted(np.concatenate(firsts), np.concatenate(blocks))
 
     def filled(key: int, ids: np.ndarray) -> np.ndarray:
         """A document's records."""
@@ -136,21 +164,25 @@ def write_order(
         out = np.zeros(n, form)
         grid = np.zeros(n * length, form["ids"].base)
         grid[: len(ids)] = ids
-        out["key"], out["ids"], out["end"] = key, grid.reshape(n, length), 10
+        out["key"], out["ids"] = key, grid.reshape(n, length)
         out["start"] = np.arange(0, n * length, length)
         out["n"] = np.minimum(len(ids) - out["start"], length)
         return out
 
-    def slotted(first: int, out: np.ndarray) -> pa.RecordBatch:
-        slots = feistel_slots(np.arange(first, first + len(out)), total, seed)
-        return pa.RecordBatch.from_arrays([pa.array(slots), as_binary(out)], schema=record_schema)
-
-    rows = map_batches(source, records, record_kind)
-    shards = rows.repartitionById(layout.shards, F.floor(F.col("slot") / shard_slots).cast("int")).sortWithinPartitions("slot")
+    def slotted(places: np.ndarray, out: np.ndarray) -> pa.RecordBatch:
+        sizes = head + out["n"].astype(np.int64) * size
+        whole = out.view(np.uint8).reshape(len(out), form.itemsize)
+        real = whole[np.arange(form.itemsize) < sizes[:, None]]
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(real.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(feistel_slots(places, total, seed)), packed], schema=schema)
+
+    rows = map_batches(encoded.select("part", "first", "key", "n", "ids"), records, kind)
+    shard = F.floor(F.col("slot") / layout.shard_slots).cast("int")
+    shards = rows.repartitionById(layout.shards, shard).sortWithinPartitions("slot")
     # the text writer copies bytes as they are and ends each row with the record's last byte, a line feed
-    body = F.substring("record", 1, layout.stride - 1).cast("string")
+    body = F.rpad("record", layout.stride - 1, F.lit(b"\0")).cast("string")
     shards.select(body.alias("value")).write.option("lineSep", "\n").text(layout.path)
-    return layout
 
 
 def read_order(spark: SparkSession, layout: Layout, first_slot: int = 0) -> DataFrame:
