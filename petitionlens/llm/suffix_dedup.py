@@ -340,35 +340,17 @@ def repeated_runs(texts: DataFrame, rule: Passage = BYTES, group: int = 256, acr
     ``texts`` has tkey, data and scope (long): windows are compared within a
     scope.  ``across``: the two occurrences must be in different texts.
     """
+    spark = texts.sparkSession
     length, _, _, unit = rule
     many = (F.min("tkey") != F.max("tkey")) if across else (F.count(F.lit(1)) > 1)
     again = (F.min("owner") != F.max("owner")) if across else (F.count(F.lit(1)) > 1)
 
     def grams(keys, texts, scopes):
         data = symbols(texts, unit)
+        at, last_text = 0, -1
         for i, a, first, last, h in anchor_runs(data, rule):
-            yield h ^ scopes[i], stretch_id(data[i][first * unit : (last + length) * unit], a - first), keys[i] if across else None
-
-    anchors = _map(texts.select("tkey", "data", "scope"), grams, "h long, sid long, tkey binary")
-    shared = materialise(
-        anchors.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("n"), (F.min("sid") != F.max("sid")).alias("mixed"), many.alias("many"))
-        .where("many")
-        .select("h", "mixed", (F.col("n") > group).alias("hot"))
-    )
-
-    def numbered(keys, texts, scopes):
-        at, last = 0, -1
-        for i, _, _, _, h in anchor_runs(symbols(texts, unit), rule):
-            at, last = (at + 1, last) if i == last else (0, i)
-            yield h ^ scopes[i], keys[i], at
-
-    listed = (
-        _map(texts.select("tkey", "data", "scope"), numbered, "h long, tkey binary, i int")
-        .join(shared, "h")
-        .groupBy("tkey")
-        .agg(F.collect_list(F.struct("i", "mixed", "hot")).alias("marks"))
-    )
+            at, last_text = (at + 1, last_text) if i == last_text else (0, i)
+            yield h ^ scopes[i], stretch_id(data[i][first * unit : (last + length) * unit], a - first), keys[i], at
 
     def stretches(keys, texts, scopes, marks):
         data = symbols(texts, unit)
@@ -392,13 +374,28 @@ def repeated_runs(texts: DataFrame, rule: Passage = BYTES, group: int = 256, acr
         for i, runs in sure.items():
             yield keys[i], [s for s, _ in runs], [e for _, e in runs], None, None, None, None, None
 
-    marked = materialise(
-        _map(
-            texts.join(listed, "tkey").select("tkey", "data", "scope", "marks"),
-            stretches,
-            "tkey binary, starts array<long>, ends array<long>, h long, sid long, off int, piece binary, hot boolean",
+    name = f"llm_anchors_{uuid.uuid4().hex}"
+    try:
+        found = _map(texts.select("tkey", "data", "scope"), grams, "h long, sid long, tkey binary, i int")
+        found.write.format("parquet").saveAsTable(name)
+        anchors = spark.table(name)
+        shared = materialise(
+            anchors.groupBy("h")
+            .agg(F.count(F.lit(1)).alias("n"), (F.min("sid") != F.max("sid")).alias("mixed"), many.alias("many"))
+            .where("many")
+            .select("h", "mixed", (F.col("n") > group).alias("hot"))
         )
-    )
+        listed = anchors.select("h", "tkey", "i").join(shared, "h").groupBy("tkey")
+        listed = listed.agg(F.collect_list(F.struct("i", "mixed", "hot")).alias("marks"))
+        marked = materialise(
+            _map(
+                texts.join(listed, "tkey").select("tkey", "data", "scope", "marks"),
+                stretches,
+                "tkey binary, starts array<long>, ends array<long>, h long, sid long, off int, piece binary, hot boolean",
+            )
+        )
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     sure = marked.where(F.col("h").isNull()).select("tkey", "starts", "ends")
     open_ = marked.where(F.col("h").isNotNull())
     distinct = open_.groupBy("h", "sid").agg(

@@ -22,6 +22,8 @@ repeated rows get slots of their own; an empty table writes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +69,19 @@ def as_binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
 
 
+def slices(column: pa.Array, most: int = 4 << 20) -> Iterator[list[str]]:
+    """The texts of a binary column, in lists of about ``most`` bytes."""
+    held, size = [], 0
+    for t in column.to_pylist():
+        held.append(t.decode("utf-8", "replace"))
+        size += len(t)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Layout:
     """Where the slots of a written order stand."""
 
@@ -93,8 +108,9 @@ def write_order(
         encoder = shared(ByteLevelIds, path)
         n, part = 0, None
         for b in batches:
-            for t, part in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                n += -(-encoder.count(t.decode("utf-8", "replace")) // length)
+            for texts in slices(b.column(1)):
+                n += int((-(-encoder.counts(texts) // length)).sum())
+            part = b.column(2)[0].as_py() if len(b.column(2)) else part
         yield rows_batch([(part, n)] if part is not None else [], schema)
 
     sizes = {r["part"]: r["n"] for r in map_batches(source, count, kind).collect()}
@@ -116,8 +132,9 @@ def write_order(
         at, part = 0, None
         for b in batches:
             blocks, held = [], 0
-            for k, t, part in zip(*[c.to_pylist() for c in b.columns]):
-                ids = np.frombuffer(encoder.ids(t.decode("utf-8", "replace")), "<u4")
+            part = b.column(2)[0].as_py() if len(b.column(2)) else part
+            encoded = (ids for texts in slices(b.column(1)) for ids in encoder.arrays(texts))
+            for k, ids in zip(b.column(0).to_pylist(), encoded):
                 blocks.append(filled(NO_KEY if k is None else k, ids))
                 held += len(blocks[-1])
                 if held >= 8192:
