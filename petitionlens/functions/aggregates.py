@@ -12,9 +12,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Sums of values of this type have 30 digits: 10^11 rows of the largest long.
+# Weighted sums of values of this type have 38 digits.
 WIDE = "decimal(20,0)"
 
+# Limbs of an exact sum: a long is cut into two of so many bits and a signed rest.
+LIMB_BITS = 22
+DIGITS = "decimal(38,0)"
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -32,13 +36,20 @@ def count_of(value: str | Column, pred: Column | None = None) -> Column:
 
 
 def exact_mean(value: str | Column, pred: Column | None = None) -> Column:
-    """Null-skipping mean as exact ``SUM / COUNT`` over rows where ``pred`` holds.
+    """Null-skipping mean of a whole-number column as exact ``SUM / COUNT`` over rows where ``pred`` holds.
 
     ``avg`` accumulates in double and differs from the exact sum beyond
-    2**53, so the sum is exact; it is a 38-digit decimal, as the sum of two
-    large wages already leaves the range of a long.  An all-NULL group gives
+    2**53, and the sum of two large wages already leaves the range of a long.
+    So three long sums, of the value's low, middle and high bits, run as
+    primitives in generated code, exact for 2**41 rows a group, and are put
+    together as a 38-digit decimal once per group.  An all-NULL group gives
     NULL / 0 = NULL, which is not an error under ANSI mode.
     """
-    value = _col(value)
+    value = _col(value).cast("bigint")
     v = value if pred is None else F.when(pred, value)
-    return F.sum(v.cast(WIDE)).cast("double") / F.count(v)
+    mask = F.lit((1 << LIMB_BITS) - 1).cast("bigint")
+    low, middle = F.sum(v.bitwiseAND(mask)), F.sum(F.shiftright(v, LIMB_BITS).bitwiseAND(mask))
+    high = F.sum(F.shiftright(v, 2 * LIMB_BITS))
+    step = F.lit(1 << LIMB_BITS).cast("decimal(8,0)")
+    total = (high.cast("decimal(20,0)") * step + middle.cast("decimal(20,0)")).cast("decimal(29,0)") * step + low.cast("decimal(20,0)")
+    return total.cast(DIGITS).cast("double") / F.count(v)

@@ -18,6 +18,7 @@ from petitionlens.operators.grouped import Grouped
 from petitionlens.operators.identity import count_by_id_match, match_weights, with_match_weight
 from petitionlens.operators.modal import modal_by
 from petitionlens.operators.quality import duplicate_ids, row_count
+from petitionlens.operators.ranking import with_place
 from petitionlens.operators.rates import extreme_rate, rate_by, rate_by_spec, top_k_rates, top_k_rates_spec
 from petitionlens.operators.shape import PREVIEW_ROWS, ordered, preview, top_n
 from petitionlens.operators.wages import (
@@ -69,6 +70,7 @@ __all__ = [
     "wage_contrast_total",
     "wage_contrast_total_spec",
     "with_match_weight",
+    "with_place",
     "yearly_counts",
     "yearly_counts_spec",
     "yearly_means",

@@ -8,6 +8,8 @@ selected analysis groups over that table, one scan per group-by key.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 from collections.abc import Sequence
 
@@ -22,11 +24,25 @@ from petitionlens.plans.shared import run_catalogue_shared
 from petitionlens.schema import CLEAN, RAW, require
 from petitionlens.sources.files import (
     CORRUPT,
+    WRITE_MODES,
     path_exists,
     read_petitions,
     read_petitions_csv,
     read_table,
-    write_petitions,
+)
+from petitionlens.sources.snapshots import (
+    LOADS,
+    MANIFESTS,
+    ConcurrentLoad,
+    Folder,
+    Manifest,
+    commit,
+    manifest,
+    manifest_name,
+    read_snapshot,
+    stored_rows,
+    versions,
+    write_load,
 )
 
 log = logging.getLogger(__name__)
@@ -61,12 +77,37 @@ def read_raw(spark: SparkSession, source: str, *, fmt: str = "csv", bad_records:
     return require(table.select([_as_text(table, f.name, f.dataType) for f in RAW.fields]), RAW)
 
 
-def is_loaded(spark: SparkSession, target: str) -> bool:
-    """A finished load: the writer's ``_SUCCESS`` (or a stream's log) is there and the table has a row."""
+class UnmarkedTable(RuntimeError):
+    """A folder holds rows, but nothing says that their load was finished."""
+
+
+def plain_rows(spark: SparkSession, target: str) -> tuple[bool, bool]:
+    """Of a table without manifests: whether it has a row, and whether its writer (or a stream) marked it as finished."""
+    if not path_exists(spark, target):
+        return False, False
     base = target.rstrip("/")
-    if not any(path_exists(spark, f"{base}/{mark}") for mark in ("_SUCCESS", "_spark_metadata")):
-        return False
-    return not spark.read.schema(CLEAN).parquet(target).isEmpty()
+    marked = any(path_exists(spark, f"{base}/{mark}") for mark in ("_SUCCESS", "_spark_metadata"))
+    return not spark.read.schema(CLEAN).parquet(target).isEmpty(), marked
+
+
+def is_loaded(spark: SparkSession, target: str) -> bool:
+    """A finished load with a row: a committed version, or a plain table with its writer's mark."""
+    seen = manifest(spark, target)
+    return seen.rows > 0 if seen else plain_rows(spark, target) == (True, True)
+
+
+def set_apart(raw: DataFrame, source: str, target: str, quarantine: str) -> DataFrame:
+    """The rows that fit; the others are written as text below ``quarantine``, in a folder of this source and
+    target, which a retry of the load writes anew."""
+    bad = Observation("bad_records")
+    # a row is bad by the columns that are read, so this reads all of them, as the load does
+    nothing = F.concat_ws("", *[F.substring(F.col(f.name).cast("string"), 1, 0) for f in RAW.fields])
+    text = F.concat(F.col(CORRUPT), nothing)
+    rejected = raw.where(F.col(CORRUPT).isNotNull()).select(text.alias("value"))
+    apart = f"{quarantine.rstrip('/')}/load={hashlib.sha256(f'{source}\n{target}'.encode()).hexdigest()[:16]}"
+    rejected.observe(bad, F.count(F.lit(1)).alias("n")).write.mode("overwrite").text(apart)
+    log.warning("%s: %d rows quarantined in %s", source, bad.get["n"], apart)
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def ingest(
@@ -81,44 +122,97 @@ def ingest(
     quarantine: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """RAW source -> clean -> Parquet at ``target``; returns the stored table.
+    """RAW source -> clean -> a new version of the Parquet table ``target``; returns that version.
 
-    ``mode='ignore'`` leaves a loaded table alone (the load runs once); what a
-    failed load left behind, or an empty table, does not count as loaded and
-    is written anew.  ``'overwrite'`` forces a refresh.  After the write the
-    stored rows are counted against the rows written, and a difference raises.
-    Partitioning by ``year`` lets every year-filtered analysis read only its
-    years.
+    The rows go to a folder of their own, are counted there against the rows
+    written, and become visible when the manifest is committed
+    (:mod:`petitionlens.sources.snapshots`); a failed load changes nothing.
+
+    ``mode='ignore'`` leaves a table with rows alone (the load runs once).  A
+    plain Parquet folder counts as such a table if its writer's mark is there;
+    rows without one raise :class:`UnmarkedTable` and stay.  ``'overwrite'``
+    forces a refresh: readers of the old version go on.  ``'append'`` adds to
+    the table.  Of two loads that begin on the same version one commits first;
+    the other then returns that version (ignore), appends to it, or raises
+    ConcurrentLoad (overwrite, error).  Partitioning by ``year`` lets every
+    year-filtered analysis read only its years.
 
     With ``bad_records='quarantine'`` CSV rows that do not fit are written as
-    text to the folder ``quarantine`` (appended, with their number logged) and
-    the others are loaded; by default such a row fails the load.
+    text below the folder ``quarantine`` (with their number logged) and the
+    others are loaded; by default such a row fails the load.
     """
     if bad_records == "quarantine" and not quarantine:
         raise ValueError("name the folder for quarantined rows")
-    if mode == "ignore":
-        if is_loaded(spark, target):
-            return read_petitions(spark, target)
-        mode = "overwrite"
+    if mode not in WRITE_MODES:
+        raise ValueError(f"mode must be one of {WRITE_MODES}")
+    seen = manifest(spark, target)
+    filled, marked = (seen.rows > 0, True) if seen else plain_rows(spark, target)
+    if filled and mode == "ignore":
+        if not marked:
+            raise UnmarkedTable(f"{target} has rows but neither a manifest nor _SUCCESS; overwrite it, or mark it as finished")
+        return read_petitions(spark, target)
+    if filled and mode in ("error", "errorifexists"):
+        raise ValueError(f"{target} has rows already")
+    if path_exists(spark, f"{target.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{target} is written by a stream; batch writes to it would not be read")
+    if filled and seen is None and mode == "append":
+        raise ValueError(f"{target} is a plain folder; bring it under versions with migrate() first")
     raw = read_raw(spark, source, fmt=fmt, bad_records=bad_records, **options)
     if CORRUPT in raw.columns:
-        bad = Observation("bad_records")
-        # a row is bad by the columns that are read, so this reads all of them, as the load does
-        nothing = F.concat_ws("", *[F.substring(F.col(f.name).cast("string"), 1, 0) for f in RAW.fields])
-        text = F.concat(F.col(CORRUPT), nothing)
-        rejected = raw.where(F.col(CORRUPT).isNotNull()).select(text.alias("value"))
-        rejected.observe(bad, F.count(F.lit(1)).alias("n")).write.mode("append").text(quarantine)
-        log.warning("%s: %d rows quarantined in %s", source, bad.get["n"], quarantine)
-        raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        raw = set_apart(raw, source, target, quarantine)
     written = Observation("written")
-    before = spark.read.schema(CLEAN).parquet(target).count() if mode == "append" and path_exists(spark, target) else 0
-    clean = clean_petitions(raw).observe(written, F.count(F.lit(1)).alias("n"))
-    write_petitions(clean, target, mode, partition_by=tuple(partition_by))
-    stored = read_petitions(spark, target)
-    have, want = stored.count(), before + written.get["n"]
+    load = write_load(clean_petitions(raw).observe(written, F.count(F.lit(1)).alias("n")), target, partition_by)
+    have, want = stored_rows(spark, target, load), written.get["n"]
     if have != want:
-        raise RuntimeError(f"{target} holds {have} rows after a load that makes {want}")
-    return stored
+        raise RuntimeError(f"{target}/{load} holds {have} rows after a load that makes {want}")
+    while True:
+        before = list(seen.loads) if seen and mode == "append" else []
+        try:
+            return read_snapshot(spark, target, commit(spark, target, seen, [*before, (load, have)]).version)
+        except ConcurrentLoad:
+            if mode not in ("ignore", "append"):
+                raise
+            seen = manifest(spark, target)
+            if mode == "ignore" and seen.rows:
+                return read_petitions(spark, target)
+
+
+def migrate(spark: SparkSession, target: str, partition_by: Sequence[str] = ("year",)) -> tuple[DataFrame, dict[str, int]]:
+    """Bring a stored table of an older schema to CLEAN, as a new version; returns it and, by column, the
+    values that did not fit.
+
+    A missing column becomes NULL, another type is cast; a value that its new
+    type cannot hold becomes NULL and is counted (and logged).  Columns that
+    CLEAN does not know are left out.  The old files stay until they are
+    expired (versions) or deleted (a plain folder).
+    """
+    known = versions(spark, target)
+    after = Manifest(known[-1], ()) if known else None
+    base, paths = target, [target]
+    if known:
+        base = f"{target.rstrip('/')}/{LOADS}"
+        listed = json.loads(Folder(spark, f"{target.rstrip('/')}/{MANIFESTS}").read(manifest_name(known[-1])))
+        paths = [f"{target.rstrip('/')}/{x['path']}" for x in listed["loads"] if x["rows"]]
+    old = spark.read.option("basePath", base).parquet(*paths)
+    have = {f.name.lower(): f.dataType.simpleString() for f in old.schema.fields}
+    columns, unfit = [], []
+    for f in CLEAN.fields:
+        if f.name not in have:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        new = F.col(f.name).try_cast(f.dataType)
+        columns.append(new.alias(f.name))
+        if have[f.name] != f.dataType.simpleString():
+            unfit.append(F.count_if(F.col(f.name).isNotNull() & new.isNull()).alias(f.name))
+    told = Observation("migrated")
+    old = old.observe(told, F.count(F.lit(1)).alias("__rows__"), *unfit)
+    load = write_load(old.select(columns), target, partition_by)
+    counts = dict(told.get)
+    rows = counts.pop("__rows__")
+    if (stored := stored_rows(spark, target, load)) != rows:
+        raise RuntimeError(f"{target}/{load} holds {stored} rows of {rows}")
+    log.warning("%s: migrated %d rows, values that did not fit: %s", target, rows, counts)
+    return read_snapshot(spark, target, commit(spark, target, after, [(load, rows)]).version), counts
 
 
 def run_catalogue(

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petitionlens.operators.grouped import Grouped
+from petitionlens.plans.actions import act_concurrently
 from petitionlens.plans.catalogue import CATALOGUE
 from petitionlens.session import shared_dir
 
@@ -81,11 +82,12 @@ def run_shared(
     specs: dict[str, Grouped],
     *,
     checkpoint: bool = True,
+    concurrency: int = 4,
 ) -> SharedAnswers:
     """The answer of every spec, computed from one summary per distinct key.
 
     With ``checkpoint=True`` every summary, also one that serves a single
-    analysis, is computed now (one job per key) and stored as a Parquet table
+    analysis, is computed now (one job per key, ``concurrency`` at a time) and stored as a Parquet table
     in the shared folder; each answer reads only its own columns of it, and
     all answers show the data as of this call.  The tables stay until
     :func:`release`.  With ``checkpoint=False`` nothing runs yet, and each
@@ -93,11 +95,12 @@ def run_shared(
     """
     spark = df.sparkSession
     answers = SharedAnswers(spark, new_store(spark) if checkpoint and specs else None)
-    for number, (keys, (summary, names)) in enumerate(summaries(df, specs).items()):
-        if checkpoint:
-            table = f"{answers.store}.summary_{number}"
-            summary.write.format("parquet").saveAsTable(table)
-            summary = spark.table(table)
+    found = summaries(df, specs)
+    if checkpoint and found:
+        tables = {f"{answers.store}.summary_{number}": summary for number, (summary, _) in enumerate(found.values())}
+        act_concurrently(tables, lambda table, summary: summary.write.format("parquet").saveAsTable(table), concurrency=concurrency)
+        found = {keys: (spark.table(t), names) for t, (keys, (_, names)) in zip(tables, found.items())}
+    for keys, (summary, names) in found.items():
         for i, name in enumerate(names):
             spec = specs[name]
             view = summary.where(F.col(f"q{i}__rows") > 0) if keys else summary

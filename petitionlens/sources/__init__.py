@@ -8,6 +8,7 @@ from petitionlens.sources.files import (
     write_petitions,
 )
 from petitionlens.sources.fixtures import petitions, raw_petitions
+from petitionlens.sources.table_source import register_table_source, table_rows
 
 __all__ = [
     "petitions",
@@ -15,6 +16,8 @@ __all__ = [
     "read_petitions",
     "read_petitions_csv",
     "read_table",
+    "register_table_source",
+    "table_rows",
     "write_answers",
     "write_petitions",
 ]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from petitionlens.schema import CLEAN, RAW, SchemaMismatch, require
+from petitionlens.sources.snapshots import read_snapshot, versions
 
 BAD_RECORDS = ("fail", "quarantine")
 WRITE_MODES = ("error", "errorifexists", "ignore", "overwrite", "append")
@@ -76,8 +77,10 @@ def read_petitions(spark: SparkSession, path: str) -> DataFrame:
     order; otherwise :class:`SchemaMismatch` is raised.  If the table was
     written partitioned by ``year`` the partition column is recovered from
     the directory names (its type there is a guess and not compared) and
-    moved back into place.
+    moved back into place.  Of a table with versions the newest is read.
     """
+    if versions(spark, path):
+        return read_snapshot(spark, path)
     stored = spark.read.parquet(path).schema
     have = {f.name.lower(): f.dataType.simpleString() for f in stored.fields}
     want = {f.name: f.dataType.simpleString() for f in CLEAN.fields}
