@@ -7,8 +7,6 @@ import os
 import re
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
 #: Characters whose classes (letter, digit, white space) are the same in every library and Unicode version.
 OTHER = re.compile(r"[^\t-\r -~\xa0-\u024f]")
@@ -79,8 +77,6 @@ class ByteLevelIds:
         self.ranks = rank_encoder(self.tokenizer)
         self.sizes: dict[str, int] = {}
         self.older: dict[str, int] = {}
-        self.pieces: dict[str, np.ndarray] = {}
-        self.older_pieces: dict[str, np.ndarray] = {}
 
     def count(self, text: str) -> int:
         """The number of ids of ``text``.
@@ -114,64 +110,6 @@ class ByteLevelIds:
         return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
-    def plain(self, text: str) -> bool:
-        """Whether ``text`` can be cut at its spaces (see ``count``)."""
-        return not (self.ranks is None or OTHER.search(text) or ADJOINING.search(text) or any(s in text for s in self.special))
-
-    def _stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """For plain texts cut at their spaces: the entry of each stretch, the first
-        stretch's place of each text (one more at the end), and the ids of each entry."""
-        split = pc.split_pattern(pa.array(texts, pa.string()), pattern=" ")
-        starts = split.offsets.to_numpy()
-        words = split.flatten().dictionary_encode()
-        index = words.indices.to_numpy(zero_copy_only=False).copy()
-        encode, known, older = self.ranks.encode_to_numpy, self.pieces, self.older_pieces
-        table = []
-        for w in words.dictionary.to_pylist():
-            ids = known.get(w)
-            if ids is None:
-                ids = older.get(w)
-                known[w] = ids = encode(" " + w, disallowed_special=()) if ids is None else ids
-            table.append(ids)
-        if len(known) > CACHE:
-            self.older_pieces, self.pieces = known, {}
-        # a text's first stretch has no space before it
-        index[starts[:-1]] = len(table) + np.arange(len(texts))
-        table += [encode(t[: t.find(" ")] if " " in t else t, disallowed_special=()) for t in texts]
-        return index, starts, table
-
-    def counts(self, texts: list[str]) -> np.ndarray:
-        """The number of ids of each text."""
-        out = np.zeros(len(texts), np.int64)
-        plain = [i for i, t in enumerate(texts) if self.plain(t)]
-        for i in set(range(len(texts))).difference(plain):
-            out[i] = len(self.ids(texts[i])) // 4
-        if plain:
-            index, starts, table = self._stretches([texts[i] for i in plain])
-            sizes = np.array([len(x) for x in table], np.int64)[index]
-            out[plain] = np.add.reduceat(sizes, starts[:-1])
-        return out
-
-    def arrays(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.plain(t)]
-        for i in set(range(len(texts))).difference(plain):
-            out[i] = np.frombuffer(self.ids(texts[i]), "<u4")
-        if plain:
-            index, starts, table = self._stretches([texts[i] for i in plain])
-            sizes = np.array([len(x) for x in table], np.int64)
-            entries = np.concatenate(table) if table else np.empty(0, np.uint32)
-            first = np.cumsum(sizes) - sizes
-            own = sizes[index]
-            ends = np.cumsum(own)
-            flat = entries[np.repeat(first[index] - (ends - own), own) + np.arange(ends[-1])]
-            cuts = np.concatenate([[0], ends])[starts]
-            for i, a, b in zip(plain, cuts, cuts[1:]):
-                out[i] = flat[a:b]
-        return out
-
-
 _LOADED: dict[tuple[type, str], object] = {}
 
 

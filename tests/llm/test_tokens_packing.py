@@ -167,15 +167,3 @@ def test_sequences_of_a_shard_stand_at_their_bytes(spark, tmp_path):
         raw = files[f"{slot // 512:05d}"][slot % 512 * layout.stride :][: layout.stride]
         record = np.frombuffer(raw, form)[0]
         assert record["key"] == rows[slot].key and zlib.crc32(record["ids"][: record["n"]].tobytes()) == zlib.crc32(rows[slot].ids)
-
-
-def test_batches_of_texts_encode_as_the_library_does(docs):
-    from petitionlens.llm.tokens import ByteLevelIds
-
-    encoder = ByteLevelIds(BYTES)
-    texts = [t or "" for _, t in texts_of(docs)] + [" lead", "trail ", "a  b", "a\n b", "x\ny z", " ", "it's we'll"]
-    for _ in range(2):  # the second time from the cache
-        want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-        assert [x.tolist() for x in encoder.arrays(texts)] == want
-        assert encoder.counts(texts).tolist() == [len(x) for x in want]
-    assert encoder.arrays([]) == [] and encoder.counts([]).tolist() == []
