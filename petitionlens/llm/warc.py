@@ -30,6 +30,8 @@ from pyspark.sql.types import StructType
 from .common import Batches, arrow_schema, map_batches, materialise, read_table, rows_batch, shared_dir, utf8
 
 MAGIC = "WARC/1.1\r\n"
+#: Fixed value: the standard's name for revisits of an identical payload.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -70,8 +72,11 @@ def _safe_url(url: Column) -> Column:
     return url
 
 
-def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", records: int = 50_000) -> str:
-    """Write one WARC record per row to a new shared folder, at most ``records`` to a file; returns its path."""
+def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", records: int = 50_000, date: str = "2024-01-01T00:00:00Z") -> str:
+    """Write one WARC record per row to a new shared folder, at most ``records`` to a file; returns its path.
+
+    ``date`` is the capture time that all records of a write carry.
+    """
     path = shared_dir(pages.sparkSession)
     rows = with_roles(pages.select(F.col(key).alias("id"), F.col(url).alias("url"), utf8(html).alias("payload")), "id", "payload")
     revisit = F.col("record_type") == "revisit"
@@ -80,6 +85,8 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", htm
         F.lit(MAGIC),
         _header("WARC-Type", F.col("record_type")),
         _header("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("none")), F.lit(">"))),
+        _header("WARC-Date", F.lit(date)),
+        _header("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         _header("WARC-Target-URI", _safe_url(F.col("url"))),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         _header("X-Page-Id", F.col("id")),

@@ -132,3 +132,46 @@ def test_omitted_end_tags_are_implied():
     assert text(b"<table><tr><td class=promo>x<td>one<tr class=ad><td>y<tr><td>two<tbody class=ad><tr><td>z<tbody><tr><td>three</table>") == "one two three"
     assert text(b"<p class=ad>x<table><tr><td>one</table>") == "one"
     assert text(b"<div class=ad><p>x<p>y</div>one") == "one"  # a paragraph's end leaves what holds it apart
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content has-sidebar"><article><p>the story</p></article></div><div class="sidebar">links</div>',
+        "<form><main><p>the story</p></main><button>go</button></form>",
+        '<nav>menu</nav><main><div class="post-header-wrap"><p>the story</p></div></main>',
+    ],
+)
+def test_wrappers_named_after_other_parts_do_not_hide_the_article(spark, page):
+    rows = spark.createDataFrame([(1, "http://a/1", page)], "page_id long, url string, html string")
+    assert [r.text for r in H.main_text(rows).collect()] == ["the story"]
+
+
+def test_adverts_and_related_articles_stay_apart(spark):
+    page = '<article>real</article><div class="related"><article>other</article></div><form><article>sign up</article></form>'
+    rows = spark.createDataFrame([(1, "http://a/1", page)], "page_id long, url string, html string")
+    assert [r.text for r in H.main_text(rows).collect()] == ["real"]
+
+
+def test_archives_follow_the_standards_grammar(spark):
+    """Records parsed by the standard's grammar, with the fields that it makes mandatory."""
+    import re
+
+    rows = [(1, "http://a/", "same é"), (2, "http://b/", "same é"), (3, None, ""), (4, "http://c/", "WARC/1.1\r\nContent-Length: 3")]
+    path = W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), date="2025-05-06T07:08:09Z")
+    seen = {}
+    for (content,) in spark.read.format("binaryFile").load(path).select("content").collect():
+        data, at = bytes(content), 0
+        while at < len(data):
+            head = re.compile(rb"WARC/1\.[01]\r\n((?:[!-9;-~]+:[^\r\n]*\r\n)+)\r\n").match(data, at)
+            fields = dict(line.split(b": ", 1) for line in head[1].split(b"\r\n")[:-1])
+            end = head.end() + int(fields[b"Content-Length"])
+            assert data[end : end + 4] == b"\r\n\r\n"
+            assert {b"WARC-Type", b"WARC-Record-ID", b"WARC-Date"} <= fields.keys() and fields[b"WARC-Date"] == b"2025-05-06T07:08:09Z"
+            assert (b"WARC-Profile" in fields) == (fields[b"WARC-Type"] == b"revisit")
+            seen[fields[b"WARC-Record-ID"]] = (fields[b"WARC-Type"], data[head.end() : end])
+            at = end + 4
+    assert seen == {
+        b"<urn:page:1>": (b"revisit", b""), b"<urn:page:2>": (b"response", "same é".encode()),
+        b"<urn:page:3>": (b"response", b""), b"<urn:page:4>": (b"response", b"WARC/1.1\r\nContent-Length: 3"),
+    }
