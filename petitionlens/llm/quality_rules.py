@@ -1,17 +1,27 @@
 """Risk-controlled quality rules.
 
-Each rule compares one ratio of a document with a cutoff.  Cutoffs come from a
-labelled holdout: within a stratum the candidate cutoffs of a rule are tested
-from lenient to strict, and a cutoff is certified only while the exact binomial
-test rejects "more than ``max_false_rejection`` of good documents are lost".
-The level is split over strata and rules (Bonferroni); along the fixed order
-of one rule's cutoffs no further correction is needed, as testing stops at the
-first failure.
+Each rule compares one ratio of a document with a cutoff; a document goes if
+any rule rejects it.  A labelled holdout chooses the cutoffs of a stratum in two
+steps.  One fifth of its good documents (by a hash of the key) and its bad ones
+choose a nested sequence of rule sets: each set makes one rule stricter, the one
+that catches the most further bad documents for the good ones it loses.  The
+other good documents certify the sequence from lenient to strict: a set
+passes while the exact binomial test rejects "more than
+``max_false_rejection`` of good documents are lost to the whole set", and the
+first failure ends it.  The sequence does not depend on the documents that
+certify it, so its sets need no correction among themselves; the level is split
+over the strata (Bonferroni).
+
+Strata with too few good documents for a certificate of their own share one:
+their documents choose and certify one sequence together, and its guarantee
+holds for them taken together, not for each.
 
 Defined results: null or empty text has no words and fails the base rules;
-documents of a null stratum form their own stratum; a stratum with too few
-labels to certify anything gets no rules beyond the base; repeated rows are
-each judged; a table without labels keeps whatever passes the base rules.
+documents of a null stratum form their own stratum; a stratum without good
+labels, or where nothing can be certified, has the base rules alone; very long
+texts are measured whole; repeated rows are each judged (and count as often in
+the holdout); an empty table gives an empty result; a table without labels
+keeps whatever passes the base rules.
 """
 
 from __future__ import annotations
@@ -20,10 +30,11 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table, utf8, with_columns
+from .common import materialise, read_table, ship_package, utf8, with_columns
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -86,15 +97,26 @@ def _ratio(a: str, b: str) -> Column:
     return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
 
 
-def rules() -> dict[str, tuple[Column, list[float]]]:
-    """Each rule's ratio (bad when above its cutoff) and its cutoffs from lenient to strict."""
-    ratios = [0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02]
+RATIOS = [0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02]
+
+#: Each rule's cutoffs from lenient to strict.
+CUTOFFS = {
+    "symbols": RATIOS,
+    "dup_lines": [0.9, 0.8, *RATIOS[:9]],
+    "repeat_words": [0.45, 0.4, 0.35, 0.3, 0.25, 0.2],
+    "long_words": [40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0],
+    "short_words": [1.0, 0.8, 0.6, 0.5, 0.45, 0.4, 0.35, 0.32],
+}
+
+
+def rules() -> dict[str, Column]:
+    """Each rule's ratio: bad when above its cutoff."""
     return {
-        "symbols": (_ratio("n_symbols", "word_chars"), ratios),
-        "dup_lines": (_ratio("n_dup_lines", "n_lines"), [0.9, 0.8, *ratios[:9]]),
-        "repeat_words": (_ratio("n_repeat_words", "n_words"), [0.45, 0.4, 0.35, 0.3, 0.25, 0.2]),
-        "long_words": (_ratio("word_chars", "n_words"), [40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0]),
-        "short_words": (_ratio("n_words", "word_chars"), [1.0, 0.8, 0.6, 0.5, 0.45, 0.4, 0.35, 0.32]),
+        "symbols": _ratio("n_symbols", "word_chars"),
+        "dup_lines": _ratio("n_dup_lines", "n_lines"),
+        "repeat_words": _ratio("n_repeat_words", "n_words"),
+        "long_words": _ratio("word_chars", "n_words"),
+        "short_words": _ratio("n_words", "word_chars"),
     }
 
 
@@ -127,70 +149,139 @@ def _binomial_term(k: int, n: int, p: float) -> float:
     )
 
 
-def certified_cutoff(lost: list[int], n: int, cutoffs: list[float], risk: float, level: float) -> float | None:
-    """The strictest cutoff of the leading run whose exact test passes at ``level``.
+def least_good(level: float, risk: float) -> int:
+    """So many good documents, none lost, are certified at ``level``."""
+    return math.ceil(math.log(level) / math.log1p(-risk))
+
 
-    ``lost[i]`` of ``n`` good documents are above ``cutoffs[i]``.  The test
-    passes if the Clopper-Pearson upper bound of the loss is at most ``risk``,
-    that is P(Bin(n, risk) <= lost) <= level.
+def certified_length(lost: list[int], n: int, risk: float, level: float) -> int:
+    """How many leading sets pass, where set i loses ``lost[i]`` of ``n`` good documents.
+
+    A set passes if the Clopper-Pearson upper bound of its loss is at most
+    ``risk``, that is P(Bin(n, risk) <= lost) <= level.
     """
-    best = None
-    for cut, k in zip(cutoffs, lost):
+    for i, k in enumerate(lost):
         if binomial_cdf(k, n, risk) > level:
-            break
-        best = cut
-    return best
+            return i
+    return len(lost)
+
+
+def nested_sets(passed: np.ndarray, good: np.ndarray, bad: np.ndarray, cutoffs: list[int], risk: float) -> list[tuple[int, ...]]:
+    """Rule sets from lenient to strict, each a number of cutoffs in force for every rule (0: rule unused).
+
+    Row i of ``passed`` says how many cutoffs of each rule its ``good[i]`` good
+    and ``bad[i]`` bad documents are above.  A set with c cutoffs of a rule in
+    force rejects the documents above c or more of them.  The sequence ends when
+    no bad document is left to catch, or when it loses four times ``risk``.
+    """
+    now = [0] * len(cutoffs)
+    left = np.ones(len(passed), bool)
+    out: list[tuple[int, ...]] = []
+    total = int(good.sum())
+    while True:
+        best = None
+        for rule, n in enumerate(cutoffs):
+            for c in range(now[rule] + 1, n + 1):
+                # a document above the c-th most lenient cutoff is above all n - c + 1 that are as strict or stricter
+                hit = left & (passed[:, rule] >= n - c + 1)
+                caught, lost = int(bad[hit].sum()), int(good[hit].sum())
+                rank = (caught / (lost + 0.5), -lost, -rule, -c)
+                if caught and (best is None or rank > best[0]):
+                    best = rank, rule, c, hit
+        if best is None:
+            return out
+        _, rule, c, hit = best
+        now[rule] = c
+        left &= ~hit
+        if good[~left].sum() > 4 * risk * total + 1:
+            return out
+        out.append(tuple(now))
+
+
+def certify(rows: pd.DataFrame, risk: float, level: float) -> list[float | None]:
+    """Each rule's certified cutoff from a stratum's counts: passed_<rule>, chooses, certifies, bad."""
+    cutoffs = [len(cuts) for cuts in CUTOFFS.values()]
+    passed = rows[[f"passed_{name}" for name in CUTOFFS]].to_numpy()
+    sets = nested_sets(passed, rows["chooses"].to_numpy(), rows["bad"].to_numpy(), cutoffs, risk)
+    certifies = rows["certifies"].to_numpy()
+    lost = [int(certifies[(passed >= np.subtract(cutoffs, s) + 1).any(axis=1)].sum()) for s in sets]
+    n = certified_length(lost, int(certifies.sum()), risk, level)
+    if not n:
+        return [None] * len(cutoffs)
+    return [cuts[c - 1] if c else None for c, cuts in zip(sets[n - 1], CUTOFFS.values())]
+
+
+CHOOSES = 5  # one document in so many chooses the sequence, the others certify it
 
 
 def thresholds(
     features: DataFrame,
-    good: DataFrame,
+    labels: DataFrame,
     stratum: str = "lang",
     key: str = "doc_id",
+    quality: str = "quality",
     max_false_rejection: float = 0.02,
     level: float = 0.05,
 ) -> DataFrame:
-    """One row per stratum that can be certified: its name and one nullable cutoff for each rule.
+    """One row for each stratum with a good label: stratum, own (its certificate is its own) and a nullable cutoff for each rule.
 
-    ``good`` holds the keys of documents labelled good.  The risk is split
-    evenly over the rules, so all rules together lose at most
-    ``max_false_rejection`` of a stratum's good documents.  Strata whose good
-    documents are too few for any certificate are left out before anything
-    reaches the driver, so it sees at most (good documents / minimum) rows.
+    A stratum's documents are counted by the cutoffs they are above, so what
+    meets in a task is bounded by the grid of cutoffs (some 100,000 rows)
+    whatever the holdout's size.  The driver sees the number of good documents
+    of strata that could hold a certificate of their own, nothing else.
     """
-    spark = features.sparkSession
-    table = rules()
-    risk = max_false_rejection / len(table)
-    counts = [
-        F.sum((value > cut).cast("long")).alias(f"{name}_{i}")
-        for name, (value, cuts) in table.items()
-        for i, cut in enumerate(cuts)
-    ]
-    keys = good.select(F.col(key).alias("__key__")).distinct()
-    held = features.where(~base_failed()).join(keys, F.col(key) == F.col("__key__"), "left_semi")
-    least = math.ceil(math.log(level / len(table)) / math.log1p(-risk))  # even one stratum needs so many
-    stats = held.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *counts)
-    rows = stats.where(F.col("n") >= least).collect()
-    share = level / (len(table) * max(1, len(rows)))
-    out = [
-        (r["stratum"], *[
-            certified_cutoff([r[f"{name}_{i}"] for i in range(len(cuts))], r["n"], cuts, risk, share)
-            for name, (_, cuts) in table.items()
-        ])
-        for r in rows
-    ]
-    kind = features.schema[stratum].dataType.simpleString()
-    return spark.createDataFrame(out, f"stratum {kind}, " + ", ".join(f"cut_{name} double" for name in table))
+    risk, names = max_false_rejection, list(CUTOFFS)
+    above = [sum(((value > cut).cast("int") for cut in CUTOFFS[name]), F.lit(0)).alias(f"passed_{name}") for name, value in rules().items()]
+    marks = labels.where(F.col(key).isNotNull() & F.col(quality).isin(0, 1)).groupBy(F.col(key).alias("__key__")).agg(
+        F.min(quality).alias("__good__")  # a key with both labels counts as bad
+    )
+    held = features.where(~base_failed()).join(marks, F.col(key) == F.col("__key__"))
+    good, first = F.col("__good__") == 1, F.pmod(F.xxhash64(F.col("__key__").cast("string")), F.lit(CHOOSES)) == 0
+    counted = held.groupBy(F.col(stratum).alias("stratum"), *above).agg(
+        F.count_if(good & first).alias("chooses"), F.count_if(good & ~first).alias("certifies"), F.count_if(~good).alias("bad")
+    )
+    counted = materialise(counted)
+    sizes = counted.groupBy("stratum").agg(F.sum("certifies").alias("n"), F.sum(F.col("chooses") + F.col("certifies")).alias("good"))
+    sizes = materialise(sizes.where("good > 0").select("stratum", "n"))
+    most = sorted((r["n"] for r in sizes.where(F.col("n") >= least_good(level, risk)).select("n").collect()), reverse=True)
+    alone = 0  # strata with a certificate of their own, beside the shared one
+    while alone < len(most) and most[alone] >= least_good(level / (alone + 2), risk):
+        alone += 1
+    while alone and alone < len(most) and most[alone] == most[alone - 1]:  # equal strata are treated alike
+        alone -= 1
+    own = F.col("n") >= (most[alone - 1] if alone else (1 << 62))
+    share = level / (alone + 1)
+    strata = sizes.select(F.col("stratum"), own.alias("own"))
+    spread = counted.join(strata.withColumnRenamed("stratum", "__s__"), F.col("stratum").eqNullSafe(F.col("__s__")))
+    grid = [f"passed_{name}" for name in names]
+    group = F.when(F.col("own"), F.struct("stratum")).alias("group")  # null: the shared certificate
+    merged = spread.groupBy(group, *grid).agg(*[F.sum(c).alias(c) for c in ("chooses", "certifies", "bad")])
+    ship_package(features.sparkSession)
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        cuts = certify(rows, risk, share)
+        return pd.DataFrame({"id": rows["id"].iloc[:1].to_numpy()} | {f"cut_{n}": np.array([c], float) for n, c in zip(names, cuts)})
+
+    # strata are told apart by their JSON form, as a group's key may be null
+    marked = merged.withColumn("id", F.coalesce(F.to_json("group", {"ignoreNullFields": "false"}), F.lit("")))
+    found = marked.drop("group").groupBy("id").applyInPandas(one, "id string, " + ", ".join(f"cut_{n} double" for n in names))
+    own_id = F.to_json(F.struct("stratum"), {"ignoreNullFields": "false"})
+    named = strata.withColumn("id", F.when(F.col("own"), own_id).otherwise(F.lit("")))
+    cuts = [F.when(~F.isnan(f"cut_{n}"), F.col(f"cut_{n}")).alias(f"cut_{n}") for n in names]
+    return materialise(named.join(found, "id").select("stratum", "own", *cuts))
 
 
 def judge(features: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """Append base_failed and kept."""
-    cut = cutoffs.withColumnRenamed("stratum", "__stratum__")
-    above = [F.coalesce(value > F.col(f"cut_{name}"), F.lit(False)) for name, (value, _) in rules().items()]
+    """Append base_failed and kept.
+
+    Spark broadcasts the stored cutoffs if their size allows it.
+    """
+    cut = cutoffs.drop("own").withColumnRenamed("stratum", "__stratum__")
+    above = [F.coalesce(value > F.col(f"cut_{name}"), F.lit(False)) for name, value in rules().items()]
     rejected = above[0]
     for x in above[1:]:
         rejected = rejected | x
-    joined = features.join(F.broadcast(cut), F.col(stratum).eqNullSafe(F.col("__stratum__")), "left")
+    joined = features.join(cut, F.col(stratum).eqNullSafe(F.col("__stratum__")), "left")
     return (
         joined.withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & ~rejected)
@@ -213,8 +304,8 @@ def quality_rules(
     thresholds and the verdicts.
     """
     features = materialise(with_features(docs, text, keep=[key, stratum]))
-    good = labels.where(F.col("quality") == 1)
-    return judge(features, thresholds(features, good, stratum, key, max_false_rejection, level), stratum)
+    cutoffs = thresholds(features, labels, stratum, key, max_false_rejection=max_false_rejection, level=level)
+    return judge(features, cutoffs, stratum)
 
 
 def filter_documents(
@@ -224,7 +315,7 @@ def filter_documents(
 
     Texts are read twice, for the thresholds and for the verdicts; they are not shuffled.
     """
-    cutoffs = thresholds(materialise(with_features(docs, text, keep=[key, stratum])), labels.where(F.col("quality") == 1), stratum, key)
+    cutoffs = thresholds(materialise(with_features(docs, text, keep=[key, stratum])), labels, stratum, key)
     own = [f"__{i}__" for i in range(len(docs.columns))]  # apart from the feature names
     safe = docs.toDF(*own)
     at = {c: n for c, n in zip(docs.columns, own)}
