@@ -15,7 +15,9 @@ int64, int32), the ids (unsigned 16-bit, or 32-bit for vocabularies above
 
 Texts are encoded once, into a table of packed ids; its lengths give the count,
 its records travel to their shards without padding, and it goes when the shards
-are written.  Defined results: null and empty texts have no
+are written.  The shards are written in four equal waves, each from its own read
+of the table, so that only a quarter of the records are in shuffle files at a
+time (Spark removes those at the end of each wave).  Defined results: null and empty texts have no
 sequence; null keys are stored as the smallest int64 and read back as null;
 repeated rows get slots of their own; an empty table writes nothing.
 """
@@ -35,6 +37,10 @@ from .tokens import ByteLevelIds, shared
 
 NO_KEY = -(1 << 63)
 ROUNDS = 6
+WAVES = 4
+
+#: Whether Spark removes an execution's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def feistel_slots(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -134,7 +140,25 @@ def write_order(
 
 
 def write_shards(encoded: DataFrame, layout: Layout, base: dict[int, int]) -> None:
-    """One file for each run of slots; records travel without their padding."""
+    """One file for each run of slots, wave after wave."""
+    spark = encoded.sparkSession
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        edges = [layout.shards * k // WAVES * layout.shard_slots for k in range(WAVES + 1)]
+        for low, high in zip(edges, edges[1:]):
+            if low < high:
+                write_wave(encoded, layout, base, low, high)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def write_wave(encoded: DataFrame, layout: Layout, base: dict[int, int], low: int, high: int) -> None:
+    """The shards of the slots from ``low`` to before ``high``; records travel without their padding.
+
+    A shard's number is its partition's, so that files are named alike in every
+    wave; partitions of other waves are empty and write nothing.
+    """
     length, total, seed = layout.length, layout.n, layout.key
     known = encoded.sparkSession.sparkContext.broadcast(base)
     form = record_type(length, layout.wide)
@@ -146,17 +170,26 @@ def write_shards(encoded: DataFrame, layout: Layout, base: dict[int, int]) -> No
     def records(batches: Batches) -> Batches:
         base = known.value
         for b in batches:
-            blocks, firsts, held = [], [], 0
-            for part, first, k, n, ids in zip(*[c.to_pylist() for c in b.columns]):
-                if n:
-                    blocks.append(filled(NO_KEY if k is None else k, np.frombuffer(ids, form["ids"].base)))
-                    firsts.append(np.arange(base[part] + first, base[part] + first + n))
-                    held += n
+            blocks, places, held = [], [], 0
+            docs = [x for x in zip(*[c.to_pylist() for c in b.columns]) if x[3]]
+            if not docs:
+                continue
+            numbers = np.concatenate([np.arange(base[part] + first, base[part] + first + n) for part, first, _, n, _ in docs])
+            slots = feistel_slots(numbers, total, seed)
+            here = (slots >= low) & (slots < high)
+            at = 0
+            for _, _, k, n, ids in docs:
+                mine = here[at : at + n]
+                if mine.any():
+                    blocks.append(filled(NO_KEY if k is None else k, np.frombuffer(ids, form["ids"].base))[mine])
+                    places.append(slots[at : at + n][mine])
+                    held += len(places[-1])
+                at += n
                 if held >= 8192:
-                    yield slotted(np.concatenate(firsts), np.concatenate(blocks))
-                    blocks, firsts, held = [], [], 0
+                    yield slotted(np.concatenate(places), np.concatenate(blocks))
+                    blocks, places, held = [], [], 0
             if held:
-                yield slotted(np.concatenate(firsts), np.concatenate(blocks))
+                yield slotted(np.concatenate(places), np.concatenate(blocks))
 
     def filled(key: int, ids: np.ndarray) -> np.ndarray:
         """A document's records."""
@@ -175,14 +208,14 @@ def write_shards(encoded: DataFrame, layout: Layout, base: dict[int, int]) -> No
         real = whole[np.arange(form.itemsize) < sizes[:, None]]
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         packed = pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(real.tobytes())])
-        return pa.RecordBatch.from_arrays([pa.array(feistel_slots(places, total, seed)), packed], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(places), packed], schema=schema)
 
     rows = map_batches(encoded.select("part", "first", "key", "n", "ids"), records, kind)
     shard = F.floor(F.col("slot") / layout.shard_slots).cast("int")
     shards = rows.repartitionById(layout.shards, shard).sortWithinPartitions("slot")
     # the text writer copies bytes as they are and ends each row with the record's last byte, a line feed
     body = F.rpad("record", layout.stride - 1, F.lit(b"\0")).cast("string")
-    shards.select(body.alias("value")).write.option("lineSep", "\n").text(layout.path)
+    shards.select(body.alias("value")).write.mode("append").option("lineSep", "\n").text(layout.path)
 
 
 def read_order(spark: SparkSession, layout: Layout, first_slot: int = 0) -> DataFrame:
