@@ -15,8 +15,8 @@ int64, int32), the ids (unsigned 16-bit, or 32-bit for vocabularies above
 
 Texts are encoded once, into a table of packed ids; its lengths give the count,
 its records travel to their shards without padding, and it goes when the shards
-are written.  The shards are written in four equal waves, each from its own read
-of the table, so that only a quarter of the records are in shuffle files at a
+are written.  The shards are written in two equal waves, each from its own read
+of the table, so that only half of the records are in shuffle files at a
 time (Spark removes those at the end of each wave).  Defined results: null and empty texts have no
 sequence; null keys are stored as the smallest int64 and read back as null;
 repeated rows get slots of their own; an empty table writes nothing.
@@ -37,7 +37,7 @@ from .tokens import ByteLevelIds, shared
 
 NO_KEY = -(1 << 63)
 ROUNDS = 6
-WAVES = 4
+WAVES = 2
 
 #: Whether Spark removes an execution's shuffle files when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
