@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petitionlens.functions.aggregates import count_of, hits
+from petitionlens.functions.aggregates import count_of, hits, largest, smallest
 from petitionlens.operators.grouped import Grouped
 
 
@@ -57,7 +57,7 @@ def extreme_by_spec(
     if require_value:
         pred = pred & F.col(value).isNotNull()
     v = F.when(pred, F.col(value))
-    return Grouped((key,), pred, ((name, F.max(v) if kind == "max" else F.min(v)),))
+    return Grouped((key,), pred, ((name, largest(v) if kind == "max" else smallest(v)),))
 
 
 def extreme_by(

@@ -18,15 +18,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from petitionlens.functions.aggregates import Aggregate
+
 
 @dataclass(frozen=True)
 class Grouped:
     keys: tuple[str, ...]
     where: Column | None
-    aggs: tuple[tuple[str, Column], ...]
+    aggs: tuple[tuple[str, Aggregate], ...]
     finish: Callable[[DataFrame], DataFrame] = field(default=lambda g: g)
     #: The same aggregates without what ``where`` already guarantees, for a run of this analysis alone.
-    alone: tuple[tuple[str, Column], ...] | None = None
+    alone: tuple[tuple[str, Aggregate], ...] | None = None
 
     def aggregate(self, df: DataFrame) -> DataFrame:
         """The aggregated frame of this analysis alone (filter pushed down)."""

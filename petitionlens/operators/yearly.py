@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petitionlens.functions.aggregates import WIDE, exact_mean, hits
+from petitionlens.functions.aggregates import WIDE, Aggregate, exact_mean, hits
 from petitionlens.operators.grouped import Grouped
 from petitionlens.operators.identity import WEIGHT, match_weights
 
@@ -153,7 +153,7 @@ def yearly_means_spec(
     names = [f"{prefix}_{y}" for y in years]
     seen = [f"_rows_{y}" for y in years]
 
-    def aggs(matched: list[Column]) -> tuple[tuple[str, Column], ...]:
+    def aggs(matched: list[Column]) -> tuple[tuple[str, Aggregate], ...]:
         return tuple((s, hits(m)) for s, m in zip(seen, matched)) + tuple(
             (n, exact_mean(value, m)) for n, m in zip(names, matched)
         )
@@ -197,8 +197,12 @@ def yearly_pivot_spec(
 ) -> Grouped:
     years = list(years)
     names = [f"{prefix}_{y}" for y in years]
-    aggs = tuple((n, F.nullif(hits(pred & _in_year(y)), F.lit(0))) for y, n in zip(years, names))
-    alone = tuple((n, F.nullif(hits(_in_year(y)), F.lit(0))) for y, n in zip(years, names))
+
+    def absent(n: Column) -> Column:
+        return F.nullif(n, F.lit(0))
+
+    aggs = tuple((n, hits(pred & _in_year(y)).then(absent)) for y, n in zip(years, names))
+    alone = tuple((n, hits(_in_year(y)).then(absent)) for y, n in zip(years, names))
 
     def finish(g: DataFrame) -> DataFrame:
         change = F.coalesce(F.col(names[-1]) - F.col(names[0]), F.lit(0).cast("bigint"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from petitionlens.operators import SIX_YEARS, clean_petitions, duplicate_ids, row_count, top_n, with_place
 from petitionlens.plans.catalogue import CATALOGUE
 from petitionlens.plans.ingest import ingest, migrate
+from petitionlens.plans.states import run_incremental
 from petitionlens.session import ensure_shared_dir
 from petitionlens.sources.table_source import FORMAT, register_table_source
 from petitionlens.sources.fixtures import petitions, petitions_edges, raw_petitions, raw_petitions_edges
@@ -84,6 +85,19 @@ def appended_certs_by_soc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CATALOGUE["certs_by_soc"].run(ingest(spark, f"{root}/even", f"{root}/petitions", fmt="parquet", mode="append"))
 
 
+def incremental_six_year_wages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads; the states of the first are stored before the second comes, and the answer merges both -> K2."""
+    root = _fresh(spark)
+    raw = raw_petitions(spark, sf_dir)
+    raw.where("id % 2 = 1").write.parquet(f"{root}/odd")
+    raw.where("id % 2 = 0").write.parquet(f"{root}/even")
+    specs = {"soc_six_year_wages": CATALOGUE["soc_six_year_wages"].spec()}
+    ingest(spark, f"{root}/odd", f"{root}/petitions", fmt="parquet")
+    run_incremental(spark, f"{root}/petitions", specs)
+    ingest(spark, f"{root}/even", f"{root}/petitions", fmt="parquet", mode="append")
+    return run_incremental(spark, f"{root}/petitions", specs)["soc_six_year_wages"]
+
+
 def migrated_max_wage_by_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table of an older schema (wages as text, no coordinates) brought to CLEAN as a new version -> A2."""
     root = _fresh(spark)
@@ -135,6 +149,7 @@ ROUND_TRIPS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table_source_six_year_certs,
         refreshed_certs_by_state,
         appended_certs_by_soc,
+        incremental_six_year_wages,
         migrated_max_wage_by_job,
         placed_employers,
         placed_socs_by_state,

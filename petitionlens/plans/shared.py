@@ -30,7 +30,7 @@ from petitionlens.plans.catalogue import CATALOGUE
 from petitionlens.session import shared_dir
 
 
-def _either(filters: list[Column | None]) -> Column | None:
+def either(filters: list[Column | None]) -> Column | None:
     if any(f is None for f in filters):
         return None
     return reduce(lambda a, b: a | b, filters)
@@ -49,7 +49,7 @@ def summaries(df: DataFrame, specs: dict[str, Grouped]) -> dict[tuple[str, ...],
             if keys:
                 aggs.append(spec.rows_matched().alias(f"q{i}__rows"))
             aggs += [c.alias(f"q{i}__{n}") for n, c in spec.aggs]
-        where = _either([specs[n].where for n in names])
+        where = either([specs[n].where for n in names])
         rows = df if where is None else df.where(where)
         out[keys] = (rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs), names)
     return out
