@@ -96,15 +96,16 @@ def is_loaded(spark: SparkSession, target: str) -> bool:
     return seen.rows > 0 if seen else plain_rows(spark, target) == (True, True)
 
 
-def set_apart(raw: DataFrame, source: str, target: str, quarantine: str) -> DataFrame:
+def set_apart(raw: DataFrame, source: str, target: str, quarantine: str, name: str | None = None) -> DataFrame:
     """The rows that fit; the others are written as text below ``quarantine``, in a folder of this source and
-    target, which a retry of the load writes anew."""
+    target (or of a given ``name``), which a retry of the load writes anew."""
     bad = Observation("bad_records")
     # a row is bad by the columns that are read, so this reads all of them, as the load does
     nothing = F.concat_ws("", *[F.substring(F.col(f.name).cast("string"), 1, 0) for f in RAW.fields])
     text = F.concat(F.col(CORRUPT), nothing)
     rejected = raw.where(F.col(CORRUPT).isNotNull()).select(text.alias("value"))
-    apart = f"{quarantine.rstrip('/')}/load={hashlib.sha256(f'{source}\n{target}'.encode()).hexdigest()[:16]}"
+    name = name or hashlib.sha256(f"{source}\n{target}".encode()).hexdigest()[:16]
+    apart = f"{quarantine.rstrip('/')}/load={name}"
     rejected.observe(bad, F.count(F.lit(1)).alias("n")).write.mode("overwrite").text(apart)
     log.warning("%s: %d rows quarantined in %s", source, bad.get["n"], apart)
     return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -18,8 +18,10 @@ from petitionlens.plans.catalogue import CATALOGUE
 from petitionlens.plans.ingest import ingest, migrate
 from petitionlens.plans.states import run_incremental
 from petitionlens.session import ensure_shared_dir
+from petitionlens.sources.files import read_petitions
 from petitionlens.sources.table_source import FORMAT, register_table_source
 from petitionlens.sources.fixtures import petitions, petitions_edges, raw_petitions, raw_petitions_edges
+from petitionlens.streaming.loads import ingest_available_loads
 
 
 def clean_petitions_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +100,17 @@ def incremental_six_year_wages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_incremental(spark, f"{root}/petitions", specs)["soc_six_year_wages"]
 
 
+def streamed_modal_soc_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch load of the rows with an odd id, then a stream that adds the others as loads -> A19."""
+    root = _fresh(spark)
+    raw = raw_petitions(spark, sf_dir)
+    raw.where("id % 2 = 1").write.parquet(f"{root}/odd")
+    raw.where("id % 2 = 0").write.option("header", True).option("escape", '"').csv(f"{root}/landing")
+    ingest(spark, f"{root}/odd", f"{root}/petitions", fmt="parquet")
+    ingest_available_loads(spark, f"{root}/landing", f"{root}/petitions", checkpoint=f"{root}/progress", quarantine=f"{root}/apart")
+    return CATALOGUE["modal_soc_by_state"].run(read_petitions(spark, f"{root}/petitions"))
+
+
 def migrated_max_wage_by_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table of an older schema (wages as text, no coordinates) brought to CLEAN as a new version -> A2."""
     root = _fresh(spark)
@@ -150,6 +163,7 @@ ROUND_TRIPS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         refreshed_certs_by_state,
         appended_certs_by_soc,
         incremental_six_year_wages,
+        streamed_modal_soc_by_state,
         migrated_max_wage_by_job,
         placed_employers,
         placed_socs_by_state,

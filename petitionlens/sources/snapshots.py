@@ -128,13 +128,25 @@ def read_snapshot(spark: SparkSession, target: str, version: int | None = None)
     return df.select([F.col(f.name) for f in CLEAN.fields])
 
 
-def write_load(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as a load that no version names yet; returns its folder's name."""
-    name = f"{LOADS}/load={uuid.uuid4().hex}"
+def was_committed(spark: SparkSession, target: str, load: str) -> bool:
+    """Whether some version that is still kept names ``load``; manifests are read only if its folder exists."""
+    if load.rsplit("/", 1)[-1] not in Folder(spark, f"{target.rstrip('/')}/{LOADS}").names():
+        return False
+    return any(load == p for v in reversed(versions(spark, target)) for p, _ in manifest(spark, target, v).loads)
+
+
+def write_load(df: DataFrame, target: str, partition_by: Sequence[str] = (), name: str | None = None) -> str:
+    """Write ``df`` as a load that no version names yet; returns its folder's name.
+
+    Under a ``name`` of its own a load can be repeated: what an attempt that
+    was never committed left there is replaced.
+    """
+    mode = "overwrite" if name else "errorifexists"
+    name = f"{LOADS}/load={name or uuid.uuid4().hex}"
     require(df, CLEAN)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{target.rstrip('/')}/{name}")
