@@ -1,6 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are the stated query set, taken in blocks of at most ``block``.
+Benchmark items are the stated query set, cut into parts of at most 64 words and
+taken in blocks of about ``block`` parts and ``block_words`` words at most, which
+bounds the terms, the basis and the memory of a block whatever the items' lengths.
 The terms are the words of a block's items that are rare in the corpus (at
 least each item's eight rarest and its keys).  Documents are cut into overlapping
 windows of words, of which one holds the whole of any stretch that can count;
@@ -17,8 +19,10 @@ subsequence that covers ``overlap`` of the item, and half of the item's answer
 
 Words are lower-cased (A-Z) runs between white space and ASCII punctuation.
 Defined results: null and empty texts and items match nothing; items longer
-than 64 words are searched in parts of 64; repeated documents are all reported;
-without items or documents there are no rows.
+than 64 words are searched in parts of 64, also in several blocks; repeated
+documents are all reported; repeated items count once, and items of equal text
+are all found; texts of any length are cut into windows; without items or
+documents there are no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -144,7 +148,7 @@ def lcs_check(item: list[bytes], answer: int, window: list[bytes], overlap: floa
 
 
 class Terms:
-    """Terms of a block of items, their IDF, the items' TF-IDF rows, and each term's items (the keys' postings).
+    """Terms of a block of items, their IDF, the items as packed lists of terms, and each term's items (the keys' postings).
 
     An item's keys are its rarest words, KEYS more of them than ``overlap``
     lets a match lack: every match holds at least KEYS (or, of a short item, all that must be there).
@@ -170,17 +174,15 @@ class Terms:
             chosen.update(w for w, _ in keys[-1])
         self.number = {w: i for i, w in enumerate(sorted(chosen))}
         self.idf = np.log((docs + 1) / (np.array([df.get(w, 0) for w in self.number]) + 1.0)) + 1e-3
-        self.items = np.zeros((len(parts), len(self.number)), np.float32)
-        for i, p in enumerate(parts):
-            for w in p:
-                if w in self.number:
-                    self.items[i, self.number[w]] += 1
-        self.items = tf_idf(self.items, self.idf)
+        self.items = [np.array([self.number[w] for w in p if w in self.number], "<u4").tobytes() for p in parts]
         posted = np.array([(self.number[w], j, n) for j, own in enumerate(keys) for w, n in own], np.int64)
         posted = posted[np.argsort(posted[:, 0], kind="stable")]
         self.first = np.searchsorted(posted[:, 0], np.arange(len(self.number) + 1))
         self.posted, self.need = posted[:, 1].astype(np.int32), posted[:, 2].astype(np.int32)
 
+    def items_times(self, basis: np.ndarray) -> np.ndarray:
+        return np.concatenate([a.times(basis) for _, a in in_chunks(self.items, self.idf)])
+
     def postings(self) -> Postings:
         return Postings(self.first, self.posted, self.need, self.least)
 
@@ -203,10 +205,6 @@ class Postings(NamedTuple):
         return np.bincount(pair, held, n * len(self.least)).reshape(n, -1) >= self.least
 
 
-def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return (np.log1p(counts) * idf).astype(np.float32)
-
-
 class Rows:
     """TF-IDF rows of windows given as packed, non-empty lists of term numbers, in sparse form."""
 
@@ -290,9 +288,8 @@ def latent_basis(windows: DataFrame, terms: Terms, rank: int, seed: int = 7) ->
         return sum(np.array([[float((a.weight.astype(float) ** 2).sum())]]) for _, a in in_chunks(lists, idf))
 
     lists = windows.select("terms")
-    weight = max(1.0, summed(lists, energy, (1, 1))[0, 0] / max(1e-9, float((terms.items**2).sum())))
-    items = terms.items.astype(np.float64)
-    z = summed(lists, sketch, (n, width)) + weight * (items.T @ (items @ omega))
+    weight = max(1.0, summed(lists, energy, (1, 1))[0, 0] / max(1e-9, float(energy(terms.items)[0, 0])))
+    z = summed(lists, sketch, (n, width)) + weight * sketch(terms.items)
     q = np.linalg.qr(z)[0].astype(np.float32)
 
     def gram(lists):
@@ -302,8 +299,7 @@ def latent_basis(windows: DataFrame, terms: Terms, rank: int, seed: int = 7) ->
             out += b.T @ b
         return out
 
-    iq = items @ q
-    values, vectors = np.linalg.eigh(summed(lists, gram, (width, width)) + weight * (iq.T @ iq))
+    values, vectors = np.linalg.eigh(summed(lists, gram, (width, width)) + weight * gram(terms.items))
     return (q @ vectors[:, np.argsort(-values)[:rank]]).astype(np.float32)
 
 
@@ -318,26 +314,63 @@ def contaminated(
     cosine: float = 0.5,
     overlap: float = 0.7,
     block: int = 4096,
+    block_words: int = 65_536,
 ) -> DataFrame:
-    """``key``, ``item_key``, cosine, lcs_share: each document and each item found in it (best window)."""
+    """``key``, ``item_key``, cosine, lcs_share: each document and each item found in it (best window).
+
+    ``block`` and ``block_words`` are what a block holds on average at most;
+    parts are dealt to blocks by hash, so none holds much more.
+    """
     spark = docs.sparkSession
-    ddl = f"{key} {docs.schema[key].dataType.simpleString()}, {item_key} {benchmark.schema[item_key].dataType.simpleString()}, cosine double, lcs_share double"
-    items = benchmark.select(F.col(item_key).alias("id"), utf8(item_text).alias("data")).where(F.length("data") > 0)
-    blocks = -(-items.count() // block)
-    found = spark.createDataFrame([], ddl)
+    items = benchmark.select(F.col(item_key).alias("id"), utf8(item_text).alias("data")).where(F.length("data") > 0).dropDuplicates()
+    parts = materialise(_parts(items))
+    held, words = parts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    blocks = max(-(-held // block), -(-words // block_words))
     source = docs.select(F.col(key).alias("key"), utf8(text).alias("data")).withColumn("tkey", text_key(F.col("data")))
+    names = [key, item_key, "cosine", "lcs_share"]
+    kinds = docs.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
+    inner = StructType.fromDDL(f"key {kinds[0]}, id {kinds[1]}, cosine double, lcs_share double, tkey binary")
+    found = spark.createDataFrame([], inner)
     for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("data"), F.lit(blocks)) == b).collect()
-        found = found.union(_search(source, own, ddl, rank, cosine, overlap))
-    return found
+        number = F.pmod(F.xxhash64("id", "data", "part"), F.lit(blocks))
+        own = parts.where(number == b).select("id", "words", "answer").collect()
+        of_block = _search(source, own, inner, rank, cosine, overlap)
+        if blocks > 1:  # a repeated document's rows are alike: they go on as a number
+            of_block = of_block.groupBy("key", "id", "tkey").agg(_best(), F.count(F.lit(1)).alias("copies"))
+            of_block = of_block.select("key", "id", "best.cosine", "best.lcs_share", "tkey", "copies")
+        found = found.union(of_block) if b else of_block
+    if blocks > 1:  # an item's parts may stand in several blocks
+        found = found.groupBy("key", "id", "tkey").agg(_best(), F.max("copies").alias("copies"))
+        found = found.select("key", "id", "best.cosine", "best.lcs_share", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return found.select("key", "id", "cosine", "lcs_share").toDF(*names)
+
+
+def _best() -> Column:
+    """Of rows of one document and item, that with the largest share, then the largest cosine."""
+    return F.max(F.struct("lcs_share", "cosine")).alias("best")
+
+
+def _parts(items: DataFrame) -> DataFrame:
+    """id, data (the item's own hash), part, words, n, answer: the parts of each item."""
+    kind = StructType.fromDDL(f"id {items.schema['id'].dataType.simpleString()}, data long, part int, words binary, n int, answer int")
+    schema = arrow_schema(kind)
+
+    def cut(batches: Batches) -> Batches:
+        for b in batches:
+            for key, own, data in zip(*[c.to_pylist() for c in b.columns]):
+                rows = [(key, own, i, b" ".join(p), len(p), a) for i, (p, a) in enumerate(item_parts(data))]
+                yield rows_batch(rows, schema)
+
+    return map_batches(items.select("id", F.xxhash64("data").alias("own"), "data"), cut, kind)
 
 
-def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float, overlap: float) -> DataFrame:
+def _search(source: DataFrame, items: list, kind_out: StructType, rank: int, cosine: float, overlap: float) -> DataFrame:
+    """The rows of ``kind_out`` of one block: its parts as (id, words, answer)."""
     spark = source.sparkSession
-    parts = [(r["id"], p, a) for r in items for p, a in item_parts(bytes(r["data"]))]
+    parts = [(r["id"], bytes(r["words"]).split(), r["answer"]) for r in items]
     vocabulary = {w for _, p, _ in parts for w in p}
     if not parts:
-        return spark.createDataFrame([], ddl)
+        return spark.createDataFrame([], kind_out)
     shared_words = spark.sparkContext.broadcast(vocabulary)
     kind = StructType.fromDDL("word binary, n long")
     schema = arrow_schema(kind)
@@ -379,7 +412,7 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
 
     windows = materialise(map_batches(source.select("tkey", "data"), cut, rows_kind), "zstd")
     basis = latent_basis(windows, terms, rank)
-    queries = terms.items @ basis
+    queries = terms.items_times(basis)
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
     held = spark.sparkContext.broadcast((basis, queries, terms.idf, terms.postings()))
     shared_parts = spark.sparkContext.broadcast(parts)
@@ -407,12 +440,12 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
 
     near = map_batches(windows.select("tkey", "first", "terms"), search, near_kind).dropDuplicates(["tkey", "first", "part"])
     asked = near.groupBy("tkey").agg(F.collect_list(F.struct("first", "part", "cosine")).alias("near"))
-    out_schema = arrow_schema(StructType.fromDDL(ddl))
+    out_schema = arrow_schema(kind_out)
 
     def verify(batches: Batches) -> Batches:
         for b in batches:
             out = []
-            for key, data, near_rows in zip(*[c.to_pylist() for c in b.columns]):
+            for key, data, tkey, near_rows in zip(*[c.to_pylist() for c in b.columns]):
                 words = words_of(data)
                 best: dict[object, tuple[float, float]] = {}
                 for n in near_rows:
@@ -420,11 +453,11 @@ def _search(source: DataFrame, items: list, ddl: str, rank: int, cosine: float,
                     share = lcs_check(part, answer, words[n["first"] : n["first"] + span + answer], overlap)
                     if share is not None:
                         best[item] = max(best.get(item, (0.0, 0.0)), (share, n["cosine"]))
-                out += [(key, item, c, s) for item, (s, c) in best.items()]
+                out += [(key, item, c, s, tkey) for item, (s, c) in best.items()]
             yield rows_batch(out, out_schema)
 
-    joined = source.join(asked, "tkey").select("key", "data", "near")
-    return map_batches(joined, verify, StructType.fromDDL(ddl))
+    joined = source.join(asked, "tkey").select("key", "data", "tkey", "near")
+    return map_batches(joined, verify, kind_out)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,6 +57,11 @@ def test_verbatim_and_paraphrased_leaks_are_found_and_clean_documents_left(spark
     assert got.where("doc_id = 4003").count() == 2
     small = D.contaminated(table, bench, block=7)  # several blocks of items
     assert {(r[0], r[1]) for r in small.collect()} == want
+    few = D.contaminated(table, bench, block_words=100)  # the parts of the long item stand in several blocks
+    assert {(r[0], r[1]) for r in few.collect()} == want
+    assert sorted(r[0] for r in few.where("item_id in (1, 92)").collect()) == sorted(r[0] for r in got.where("item_id in (1, 92)").collect())
+    share = lambda df: {(r.doc_id, r.item_id): r.lcs_share for r in df.collect()}
+    assert share(few) == share(got)
 
 
 def test_recall_on_the_whole_table_is_that_of_brute_force(spark):
@@ -133,3 +138,28 @@ def test_long_items_with_inserted_words_are_found_at_every_offset(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     assert {x[0] for x in D.contaminated(table, bench).collect()} == {i for i, _ in docs}
+
+
+def test_a_very_long_item_and_repeated_items(spark):
+    r = np.random.default_rng(14)
+    long = [f"w{i}" for i in r.permutation(20_000)]
+    items = [(1, " ".join(long))] * 3 + [(2, " ".join(long[300:340])), (3, " ".join(long[300:340]))]
+    docs = [(1, " ".join(long[5000:5200])), (2, " ".join(words(r, 300))), (3, " ".join(["x", *long[300:340], "y"]))]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = D.contaminated(table, bench, block_words=4096).select("doc_id", "item_id").collect()
+    assert len(got) == len(set(got))
+    assert {(1, 1), (3, 2), (3, 3)} <= {tuple(x) for x in got} and all(x[0] != 2 for x in got)
+
+
+def test_a_block_is_bounded_by_its_words():
+    r = np.random.default_rng(15)
+    parts = [[w.encode() for w in words(r, 64)] for _ in range(1000)]
+    terms = D.Terms(parts, {}, 10, 0.7)
+    assert sum(map(len, terms.items)) <= 4 * 64 * len(parts)  # a term of an item takes four bytes
+    basis = r.standard_normal((len(terms.number), 5)).astype(np.float32)
+    dense = np.zeros((len(parts), len(terms.number)))
+    for i, p in enumerate(parts):
+        for w in p:
+            dense[i, terms.number[w]] += 1
+    assert np.allclose(terms.items_times(basis), (np.log1p(dense) * terms.idf) @ basis, rtol=1e-3, atol=1e-3)
