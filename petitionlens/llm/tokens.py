@@ -14,6 +14,13 @@ OTHER = re.compile(r"[^\t-\r -~\xa0-\u024f]")
 #: A space beside other white space, where the cut depends on what follows.
 ADJOINING = re.compile(r"[\t-\r \x85\xa0] | [\t-\r \x85\xa0]")
 
+#: What the fast paths stand for; a file that says otherwise is left to its library.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+PLAIN_MERGES = {
+    "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False,
+    "ignore_merges": False,
+}
+
 #: How byte-level vocabularies cut a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -25,7 +32,21 @@ def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def holds(part: dict | None, wanted: dict) -> bool:
+    """Whether a part of a tokenizer file says what is ``wanted``; a missing or empty value stands for None."""
+    return part is not None and all((part.get(k) or None) == (v or None) for k, v in wanted.items())
+
+
+def is_byte_level(file: dict) -> bool:
+    """No normaliser, the usual byte-level cut, and merges alone."""
+    merges = PLAIN_MERGES | {"end_of_word_suffix": None}
+    return file.get("normalizer") is None and holds(file.get("pre_tokenizer"), BYTE_LEVEL) and holds(file.get("model"), merges)
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -49,9 +70,13 @@ def rank_encoder(tokenizer):
     """The vocabulary as a tiktoken encoding, which merges several times faster.
 
     It merges by smallest id; that is the file's own order only if the ids of
-    the merges rise, which is checked.  None otherwise.
+    the merges rise, which is checked, as is how the file prepares and cuts
+    texts.  None otherwise.
     """
-    model = json.loads(tokenizer.to_str())["model"]
+    file = json.loads(tokenizer.to_str())
+    if not is_byte_level(file):
+        return None
+    model = file["model"]
     vocabulary = model["vocab"]
     made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
     if any(x >= y for x, y in zip(made, made[1:])):

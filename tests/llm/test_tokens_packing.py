@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -41,6 +42,38 @@ def test_ids_and_counts_equal_the_library(text):
 PROVEN = C.proven_words(WORDS)
 
 
+@pytest.mark.parametrize("change", ["prefix", "normalizer", "cut", "merges"])
+def test_files_of_another_layout_are_left_to_the_library(change, tmp_path):
+    texts = ["Ab cd, it's 12 x", " a  b", "", "Zoë’s ﬁne 3rd", "under_score x-y"]
+    for name, kind in (("byte_bpe_50k.json", T.ByteLevelIds), ("word_bpe_49k.json", C.WordCounter)):
+        file = json.load(open(public_tokenizers.path(name)))
+        cuts = file["pre_tokenizer"].get("pretokenizers", [file["pre_tokenizer"]])
+        if change == "prefix":
+            cuts[-1]["add_prefix_space"] = True
+        elif change == "normalizer":
+            file["normalizer"] = {"type": "NFKC"}
+        elif change == "cut":
+            own = {"type": "Split", "pattern": {"Regex": "[a-z]+"}, "behavior": "Isolated", "invert": False}
+            file["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [own, cuts[-1]]}
+        else:
+            file["model"]["ignore_merges"] = True
+        path = str(tmp_path / name)
+        json.dump(file, open(path, "w"))
+        library = Tokenizer.from_file(path)
+        own = kind(path)
+        for t in texts:
+            want = library.encode(t, add_special_tokens=False).ids
+            if kind is T.ByteLevelIds:
+                assert own.ranks is None and np.frombuffer(own.ids(t), "<u4").tolist() == want and own.count(t) == len(want)
+            else:
+                assert not own.words and not C.proven_words(path) and own.count(t, frozenset()) == len(want)
+
+
+def test_the_given_files_take_the_fast_paths():
+    assert T.ByteLevelIds(public_tokenizers.path("byte_bpe_50k.json")).ranks is not None
+    assert C.WordCounter(public_tokenizers.path("word_bpe_49k.json")).words
+
+
 def test_proven_words_are_single_tokens(library):
     assert len(PROVEN) > 10_000
     for w in sorted(PROVEN)[::50]:
