@@ -107,7 +107,7 @@ def streamed_modal_soc_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.where("id % 2 = 1").write.parquet(f"{root}/odd")
     raw.where("id % 2 = 0").write.option("header", True).option("escape", '"').csv(f"{root}/landing")
     ingest(spark, f"{root}/odd", f"{root}/petitions", fmt="parquet")
-    ingest_available_loads(spark, f"{root}/landing", f"{root}/petitions", checkpoint=f"{root}/progress", quarantine=f"{root}/apart")
+    ingest_available_loads(spark, f"{root}/landing", f"{root}/petitions", progress=f"{root}/progress", quarantine=f"{root}/apart")
     return CATALOGUE["modal_soc_by_state"].run(read_petitions(spark, f"{root}/petitions"))
 
 
