@@ -136,20 +136,21 @@ def link_forest(fps: DataFrame, radius: int = 3, tile: int = 1 << 14) -> DataFra
     number = F.pmod(F.xxhash64("fp"), F.coalesce(tiles_of[F.col("pop")], F.lit(1))).cast("int")
     tiles = counted.select("fp", "pop", number.alias("no")).groupBy("pop", "no").agg(F.collect_list("fp").alias("fps"))
     tiles = materialise(tiles)
-    def numbers(d: int) -> Column:
-        """Numbers of the partner tiles whose population count is larger by ``d``."""
+
+    def partners(d: int) -> Column:
+        """The partner tiles whose population count is larger by ``d``.
+
+        ``d`` comes from here and not from a default of the lambda, where
+        Spark would put the element's position.
+        """
         n = F.coalesce(tiles_of[F.col("pop") + d], F.lit(0))
         first = F.col("no") if d == 0 else F.lit(0)
-        return F.when(n > first, F.sequence(first, n - 1)).otherwise(F.array().cast("array<int>"))
+        numbers = F.when(n > first, F.sequence(first, n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda j: F.struct((F.col("pop") + d).alias("pop2"), j.alias("no2")))
 
     # every tile names its partners: later tiles of its own count, all tiles of the next counts
-    partners = F.flatten(
-        F.array(*[
-            F.transform(numbers(d), lambda j, d=d: F.struct((F.col("pop") + d).alias("pop2"), j.alias("no2")))
-            for d in range(radius + 1)
-        ])
-    )
-    asked = tiles.select("pop", "no", F.explode(partners).alias("to"), F.col("fps").alias("left")).select("pop", "no", "to.*", "left")
+    named = F.flatten(F.array(*[partners(d) for d in range(radius + 1)]))
+    asked = tiles.select("pop", "no", F.explode(named).alias("to"), F.col("fps").alias("left")).select("pop", "no", "to.*", "left")
     met = asked.join(
         tiles.select(F.col("pop").alias("pop2"), F.col("no").alias("no2"), F.col("fps").alias("right")), ["pop2", "no2"]
     )

@@ -60,6 +60,34 @@ def test_links_connect_what_brute_force_connects():
         assert (got.root == want.root).all()
 
 
+def test_links_between_population_counts_and_between_tiles(spark):
+    r = np.random.default_rng(5)
+    seeds = [int(x) for x in r.integers(0, 2**63, 30, dtype=np.uint64)]
+    # each flipped bit changes the population count, so most links are between different counts
+    near = [s ^ sum(1 << int(b) for b in r.choice(64, k, replace=False)) for s in seeds for k in (1, 2, 3, 4) for _ in range(3)]
+    prints = sorted({*seeds, *near, 0, 7, 2**64 - 1})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    table = spark.createDataFrame([(p,) for p in signed], "fp long")
+    want = brute_components(prints)
+    for tile in (1 << 14, 4):  # one tile for each count, and several
+        got = S.Forest(len(prints))
+        edges = [(signed.index(e.a), signed.index(e.b)) for e in S.link_forest(table, tile=tile).collect()]
+        got.join(np.array([a for a, _ in edges]), np.array([b for _, b in edges]))
+        assert got.root.tolist() == want
+
+
+def test_near_copies_whose_fingerprints_differ_in_their_population_count(spark):
+    base = [f"word{i * i % 1009}" for i in range(400)]
+    texts = [" ".join(base), *(" ".join([*base[:i], "changed", *base[i + 1 :]]) for i in range(3, 400, 20))]
+    prints = [brute_print(t) for t in texts]
+    roots = brute_components(prints)
+    linked = [(a, b) for a, x in zip(prints, roots) for b, y in zip(prints, roots) if x == y]
+    assert any(a.bit_count() != b.bit_count() for a, b in linked)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = S.near_duplicates(table).select("doc_id", S.hex64("fp"), "component_id").collect()
+    assert sorted(tuple(r) for r in found) == [(i, f"{p:016x}", r) for i, (p, r) in enumerate(zip(prints, roots))]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(7, 7), (None, 3)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
