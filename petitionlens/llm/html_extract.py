@@ -9,8 +9,16 @@ stands outside both is undecided.  On pages without an article the undecided
 blocks are the only text, and there repetition decides: the streams of all
 blocks outside articles of a host's pages go through the suffix-array search,
 and every run of ``length`` bytes that distinct pages of the host share is
-boilerplate; the unique rest of the undecided blocks is kept.  Text inside an
-article is never removed for being repeated, as pages may share passages.
+boilerplate; the unique rest of the undecided blocks is kept.
+
+The same search judges the text inside articles.  Pages may share passages, so
+being repeated is not enough there: a block goes as a template's only if runs of
+one and a half times ``length`` bytes that other articles of the host hold cover
+it whole, the same block stands in more than half of the host's distinct
+articles, FEW at least, and such blocks are not over half of the article, as in
+near copies.  Only articles with an anchor that as many articles hold go to the
+suffix array: blocks of a run's length or more that so many share always have
+one; shorter ones count where what stands beside them is shared too.
 
 Defined results: null and empty html gives the empty text; a page cut off
 inside a tag or an element is read as far as it goes; omitted end tags of
@@ -22,6 +30,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -30,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .common import Batches, arrow_schema, map_batches, materialise, read_table, rows_batch, utf8
-from .suffix_dedup import Passage, repeated_runs
+from .suffix_dedup import Passage, anchor_runs, repeated_runs
 
 #: What HTML names and what sites call the parts around the main text.
 RAW = {"script", "style", "template", "noscript", "textarea", "iframe", "svg", "title", "object"}
@@ -61,6 +70,9 @@ NAMES = {
     "promo", "related", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar",
 }
 
+#: Fewest articles of a host that can show what its template is.
+FEW = 4
+
 TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 
@@ -154,8 +166,9 @@ def blocks(page: str, lenient: bool = False) -> list[tuple[str, int]]:
     return out
 
 
-def split_page(data: bytes) -> tuple[str | None, bytes, list[int]]:
-    """The main text (None without an article), the stream of the other blocks, and the bounds of the undecided ones in it."""
+def split_page(data: bytes) -> tuple[str | None, bytes, list[int], bytes | None]:
+    """The main text (None without an article), the stream of the other blocks, the bounds of the undecided ones in it,
+    and the stream of the article's blocks."""
     main, stream, bounds, size, found = [], [], [], 0, False
     page = data.decode("utf-8", "replace")
     parts = blocks(page)
@@ -172,7 +185,7 @@ def split_page(data: bytes) -> tuple[str | None, bytes, list[int]]:
             bounds += [size, size + len(raw)]
         stream.append(raw)
         size += len(raw) + 1
-    return " ".join(main) if found else None, b"\n".join(stream), bounds
+    return " ".join(main) if found else None, b"\n".join(stream), bounds, "\n".join(main).encode() if found else None
 
 
 def keep_unique(stream: bytes, bounds: list[int], starts: list[int], ends: list[int], length: int) -> str:
@@ -202,35 +215,106 @@ def keep_unique(stream: bytes, bounds: list[int], starts: list[int], ends: list[
     return " ".join(out)
 
 
+def covered_blocks(stream: bytes, starts: list[int], ends: list[int], length: int) -> list[tuple[int, bytes]]:
+    """Number and digest of each block that runs of windows, which begin at ``starts`` to ``ends``, cover whole."""
+    merged: list[list[int]] = []
+    for s, e in sorted(zip(starts, ends)):
+        if merged and s <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e + length)
+        else:
+            merged.append([s, e + length])
+    out, at, run = [], 0, 0
+    for i, block in enumerate(stream.split(b"\n")):
+        while run < len(merged) and merged[run][1] < at + len(block):
+            run += 1
+        if run < len(merged) and merged[run][0] <= at:
+            out.append((i, hashlib.sha256(block).digest()[:16]))
+        at += len(block) + 1
+    return out
+
+
+def without_template(article: str, numbers: list[int] | None) -> str:
+    """The article's blocks but those of ``numbers``, which all stay if they are more than half of it."""
+    parts = article.split("\n")
+    gone = set(numbers or [])
+    if 2 * sum(len(parts[i]) for i in gone) > sum(map(len, parts)):
+        gone = set()
+    return " ".join(x for i, x in enumerate(parts) if i not in gone)
+
+
+def template_blocks(heads: DataFrame, articles: DataFrame, inner: Passage) -> DataFrame:
+    """art, numbers: the blocks of each article that its host's template put there.
+
+    ``heads`` has art (the article's identity), scope and grams (its anchors)
+    once for each distinct article, ``articles`` art, scope and the stream of every page.
+    """
+    sizes = heads.groupBy("scope").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FEW)
+
+    def usual(found: DataFrame, by: str) -> DataFrame:
+        """The (scope, ``by``) of more than half of a host's articles, FEW at least."""
+        counted = found.groupBy("scope", by).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= FEW)
+        return counted.join(sizes, "scope").where(2 * F.col("m") > F.col("n")).select("scope", by)
+
+    grams = heads.select("art", "scope", F.explode("grams").alias("h"))
+    asked = materialise(grams.join(materialise(usual(grams, "h")), ["scope", "h"]).select("art").distinct())
+    texts = materialise(articles.join(asked, "art").groupBy("art").agg(F.first("scope").alias("scope"), F.first("data").alias("data")))
+    texts = texts.withColumnRenamed("art", "tkey")
+    runs = repeated_runs(texts, inner, across=True)
+    lists = runs.groupBy("tkey").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+    kind = StructType.fromDDL("art binary, scope long, number int, block binary")
+    schema = arrow_schema(kind)
+
+    def cover(batches: Batches) -> Batches:
+        for b in batches:
+            for key, scope, data, starts, ends in zip(*[c.to_pylist() for c in b.columns]):
+                yield rows_batch([(key, scope, i, block) for i, block in covered_blocks(data, starts, ends, inner.length)], schema)
+
+    found = materialise(map_batches(texts.join(lists, "tkey").select("tkey", "scope", "data", "starts", "ends"), cover, kind))
+    common = usual(found.select("art", "scope", "block").distinct(), "block")
+    return found.join(common, ["scope", "block"]).groupBy("art").agg(F.collect_list("number").alias("numbers"))
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html", length: int = 64) -> DataFrame:
     """``key``, ``url``, text, n_chars of each row of ``pages``.
 
-    The pages are parsed twice, for the streams and for the texts; only
-    streams, and pages without an article, are moved.
+    The pages are parsed three times, for the streams and anchors, for the
+    articles that the suffix array judges, and for the texts; only streams,
+    anchors, such articles and pages without one are moved.
     """
+    inner = Passage(length + length // 2, 16, 4)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     own = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.xxhash64(host).alias("scope"), utf8(source).alias("data"))
     parsed_kind = StructType.fromDDL(
-        f"key {pages.schema[key].dataType.simpleString()}, url string, scope long, main string, stream binary, bounds array<long>, other boolean"
+        f"key {pages.schema[key].dataType.simpleString()}, url string, scope long, article binary, stream binary, bounds array<long>,"
+        " other boolean, art binary, grams array<long>"
     )
     parsed_schema = arrow_schema(parsed_kind)
 
     def parse(with_text: bool):
+        def batch(rows: list[tuple], articles: list[bytes | None]):
+            marks: list[set[int]] = [set() for _ in rows]
+            if not with_text:
+                for i, _, _, _, h in anchor_runs([x or b"" for x in articles], inner):
+                    marks[i].add(h)
+            arts = [None if x is None else hashlib.sha256(x + str(r[2]).encode()).digest()[:16] for r, x in zip(rows, articles)]
+            return rows_batch([(*r, art, sorted(m) or None) for r, art, m in zip(rows, arts, marks)], parsed_schema)
+
         def run(batches: Batches) -> Batches:
             for b in batches:
-                rows, size = [], 0
+                rows, articles, size = [], [], 0
                 for k, u, scope, data in zip(*[c.to_pylist() for c in b.columns]):
-                    main, stream, bounds = split_page(data)
-                    other = main is None
+                    _, stream, bounds, article = split_page(data)
+                    other = article is None
                     if with_text:
-                        rows.append((k, u, None, main, None, None, other))
+                        rows.append((k, u, scope, article, None, None, other))
                     else:
                         rows.append((k if other else None, u if other else None, scope, None, stream, bounds if other else None, other))
+                    articles.append(article)
                     size += len(data)
                     if size > 8 << 20:
-                        yield rows_batch(rows, parsed_schema)
-                        rows, size = [], 0
-                yield rows_batch(rows, parsed_schema)
+                        yield batch(rows, articles)
+                        rows, articles, size = [], [], 0
+                yield batch(rows, articles)
 
         return map_batches(own, run, parsed_kind)
 
@@ -253,7 +337,16 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source:
                 rows.append((k, u, keep_unique(stream, bounds, starts or [], ends or [], length)))
             yield rows_batch(rows, schema)
 
-    articles = parse(True).where(~F.col("other")).select("key", "url", F.col("main").alias("text"))
+    heads = first.where(F.col("art").isNotNull()).groupBy("art").agg(F.first("scope").alias("scope"), F.first("grams").alias("grams"))
+    parsed = parse(True).where(~F.col("other"))
+    template = materialise(template_blocks(materialise(heads), parsed.select("art", "scope", F.col("article").alias("data")), inner))
+
+    def assemble(batches: Batches) -> Batches:
+        for b in batches:
+            rows = [(k, u, without_template(a.decode(), numbers)) for k, u, a, numbers in zip(*[c.to_pylist() for c in b.columns])]
+            yield rows_batch(rows, schema)
+
+    articles = map_batches(parsed.join(template, "art", "left").select("key", "url", "article", "numbers"), assemble, kind)
     undecided = first.where("other").join(lists, "tkey", "left")
     undecided = map_batches(undecided.select("key", "url", "stream", "bounds", "copied", "starts", "ends"), trim, kind)
     both = articles.union(undecided)

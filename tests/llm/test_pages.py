@@ -147,6 +147,37 @@ def test_wrappers_named_after_other_parts_do_not_hide_the_article(spark, page):
     assert [r.text for r in H.main_text(rows).collect()] == ["the story"]
 
 
+def test_the_suffix_array_finds_the_template_inside_articles(spark):
+    """A block that most articles of a host hold goes; a passage that few share, near copies and small hosts stay."""
+    notice = "You are reading the free edition of this paper; readers who pay see it all, without waiting and without letters."
+    shared = "A passage that two of the stories quote at length, word by word, since it is what the minister said on that day."
+    story = lambda host, i: f"{host} story {i}: " + " ".join(f"{host}{i * j % 101}x{j}" for j in range(60))
+    near = " ".join(f"copied{j}" for j in range(80))
+    rows, want = [], {}
+
+    def add(url, *blocks, kept):
+        rows.append((len(rows), url, "<article>" + "".join(f"<p>{x}</p>" for x in blocks) + "</article>"))
+        want[url] = " ".join(kept)
+
+    for i in range(6):
+        own = [story("a", i), *([shared] if i < 2 else [])]
+        add(f"http://a.com/{i}", own[0], notice, *own[1:], kept=own)
+        add(f"http://n.com/{i}", near, f"its version {i}", kept=[near, f"its version {i}"])
+        own = [story("c", i), *([notice] if i < 3 else [])]
+        add(f"http://c.com/{i}", *own, kept=own)  # no more than half
+    for i in range(3):
+        add(f"http://few.com/{i}", story("f", i), notice, kept=[story("f", i), notice])
+        add(f"http://same.com/{i}", story("s", 0), notice, kept=[story("s", 0), notice])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.url: r.text for r in H.main_text(pages).collect()} == want
+
+
+def test_blocks_that_runs_cover_whole():
+    stream = b"0123456789\nabcdefghij\nxyz"
+    cover = lambda s, e: [i for i, _ in H.covered_blocks(stream, s, e, 5)]
+    assert cover([0], [5]) == [0] and cover([0], [4]) == [] and cover([8], [18]) == [1] and cover([0, 8], [8, 20]) == [0, 1, 2]
+
+
 def test_adverts_and_related_articles_stay_apart(spark):
     page = '<article>real</article><div class="related"><article>other</article></div><form><article>sign up</article></form>'
     rows = spark.createDataFrame([(1, "http://a/1", page)], "page_id long, url string, html string")
